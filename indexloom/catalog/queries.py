@@ -468,7 +468,7 @@ def _plain_names() -> dict[str, str]:
 
 @query
 def usage_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t.usage_rows(spark, sf_dir)
+    return t.usage_rows(spark, sf_dir).select(*usage.PERIOD, "sector", rounded("revenue", 2), "journeys")
 
 
 @query

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -39,11 +40,15 @@ def shared_folder(spark: SparkSession) -> str:
     if named is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="indexloom-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        named = _own_folder(spark.sparkContext.applicationId)
     return named
 
 
+@functools.cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="indexloom-")
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write a frame that several branches read to the shared folder, and read it back.
 
