@@ -370,17 +370,17 @@ def _detail_row(df: DataFrame) -> DataFrame:
 
 @query
 def big_change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _detail_row(prices.large_rises(_detail(spark, sf_dir), t.WEIGHT_LIMIT))
+    return _detail_row(prices.large_rises(_detail(spark, sf_dir), t.WEIGHT_LIMIT, ties=["row"]))
 
 
 @query
 def little_change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _detail_row(prices.large_falls(_detail(spark, sf_dir), t.WEIGHT_LIMIT))
+    return _detail_row(prices.large_falls(_detail(spark, sf_dir), t.WEIGHT_LIMIT, ties=["row"]))
 
 
 @query
 def big_earners(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = prices.heavy_rows(t.priced_fact(spark, sf_dir), t.WEIGHT_LIMIT)
+    found = prices.heavy_rows(t.priced_fact(spark, sf_dir), t.WEIGHT_LIMIT, ties=["row"])
     return found.select(*DETAIL_ROW, money("weight"), rounded("price_base"), rounded("price_current"))
 
 

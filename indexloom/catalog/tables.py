@@ -215,10 +215,10 @@ def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticket code to product: each ticket is sold under several products."""
     item = read(spark, sf_dir, "lineitem").select("l_linenumber", "l_returnflag").distinct()
-    return item.select(
+    return stage(item.select(
         F.concat(F.lit("T"), F.lpad(F.col("l_linenumber").cast("string"), 2, "0")).alias("ticket_code"),
         F.concat(F.lit("2SS"), "l_returnflag").alias("product"),
-    )
+    ))
 
 
 def feed_prices(spark: SparkSession, sf_dir: str) -> DataFrame:

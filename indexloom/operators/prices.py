@@ -69,9 +69,10 @@ def combine_price_tables(tables: Sequence[DataFrame], keys: Sequence[str]) -> Da
     """All price tables side by side, one shuffle per table.
 
     Joining the result once gives the same rows as joining the tables one after the other, and the
-    large sales table moves once and not once per price table.
+    large sales table moves once and not once per price table. Rows without a full key could match
+    no sale and are left out.
     """
-    return reduce(lambda a, b: a.join(b, list(keys), "full"), tables)
+    return reduce(lambda a, b: a.join(b, list(keys), "full"), [t.dropna("any", subset=list(keys)) for t in tables])
 
 
 def attach_prices(df: DataFrame, prices: DataFrame, keys: Sequence[str], salt: Column | str | None = None) -> DataFrame:
@@ -96,16 +97,24 @@ def with_change(df: DataFrame, base: str, current: str, target: str = "change")
     return df.withColumn(target, pct_change(current, base))
 
 
-def large_rises(df: DataFrame, weight_limit: float, limit: float = 20.0) -> DataFrame:
-    """Rises above the limit on rows below the weight limit."""
-    return df.where((F.col("change") > limit) & (F.col("weight") < weight_limit)).orderBy(F.desc_nulls_last("weight"))
+def _by_weight(df: DataFrame, ties: Sequence[str]) -> DataFrame:
+    return df.orderBy(F.desc_nulls_last("weight"), *ties)
 
 
-def large_falls(df: DataFrame, weight_limit: float, limit: float = 20.0) -> DataFrame:
+def large_rises(df: DataFrame, weight_limit: float, limit: float = 20.0, ties: Sequence[str] = ()) -> DataFrame:
+    """Rises above the limit on rows below the weight limit.
+
+    Review tables are sorted by weight. `ties` orders rows of equal weight; with a row position there,
+    a weight that very many rows share is sorted in more than one task.
+    """
+    return _by_weight(df.where((F.col("change") > limit) & (F.col("weight") < weight_limit)), ties)
+
+
+def large_falls(df: DataFrame, weight_limit: float, limit: float = 20.0, ties: Sequence[str] = ()) -> DataFrame:
     """Falls beyond the limit on rows below the weight limit."""
-    return df.where((F.col("change") < -limit) & (F.col("weight") < weight_limit)).orderBy(F.desc_nulls_last("weight"))
+    return _by_weight(df.where((F.col("change") < -limit) & (F.col("weight") < weight_limit)), ties)
 
 
-def heavy_rows(df: DataFrame, weight_limit: float) -> DataFrame:
+def heavy_rows(df: DataFrame, weight_limit: float, ties: Sequence[str] = ()) -> DataFrame:
     """Rows above the weight limit; taken before unpriced rows are dropped."""
-    return df.where(F.col("weight") > weight_limit).orderBy(F.desc_nulls_last("weight"))
+    return _by_weight(df.where(F.col("weight") > weight_limit), ties)

@@ -94,6 +94,11 @@ def non_advance_detail(filled: DataFrame) -> DataFrame:
     return prices.with_change(prices.drop_unpriced(filled, "price_base", "price_current"), "price_base", "price_current")
 
 
+def _with_row(written: DataFrame) -> DataFrame:
+    """A written table with the position of each row in its file."""
+    return written.withColumn("_row", F.col("_metadata.row_index"))
+
+
 @dataclass(frozen=True)
 class Inputs:
     """Where the inputs of stage 1 are."""
@@ -122,9 +127,10 @@ def run(spark: SparkSession, inputs: Inputs, out: str, run_id: str, codes: Codes
     regulated = delimited.read_regulated_lookup(spark, inputs.regulated)
     categories = delimited.read_category_lookup(spark, inputs.categories)
     audited = build_fact(
-        delimited.read_sales(spark, inputs.sales).withColumn("_salt", F.monotonically_increasing_id()),
-        regulated, categories, codes, "_salt",
-    ).drop("_salt", "flag2")
+        # Given out while the files are scanned, so a re-run task gives out the same numbers.
+        delimited.read_sales(spark, inputs.sales).withColumn("_row", F.monotonically_increasing_id()),
+        regulated, categories, codes, "_row",
+    ).drop("_row", "flag2")
     audited = save(audited, "fact_audit")
     fact = save(audited.select(*FACT_COLUMNS), "fact")
 
@@ -166,10 +172,13 @@ def run(spark: SparkSession, inputs: Inputs, out: str, run_id: str, codes: Codes
         ],
         PRODUCT_KEY,
     )
-    filled = save(fill_prices(fact.withColumn("_salt", F.col("_metadata.row_index")), price_table, "_salt").drop("_salt"), "filled_prices")
+    filled = save(fill_prices(_with_row(fact), price_table, "_row").drop("_row"), "filled_prices")
     detail = save(non_advance_detail(filled), "non_advance")
     written["non_advance"] = detail
-    written["large_rises"] = save(prices.large_rises(detail, fixed.WEIGHT_LIMIT, fixed.CHANGE_LIMIT), "large_rises")
-    written["large_falls"] = save(prices.large_falls(detail, fixed.WEIGHT_LIMIT, fixed.CHANGE_LIMIT), "large_falls")
-    written["heavy_rows"] = save(prices.heavy_rows(filled, fixed.WEIGHT_LIMIT), "heavy_rows")
+    reviews = {
+        "large_rises": prices.large_rises(_with_row(detail), fixed.WEIGHT_LIMIT, fixed.CHANGE_LIMIT, ["_row"]),
+        "large_falls": prices.large_falls(_with_row(detail), fixed.WEIGHT_LIMIT, fixed.CHANGE_LIMIT, ["_row"]),
+        "heavy_rows": prices.heavy_rows(_with_row(filled), fixed.WEIGHT_LIMIT, ["_row"]),
+    }
+    written.update({name: save(df.drop("_row"), name) for name, df in reviews.items()})
     return written
