@@ -44,7 +44,7 @@ def test_product_pattern_is_not_anchored(spark, code, kept):
     assert one(spark, fn.has_code("c", PRODUCT_PATTERN), c=("string", code)) is kept
 
 
-@pytest.mark.parametrize("current, base, expected", [(110.0, 100.0, 10.0), (1.0, 0.0, None), (None, 1.0, None)])
+@pytest.mark.parametrize("current, base, expected", [(110.0, 100.0, 10.0), (206.0, 160.0, 28.75), (1.0, 0.0, None), (None, 1.0, None)])
 def test_pct_change(spark, current, base, expected):
     got = one(spark, fn.pct_change("a", "b"), a=("double", current), b=("double", base))
     assert got == (pytest.approx(expected) if expected is not None else None)
