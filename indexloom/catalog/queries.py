@@ -104,11 +104,8 @@ def split_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = lookups.category_lookup(
         t.with_product(t.lines(spark, sf_dir), spark, sf_dir), t.categories(spark, sf_dir), ["product", "product_group"], salt="row"
     )
-    branches = [
-        rollups.category_branch(rows, advance).withColumn("branch", F.lit(name))
-        for name, advance in (("advance", True), ("non-advance", False))
-    ]
-    return tally(branches[0].unionByName(branches[1]), ["branch", "category"])
+    branch = F.when(F.col("category") == "advance", "advance").otherwise("non-advance")
+    return tally(rows.withColumn("branch", branch), ["branch", "category"])
 
 
 @query
@@ -278,18 +275,20 @@ def product_od_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def latest_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dated = feed.parse_flows(t.feed_lines(spark, sf_dir))
+    dated = t.flows(spark, sf_dir).withColumn("valid_until_date", F.to_date("valid_until", "ddMMyyyy"))
     return prices.latest_validity(dated, ingest.FLOW_KEY, "valid_until_date").select("flow_id", *ingest.FLOW_KEY, "valid_until")
 
 
 @query
 def flow_fare_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = t.feed_prices(spark, sf_dir).groupBy("destination", "route", "ticket_code", "product")
+    found = t.feed_prices(spark, sf_dir, t.tickets(spark, sf_dir)).groupBy("destination", "route", "ticket_code", "product")
     return found.agg(F.count(F.lit(1)).alias("n"), F.sum("fare").alias("fare"))
 
 
 def _kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prices.keep_first(t.feed_prices(spark, sf_dir), [*ingest.FLOW_KEY, "ticket_code", "fare"], ["flow_id", "product"])
+    first = prices.keep_first(t.tickets(spark, sf_dir), ["ticket_code"], ["product"])
+    priced = t.feed_prices(spark, sf_dir, first)
+    return prices.keep_first(priced, [*ingest.FLOW_KEY, "ticket_code", "fare"], ["flow_id", "product"])
 
 
 @query

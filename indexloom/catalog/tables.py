@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,70 +43,97 @@ PRODUCT_KEY, CLASS_KEY = ingest.PRODUCT_KEY, ingest.CLASS_KEY
 SALES_KEY = ["carrier", "region", "origin", "destination", "route", "product", "product_group"]
 
 
+# The schemas of the supplied tables, so that reading one starts no job.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+    "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
+
+
+def line_codes() -> dict[str, Column]:
+    """Destination and route of a line; one of the destinations holds a letter."""
+    line = F.when(F.col("l_linenumber") == 7, F.lit("Q7")).otherwise(F.col("l_linenumber").cast("string"))
+    return {"destination": zero_pad(line, 4), "route": zero_pad("l_returnflag", 5)}
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with the codes they hold themselves. `row` is the place of the row in its file."""
     item = read(spark, sf_dir, "lineitem")
-    line = F.when(F.col("l_linenumber") == 7, F.lit("Q7")).otherwise(F.col("l_linenumber").cast("string"))
     return item.select(
         F.col("_metadata.row_index").alias("row"),
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         "l_linestatus", "l_returnflag", "l_discount", "l_quantity", "l_extendedprice", "l_shipdate",
-        zero_pad(line, 4).alias("destination"),
-        zero_pad("l_returnflag", 5).alias("route"),
+        *[code.alias(name) for name, code in line_codes().items()],
         F.col("l_extendedprice").cast("decimal(18,2)").alias("weight"),
         F.col("l_quantity").alias("journeys"),
         F.year("l_shipdate").alias("year"),
     )
 
 
-def with_region(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Carrier, origin and region of the supplier."""
-    items = lines(spark, sf_dir)
+def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Carrier, origin and region of each nation."""
+    nation = read(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("carrier"), "n_regionkey")
+    region = read(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("region"))
+    return nation.join(region, "n_regionkey").select(
+        F.col("n_nationkey").alias("s_nationkey"), "carrier", "region", zero_pad(F.col("n_nationkey").cast("string"), 4).alias("origin")
+    )
+
+
+def with_nation_key(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    nation = read(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("carrier"), F.col("n_regionkey").alias("r_regionkey")
+    return key_join(rows, supplier, ["l_suppkey"], "inner", "row")
+
+
+def with_nation(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Spark broadcasts this side by itself: both tables are small files, and a join of two estimates says nothing.
+    return df.join(nations(spark, sf_dir), "s_nationkey").drop("s_nationkey")
+
+
+def with_region(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Carrier, origin and region of the supplier."""
+    return with_nation(with_nation_key(rows, spark, sf_dir), spark, sf_dir)
+
+
+def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("l_partkey"), product_code().alias("product"), F.col("p_brand").alias("product_group"), "p_type"
     )
-    region = read(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("region"))
-    df = key_join(df, supplier, ["l_suppkey"], "inner", "row", items)
-    df = key_join(df, nation, ["s_nationkey"], "inner", "row")
-    df = key_join(df, region, ["r_regionkey"], "inner", "row")
-    return df.withColumn("origin", zero_pad(F.col("s_nationkey").cast("string"), 4)).drop("s_nationkey", "r_regionkey")
 
 
 def product_code() -> Column:
     return F.concat(F.substring(F.col("p_size").cast("string"), 1, 1), F.upper(F.substring("p_type", 1, 3)))
 
 
-def with_product(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = read(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("l_partkey"), product_code().alias("product"), F.col("p_brand").alias("product_group")
-    )
-    return key_join(df, part, ["l_partkey"], "inner", "row", lines(spark, sf_dir))
+def with_product(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return key_join(rows, parts(spark, sf_dir).drop("p_type"), ["l_partkey"], "inner", "row")
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One sale per line item."""
-    return with_product(with_region(lines(spark, sf_dir), spark, sf_dir), spark, sf_dir)
-
-
-# Lookups and price tables stand for files of their own, so they are staged like one.
+    rows = lines(spark, sf_dir)
+    located = with_region(rows, spark, sf_dir)
+    return key_join(located, parts(spark, sf_dir).drop("p_type"), ["l_partkey"], "inner", "row", keys_from=rows)
 
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Category of each product and group; small parts have none."""
-    part = read(spark, sf_dir, "part").select(product_code().alias("product"), F.col("p_brand").alias("product_group"), "p_type")
-    named = part.withColumn("category", lookups.code_label("p_type", CATEGORY_BY_TYPE)).where("category is not null")
-    return stage(named.select("product", "product_group", "category").distinct())
+    named = parts(spark, sf_dir).withColumn("category", lookups.code_label("p_type", CATEGORY_BY_TYPE)).where("category is not null")
+    return named.select("product", "product_group", "category").distinct()
 
 
 def regulated(sales_rows: DataFrame) -> DataFrame:
     """Keys sold without discount, with a flag."""
     undiscounted = sales_rows.where(F.col("l_discount") == 0)
-    return stage(undiscounted.groupBy(*PRODUCT_KEY).agg(F.max("l_linestatus").alias("flag2")))
+    return undiscounted.groupBy(*PRODUCT_KEY).agg(F.max("l_linestatus").alias("flag2"))
 
 
 def is_base() -> Column:
@@ -125,7 +154,7 @@ def price_sources(which: str) -> dict[str, tuple[Column, Column]]:
 
 
 def price_table(sales_rows: DataFrame, keys: list[str], which: str = "both") -> DataFrame:
-    return stage(prices.prices_by_period(sales_rows, keys, price_sources(which)))
+    return prices.prices_by_period(sales_rows, keys, price_sources(which))
 
 
 def fact(spark: SparkSession, sf_dir: str, audit: bool = False) -> DataFrame:
@@ -141,31 +170,39 @@ def classified(rows: DataFrame, regulated_rows: DataFrame, category_rows: DataFr
     return df if audit else df.drop(*lookups.audit_columns(STATUS_RULES))
 
 
-def priced_fact(spark: SparkSession, sf_dir: str, which: str = "both") -> DataFrame:
+def priced_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Non-advance sales row by row with their prices, gaps filled."""
-    return ingest.fill_prices(fact(spark, sf_dir), price_table(sales(spark, sf_dir), PRODUCT_KEY, which), "row")
+    cube = sales_cube(spark, sf_dir, ["product"])
+    facts = classified(sales(spark, sf_dir), regulated(cube), categories(spark, sf_dir), "row")
+    return ingest.fill_prices(facts, price_table(cube, PRODUCT_KEY), "row")
 
 
-def sales_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales_cube(spark: SparkSession, sf_dir: str, product_keys: Sequence[str] = ("product", "product_group")) -> DataFrame:
     """Sales summed over everything the index tells apart.
 
     One pass over the line items feeds the fact weights, the prices and the regulated lookup of the
-    index. Codes come from fixed domains, so the size of this frame does not grow with the sales.
+    index. Codes come from fixed domains, so the size of this frame does not grow with the sales; most
+    codes are only derived after the sum.
     """
-    rows = sales(spark, sf_dir).select(
-        *SALES_KEY, "l_linestatus",
+    rows = lines(spark, sf_dir)
+    coded = key_join(
+        with_nation_key(rows, spark, sf_dir), parts(spark, sf_dir).drop("p_type"), ["l_partkey"], "inner", "row", keys_from=rows
+    ).select(
+        "s_nationkey", "l_linenumber", "l_returnflag", *product_keys, "l_linestatus",
         F.when(F.col("l_discount") == 0, F.lit(0.0)).otherwise(F.lit(1.0)).alias("l_discount"),
         F.when(is_base(), F.lit(LAST_BASE_YEAR)).otherwise(F.lit(LAST_BASE_YEAR + 1)).alias("year"),
         "weight", "journeys",
     )
-    return stage(rollups.sum_by(rows, [*SALES_KEY, "l_linestatus", "l_discount", "year"], ["weight", "journeys"]))
+    keys = [c for c in coded.columns if c not in ("weight", "journeys")]
+    summed = rollups.sum_by(coded, keys, ["weight", "journeys"])
+    return stage(with_nation(summed.withColumns(line_codes()), spark, sf_dir))
 
 
 def index_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Advance detail, non-advance detail and fact weights of the index, all from the cube."""
     cube = sales_cube(spark, sf_dir)
     weights = rollups.sum_by(cube, SALES_KEY, ["weight", "journeys"])
-    facts = classified(weights, regulated(cube), categories(spark, sf_dir), None).drop("flag2")
+    facts = stage(classified(weights, regulated(cube), categories(spark, sf_dir), None).drop("flag2"))
     advance = ingest.advance_detail(facts, price_table(ingest.classify(cube, CODES), CLASS_KEY, "derived"))
     non_advance = ingest.non_advance_detail(ingest.fill_prices(facts, price_table(cube, PRODUCT_KEY)))
     return advance, non_advance.select(*advance.columns, "status", "category"), facts
@@ -215,18 +252,18 @@ def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticket code to product: each ticket is sold under several products."""
     item = read(spark, sf_dir, "lineitem").select("l_linenumber", "l_returnflag").distinct()
-    return stage(item.select(
+    return item.select(
         F.concat(F.lit("T"), F.lpad(F.col("l_linenumber").cast("string"), 2, "0")).alias("ticket_code"),
         F.concat(F.lit("2SS"), "l_returnflag").alias("product"),
-    ))
+    )
 
 
-def feed_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feed_prices(spark: SparkSession, sf_dir: str, ticket_rows: DataFrame) -> DataFrame:
     """Fares of the latest flows with their products."""
     dated = flows(spark, sf_dir).withColumn("valid_until_date", F.to_date("valid_until", "ddMMyyyy"))
     latest = prices.latest_validity(dated, ingest.FLOW_KEY, "valid_until_date")
     return prices.flow_prices(
-        latest.select("flow_id", *ingest.FLOW_KEY), fares(spark, sf_dir), tickets(spark, sf_dir), "row"
+        latest.select("flow_id", *ingest.FLOW_KEY), fares(spark, sf_dir), ticket_rows, "row"
     ).select(*ingest.FLOW_KEY, "flow_id", "ticket_code", "fare", "product")
 
 

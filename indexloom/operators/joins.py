@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from indexloom.session import stage
+
 
 def fits_broadcast(df: DataFrame) -> bool:
     """True if the optimizer's size estimate is within the session's broadcast threshold."""
@@ -16,6 +18,14 @@ def fits_broadcast(df: DataFrame) -> bool:
     return size <= limit
 
 
+def is_scan(df: DataFrame) -> bool:
+    """True if the frame reads files without joining or grouping them, so that file sizes tell its size."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.children().size() == 1 and plan.nodeName() in ("Project", "Filter"):
+        plan = plan.children().head()
+    return plan.nodeName().startswith("Relation") or plan.nodeName() == "LogicalRelation"
+
+
 def hot_keys(df: DataFrame, on: Sequence[str]) -> list[Row]:
     """Keys that alone outgrow an average shuffle partition, with the number of pieces to cut them into.
 
@@ -39,9 +49,11 @@ def key_join(
 ) -> DataFrame:
     """Join `right` to `left` on equal keys (left, inner, left_semi or left_anti).
 
-    A right side whose size is known to be small is broadcast. Otherwise both sides are shuffled. The
-    keys of the left side are counted first, and the rows of a hot key, null included, are cut into
-    pieces that go to different partitions, each meeting its own copy of the matching right rows.
+    A right side whose size is known to be small is broadcast. One whose size is not known, as it
+    comes from an aggregate or a join, is written out first and so measured. Otherwise both sides are
+    shuffled. The keys of the left side are counted first, and the rows of a hot key, null included,
+    are cut into pieces that go to different partitions, each meeting its own copy of the matching
+    right rows.
 
     `salt` must give the same number for a row each time it is computed, or a re-run task could
     send rows to other pieces than the first run did; a row position in a file does. The default is
@@ -51,6 +63,8 @@ def key_join(
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"key_join cannot spread a {how!r} join")
     on = list(on)
+    if not fits_broadcast(right) and not is_scan(right):
+        right = stage(right)
     if fits_broadcast(right):
         return left.join(F.broadcast(right), on, how)
 

@@ -65,8 +65,10 @@ def list_prices(lines: DataFrame, tickets: DataFrame) -> dict[str, DataFrame]:
     flows = feed.parse_flows(lines).withColumnsRenamed({"file": "flow_file", "block": "flow_block", "seq": "flow_seq"})
     fares = feed.parse_fares(lines).withColumnsRenamed({"file": "fare_file", "block": "fare_block", "seq": "fare_seq"})
     latest = prices.latest_validity(flows, FLOW_KEY, "valid_until_date", "flow_seq")
-    priced = prices.flow_prices(latest, fares, tickets, "fare_seq")
-    file_order = ["flow_file", "flow_block", "flow_seq", "fare_file", "fare_block", "fare_seq", "lookup_seq"]
+    # Of a ticket's products only the first would be kept below, so the others need not be joined.
+    first = prices.keep_first(tickets, ["ticket_code"], ["lookup_seq"])
+    priced = prices.flow_prices(latest, fares, first, "fare_seq")
+    file_order = ["flow_file", "flow_block", "flow_seq", "fare_file", "fare_block", "fare_seq"]
     kept = stage(prices.keep_first(priced, [*FLOW_KEY, "ticket_code", "fare"], file_order))
     return {
         "prices": kept.select(*PRODUCT_KEY, F.col("fare").cast("double").alias("fare")),

@@ -67,6 +67,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None) -
         SparkSession.builder.master(f"local[{cores}]")
         .appName("indexloom")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.local.dir", scratch)
