@@ -79,28 +79,23 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Carrier, origin and region of each nation."""
-    nation = read(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("carrier"), "n_regionkey")
-    region = read(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("region"))
-    return nation.join(region, "n_regionkey").select(
-        F.col("n_nationkey").alias("s_nationkey"), "carrier", "region", zero_pad(F.col("n_nationkey").cast("string"), 4).alias("origin")
-    )
-
-
 def with_nation_key(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     return key_join(rows, supplier, ["l_suppkey"], "inner", "row")
 
 
-def with_nation(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Spark broadcasts this side by itself: both tables are small files, and a join of two estimates says nothing.
-    return df.join(nations(spark, sf_dir), "s_nationkey").drop("s_nationkey")
+def with_nation(df: DataFrame, spark: SparkSession, sf_dir: str, salt: str | None = None) -> DataFrame:
+    """Carrier, region and origin of a nation."""
+    nation = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("carrier"), "n_regionkey")
+    region = read(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("region"))
+    df = key_join(df, nation, ["s_nationkey"], "inner", salt)
+    df = key_join(df, region, ["n_regionkey"], "inner", salt)
+    return df.withColumn("origin", zero_pad(F.col("s_nationkey").cast("string"), 4)).drop("s_nationkey", "n_regionkey")
 
 
 def with_region(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Carrier, origin and region of the supplier."""
-    return with_nation(with_nation_key(rows, spark, sf_dir), spark, sf_dir)
+    return with_nation(with_nation_key(rows, spark, sf_dir), spark, sf_dir, "row")
 
 
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -395,5 +390,5 @@ def extended_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def filled_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     sums = yearly_sums(spark, sf_dir)
-    template = series.extend_series(index_series(sums), series.BY_SECTOR)
+    template = stage(series.extend_series(index_series(sums), series.BY_SECTOR))
     return series.fill_series(template, series_report(sums), series.BY_SECTOR, DEFLATOR)

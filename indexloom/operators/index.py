@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from indexloom.functions import has_code
-from indexloom.operators.rollups import sum_by
+from indexloom.operators.rollups import sum_by, with_keys
 
 CELL = ["sector", "class", "category", "status"]
 FOUR_DIGITS = "[0-9][0-9][0-9][0-9]"
@@ -65,12 +65,12 @@ def cell_grid(priced: DataFrame, fact_weights: DataFrame) -> DataFrame:
     Cells known to one side only are kept, with null for what the other side would give. Both sides
     go through one grouped sum, which replaces a full outer join of two grouped results.
     """
-    price_rows = priced.dropna("any", subset=CELL).select(
+    price_rows = with_keys(priced, CELL).select(
         *CELL,
         F.col("weight").alias("priced_weight"),
         (F.col("weight").cast("double") * F.col("change")).alias("factor"),
     )
-    weight_rows = fact_weights.dropna("any", subset=CELL).select(*CELL, F.col("weight").alias("total_weight"))
+    weight_rows = with_keys(fact_weights, CELL).select(*CELL, F.col("weight").alias("total_weight"))
     grid = (
         price_rows.unionByName(weight_rows, allowMissingColumns=True)
         .groupBy(*CELL)
@@ -141,4 +141,4 @@ def split_by(grid: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
 
 def prepared_weights(fact: DataFrame) -> DataFrame:
     """Weight side of the grid: rows without a product key do not count."""
-    return sum_by(fact.dropna("any", subset=["product", "product_group"]), CELL, ["weight"])
+    return sum_by(with_keys(fact, ["product", "product_group"]), CELL, ["weight"])

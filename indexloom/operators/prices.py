@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from indexloom.functions import null_if_zero, pct_change
 from indexloom.operators.joins import key_join
+from indexloom.operators.rollups import with_keys
 
 
 def latest_validity(flows: DataFrame, keys: Sequence[str], until: str, salt: Column | str | None = None) -> DataFrame:
@@ -62,7 +63,7 @@ def prices_by_period(sales: DataFrame, keys: Sequence[str], sources: Mapping[str
         unit_price(F.col(f"_{name}_receipts").cast("double"), F.col(f"_{name}_issues").cast("double")).alias(name)
         for name in sources
     ]
-    return sales.dropna(subset=list(keys)).groupBy(*keys).agg(*sums).select(*keys, *prices)
+    return with_keys(sales, keys).groupBy(*keys).agg(*sums).select(*keys, *prices)
 
 
 def combine_price_tables(tables: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -72,7 +73,7 @@ def combine_price_tables(tables: Sequence[DataFrame], keys: Sequence[str]) -> Da
     large sales table moves once and not once per price table. Rows without a full key could match
     no sale and are left out.
     """
-    return reduce(lambda a, b: a.join(b, list(keys), "full"), [t.dropna("any", subset=list(keys)) for t in tables])
+    return reduce(lambda a, b: a.join(b, list(keys), "full"), [with_keys(t, keys) for t in tables])
 
 
 def attach_prices(df: DataFrame, prices: DataFrame, keys: Sequence[str], salt: Column | str | None = None) -> DataFrame:

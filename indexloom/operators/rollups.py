@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows that have all keys; plain null tests, which are pushed down to the files."""
+    return df.where(reduce(and_, [F.col(k).isNotNull() for k in keys]))
+
+
 def sum_by(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Sum measures per key. Rows with a null key are left out and a sum over nulls only is 0."""
     sums = [F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures]
-    return df.dropna("any", subset=list(keys)).groupBy(*keys).agg(*sums)
+    return with_keys(df, keys).groupBy(*keys).agg(*sums)
 
 
 def control_totals(fact: DataFrame) -> DataFrame:

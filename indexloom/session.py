@@ -36,7 +36,7 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a one-machine session without one gets a folder of its own.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")

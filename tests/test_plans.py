@@ -50,7 +50,6 @@ def test_all_splits_come_from_one_pass(spark):
 
 def test_large_sides_are_not_broadcast(without_broadcast):
     plan = plan_of(t.sales(without_broadcast, SF_DIR))
-    # Nation and region follow the session's threshold as well.
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
 
 
