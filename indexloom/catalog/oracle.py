@@ -281,6 +281,31 @@ filled_series AS (
          (SELECT max(year) + 5 FROM levels) - 1990, (value - deflated) / deflated * 100 FROM newest
 )"""
 
+# The other series: its block names, and the years in its statistic labels.
+_TICKET_TYPE_NAMES = [
+    ("'London and South East'", "'London and SE operators'"),
+    ("'Long distance'", "'Long-distance operators'"),
+    ("'Regional'", "'Regional operators'"),
+    ("'All operators'", "'All tickets'"),
+    ("'All items index'", "'RPI (all items)'"),
+    ("'RPI'", "'RPI (all items)'"),
+    (
+        "'Real terms change in average price year on year'",
+        "(SELECT 'Real terms change in average price ' || CAST(max(year) + 1 AS VARCHAR) || ' on ' || CAST(max(year) AS VARCHAR) FROM levels)",
+    ),
+    (
+        "'Real terms change in average price year on 2004'",
+        "(SELECT 'Real terms change in average price ' || CAST(max(year) + 1 AS VARCHAR) || ' on 1995' FROM levels)",
+    ),
+]
+
+
+def _as_ticket_type(sql: str) -> str:
+    for name, other in _TICKET_TYPE_NAMES:
+        sql = sql.replace(name, other)
+    return sql
+
+
 _TO_SALES = [_LINES, _PRODUCTS, _CARRIERS, _SALES]
 _TO_FACT = [*_TO_SALES, _CLASSIFIED, _CATEGORIES, _REGULATED, _AUDITED, _FACT]
 _TO_DETAIL = [*_TO_FACT, _PRICES, _FILLED, _DETAIL]
@@ -355,6 +380,12 @@ _AUDIT = "status_start, status_toc, status_products, status_exceptions, status_c
 _SERIES_ROW = "load_id, publication_status, sector, ticket_category, category_order, label, label_order"
 
 
+_EXTENDED = f"""
+SELECT {_SERIES_ROW},
+       CASE WHEN label LIKE 'January%' AND label <> 'January ' || CAST((SELECT max(year) + 1 FROM levels) AS VARCHAR) THEN round(value, 4) END AS value
+FROM filled_series"""
+
+
 def _series_rows(where: str) -> str:
     return _with(_TO_SERIES, f"SELECT sector, ticket_category, label, round(value, 4) AS value FROM filled_series WHERE {where}")
 
@@ -497,11 +528,10 @@ SELECT sector, label, round(index_value, 4) AS value, round(value + 100 - index_
 FROM (SELECT *, product((100 + value) / 100) OVER (PARTITION BY sector ORDER BY label ROWS UNBOUNDED PRECEDING) * 100 AS index_value FROM changes)
 UNION ALL
 SELECT sector, 'Average change in price (%)', round(max_by(value, label), 4), CAST(NULL AS DOUBLE) FROM changes GROUP BY sector"""),
-        "series_extend": _with(_TO_SERIES, f"""
-SELECT {_SERIES_ROW},
-       CASE WHEN label LIKE 'January%' AND label <> 'January ' || CAST((SELECT max(year) + 1 FROM levels) AS VARCHAR) THEN round(value, 4) END AS value
-FROM filled_series"""),
+        "series_extend": _with(_TO_SERIES, _EXTENDED),
         "series_fill": _with(_TO_SERIES, f"SELECT {_SERIES_ROW}, round(value, 4) AS value FROM filled_series"),
+        "series_extend_ticket_type": _as_ticket_type(_with(_TO_SERIES, _EXTENDED)),
+        "series_fill_ticket_type": _as_ticket_type(_with(_TO_SERIES, f"SELECT {_SERIES_ROW}, round(value, 4) AS value FROM filled_series")),
         "index_roll_forward": _series_rows("sector <> 'RPI' AND label = 'January ' || CAST((SELECT max(year) + 1 FROM levels) AS VARCHAR)"),
         "deflator_roll_forward": _series_rows("sector = 'RPI' AND label LIKE 'January%'"),
         "real_terms_yoy": _series_rows("label = 'Real terms change in average price year on year'"),

@@ -532,6 +532,16 @@ def series_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _block_rows(t.filled_series(spark, sf_dir))
 
 
+@query
+def series_extend_ticket_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _block_rows(t.extended_series(spark, sf_dir, series.BY_TICKET_TYPE))
+
+
+@query
+def series_fill_ticket_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _block_rows(t.filled_series(spark, sf_dir, series.BY_TICKET_TYPE))
+
+
 def _statistic(df: DataFrame, rows: Column) -> DataFrame:
     return df.where(rows).select("sector", "ticket_category", "label", rounded("value"))
 

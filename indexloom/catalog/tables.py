@@ -321,24 +321,31 @@ def usage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Index series: average price per region and year.
 
-SERIES_SECTOR = {"AFRICA": "London and South East", "EUROPE": "Long distance", "ASIA": "Regional"}
+SERIES_REGIONS = ("AFRICA", "EUROPE", "ASIA")
+# The total block and the deflator block of each series.
+SERIES_BLOCKS = {
+    series.BY_SECTOR: (series.TOTAL_BLOCKS[0], series.DEFLATOR_BLOCKS[0]),
+    series.BY_TICKET_TYPE: (series.TOTAL_BLOCKS[1], series.DEFLATOR_BLOCKS[1]),
+}
 SERIES_COLUMNS = ["load_id", "publication_status", "sector", "ticket_category", "category_order", "label", "label_order", "value"]
 
 
-def yearly_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+def yearly_sums(spark: SparkSession, sf_dir: str, kind: series.SeriesKind = series.BY_SECTOR) -> DataFrame:
     """Sums per region and year, a handful of rows that everything below starts from."""
     rows = with_region(lines(spark, sf_dir), spark, sf_dir)
-    named = rows.withColumn("sector", F.coalesce(lookups.code_label("region", SERIES_SECTOR), "region"))
+    names = dict(zip(SERIES_REGIONS, kind.sectors, strict=True))
+    named = rows.withColumn("sector", F.coalesce(lookups.code_label("region", names), "region"))
     return stage(rollups.sum_by(named, ["sector", "year"], ["weight", "journeys"]))
 
 
-def yearly_levels(sums: DataFrame) -> DataFrame:
+def yearly_levels(sums: DataFrame, kind: series.SeriesKind = series.BY_SECTOR) -> DataFrame:
     """Average price per block and year: every region, the total, and the total again as deflator."""
+    (total_sector, total_category), (deflator_sector, deflator_category) = SERIES_BLOCKS[kind]
     total = sums.groupBy("year").agg(F.sum("weight").alias("weight"), F.sum("journeys").alias("journeys"))
     blocks = [
         (sums, F.col("sector"), "All tickets", 1),
-        (total, F.lit("All operators"), "All tickets", 2),
-        (total, F.lit("RPI"), "All items index", 3),
+        (total, F.lit(total_sector), total_category, 2),
+        (total, F.lit(deflator_sector), deflator_category, 3),
     ]
     frames = [
         df.select(
@@ -350,15 +357,15 @@ def yearly_levels(sums: DataFrame) -> DataFrame:
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
-def index_series(sums: DataFrame) -> DataFrame:
+def index_series(sums: DataFrame, kind: series.SeriesKind = series.BY_SECTOR) -> DataFrame:
     """The series as last published: a January per year, then the statistics."""
-    levels = yearly_levels(sums)
+    levels = yearly_levels(sums, kind)
     januaries = levels.select(
         "sector", "ticket_category", "category_order",
         F.concat(F.lit("January "), F.col("year").cast("string")).alias("label"),
         (F.col("year") - 1990).alias("label_order"), "value",
     )
-    labels = series.BY_SECTOR.statistics(0)
+    labels = kind.statistics(sums.agg(F.max("year")).first()[0])
     statistics = levels.select("sector", "ticket_category", "category_order").distinct().select(
         "*", F.posexplode(F.array(*[F.lit(label) for label in labels])).alias("place", "label")
     ).select(
@@ -384,11 +391,11 @@ def series_report(sums: DataFrame) -> DataFrame:
     )
 
 
-def extended_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return series.extend_series(index_series(yearly_sums(spark, sf_dir)), series.BY_SECTOR)
+def extended_series(spark: SparkSession, sf_dir: str, kind: series.SeriesKind = series.BY_SECTOR) -> DataFrame:
+    return series.extend_series(index_series(yearly_sums(spark, sf_dir, kind), kind), kind)
 
 
-def filled_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sums = yearly_sums(spark, sf_dir)
-    template = stage(series.extend_series(index_series(sums), series.BY_SECTOR))
-    return series.fill_series(template, series_report(sums), series.BY_SECTOR, DEFLATOR)
+def filled_series(spark: SparkSession, sf_dir: str, kind: series.SeriesKind = series.BY_SECTOR) -> DataFrame:
+    sums = yearly_sums(spark, sf_dir, kind)
+    template = stage(series.extend_series(index_series(sums, kind), kind))
+    return series.fill_series(template, series_report(sums), kind, DEFLATOR)

@@ -6,7 +6,6 @@ from indexloom.functions.columns import (
     lenient_number,
     null_if_zero,
     pct_change,
-    period_label,
     real_change,
     rolled_forward,
     zero_pad,
@@ -20,7 +19,6 @@ __all__ = [
     "lenient_number",
     "null_if_zero",
     "pct_change",
-    "period_label",
     "real_change",
     "rolled_forward",
     "zero_pad",

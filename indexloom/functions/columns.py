@@ -60,8 +60,3 @@ def rolled_forward(previous: Column, change_pct: Column) -> Column:
 def real_change(value: Column, previous: Column, deflator_pct: Column) -> Column:
     """Change on the previous value once that has been raised by the deflator, in percent."""
     return pct_change(value, rolled_forward(previous, deflator_pct))
-
-
-def period_label(year: Column) -> Column:
-    """Label of a yearly index point."""
-    return F.concat(F.lit("January "), year.cast("string"))
