@@ -63,6 +63,9 @@ def key_join(
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"key_join cannot spread a {how!r} join")
     on = list(on)
+    if how in ("left_semi", "left_anti"):
+        # Only asks whether there is a match, so entries listed many times need not travel.
+        right = right.select(*on).distinct()
     if not fits_broadcast(right) and not is_scan(right):
         right = stage(right)
     if fits_broadcast(right):

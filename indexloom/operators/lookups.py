@@ -93,9 +93,9 @@ def category_lookup(df: DataFrame, lookup: DataFrame, on: Sequence[str], target:
 
 def unmatched_keys(df: DataFrame, lookup: DataFrame, on: Sequence[str]) -> DataFrame:
     """Distinct keys of `df` without an entry in the lookup."""
-    return key_join(df.select(*on).distinct(), lookup.select(*on), on, "left_anti")
+    return key_join(df.select(*on).distinct(), lookup, on, "left_anti")
 
 
 def only_in(lookup: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of one lookup version whose key is not in the other version."""
-    return key_join(lookup, other.select(*on).distinct(), on, "left_anti")
+    return key_join(lookup, other, on, "left_anti")

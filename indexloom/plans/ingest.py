@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from indexloom.functions import has_code
 from indexloom.operators import lookups, prices, rollups
 from indexloom.plans import fixed_values as fixed
-from indexloom.session import stage
+from indexloom.session import stage, tune
 from indexloom.sources import delimited, feed, tables
 
 FLOW_KEY = ["origin", "destination", "route"]
@@ -64,6 +64,8 @@ def list_prices(lines: DataFrame, tickets: DataFrame) -> dict[str, DataFrame]:
     """Prices of one feed: the table that is joined, and the duplicates to be looked at."""
     flows = feed.parse_flows(lines).withColumnsRenamed({"file": "flow_file", "block": "flow_block", "seq": "flow_seq"})
     fares = feed.parse_fares(lines).withColumnsRenamed({"file": "fare_file", "block": "fare_block", "seq": "fare_seq"})
+    # Both are read more than once below; the text is read once for each.
+    flows, fares = stage(flows), stage(fares)
     latest = prices.latest_validity(flows, FLOW_KEY, "valid_until_date", "flow_seq")
     # Of a ticket's products only the first would be kept below, so the others need not be joined.
     first = prices.keep_first(tickets, ["ticket_code"], ["lookup_seq"])
@@ -120,24 +122,28 @@ class Inputs:
 def run(spark: SparkSession, inputs: Inputs, out: str, run_id: str, codes: Codes | None = None) -> dict[str, DataFrame]:
     """Run stage 1 and write every result and review table under `out`.
 
-    The fact and the filled prices are written once and read back by all that follows.
+    The fact, with its audit columns, and the filled prices are written once and read back by all that
+    follows, which reads only the columns it needs.
     """
+    tune(spark)
+
     def save(df: DataFrame, name: str) -> DataFrame:
         return tables.write_run(df, out, name, run_id)
 
     codes = codes or Codes()
     regulated = delimited.read_regulated_lookup(spark, inputs.regulated)
     categories = delimited.read_category_lookup(spark, inputs.categories)
-    audited = build_fact(
+    classified = build_fact(
         # Given out while the files are scanned, so a re-run task gives out the same numbers.
         delimited.read_sales(spark, inputs.sales).withColumn("_row", F.monotonically_increasing_id()),
         regulated, categories, codes, "_row",
     ).drop("_row", "flag2")
-    audited = save(audited, "fact_audit")
-    fact = save(audited.select(*FACT_COLUMNS), "fact")
+    audited = save(classified, "fact")
+    fact = audited.select(*FACT_COLUMNS)
 
     written = {
         "fact": fact,
+        "status_audit": audited,
         "status_check": save(fact.select("product", "product_group", "status").distinct(), "status_check"),
         "missing_categories": save(
             lookups.missing_rows(fact, "category").select("product", "product_group").distinct(), "missing_categories"

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from indexloom.operators import series, usage
 from indexloom.plans import fixed_values as fixed
+from indexloom.session import tune
 from indexloom.sources import tables
 
 
@@ -32,9 +33,10 @@ def run(
     out: str, run_id: str, deflator: float, year: int | None = None, load: bool = True,
 ) -> dict[str, DataFrame]:
     """Build both series and append them to their warehouse tables, one path per series kind."""
+    tune(spark)
     written = {}
     for kind in (series.BY_SECTOR, series.BY_TICKET_TYPE):
-        last = tables.latest_snapshot(tables.read_warehouse(spark, warehouse[kind.name]))
+        last = tables.latest_snapshot(tables.plain_series(tables.read_warehouse(spark, warehouse[kind.name]), kind.name))
         built = next_series(last, report, keys, kind, deflator, year)
         if kind is series.BY_SECTOR:
             built = series.insert_revenue_per_journey(built, journey_changes(revenue, journeys))

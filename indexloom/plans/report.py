@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from indexloom.operators import index, rollups
 from indexloom.plans import fixed_values as fixed
+from indexloom.plans import ingest
+from indexloom.session import tune
 from indexloom.sources import tables
 
 
@@ -21,9 +23,11 @@ def run(
     spark: SparkSession, stage1: str, out: str, run_id: str, stage1_run: str | None = None,
     excluded_products: Sequence[str] = fixed.EXCLUDED_PRODUCTS,
 ) -> dict[str, DataFrame]:
+    tune(spark)
     advance, non_advance, fact = (
         tables.read_run(spark, stage1, name, stage1_run) for name in ("advance", "non_advance", "fact")
     )
+    fact = fact.select(*ingest.FACT_COLUMNS)
     reviewed = index.without_products(index.numeric_places(index.union_detail(advance, non_advance)), excluded_products)
     grid = tables.write_run(build_grid(advance, non_advance, fact, excluded_products), out, "cell_grid", run_id)
     return {

@@ -32,6 +32,7 @@ REGULATED_HEADER = {
     "flag2": "flag2",
 }
 CATEGORY_HEADER = {"Product Code": "product", "Product Primary Code": "product_group", "Category": "category"}
+SERIES_KEY_HEADER = {"final_answers": "part", "Sector": "sector", "Ticket category": "ticket_category"}
 # Headers of the price files, whose last key differs by kind.
 PRICE_HEADERS = {
     "advance": {"Origin Code": "origin", "Destination Code": "destination", "Route Code": "route", "class": "class",
@@ -70,6 +71,11 @@ def read_category_lookup(spark: SparkSession, path: str) -> DataFrame:
     return read_named_csv(spark, path, CATEGORY_HEADER).withColumn("category", F.lower("category"))
 
 
+def read_series_keys(spark: SparkSession, path: str) -> DataFrame:
+    """Part of the split report to the series block it is published in."""
+    return read_named_csv(spark, path, SERIES_KEY_HEADER)
+
+
 def read_ticket_lookup(spark: SparkSession, path: str, ticket_column: str, product_column: str) -> DataFrame:
     """Ticket code to product code. `lookup_seq` is the order of the entries in the file."""
     rows = read_named_csv(spark, path, {ticket_column: "ticket_code", product_column: "product"})

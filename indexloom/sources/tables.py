@@ -9,6 +9,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_SHARED_COLUMNS = {
+    "Load_ID": "load_id",
+    "Publication_status": "publication_status",
+    "Sector": "sector",
+    "Ticket category": "ticket_category",
+    "Year & stats": "label",
+}
+# Column names of the published series tables, which differ by series.
+SERIES_COLUMNS = {
+    "ticket_category": _SHARED_COLUMNS
+    | {"ordering value of ticket category": "category_order", "ordering of year & stats": "label_order"},
+    "ticket_type": _SHARED_COLUMNS
+    | {"ordering values of ticket category": "category_order", "ordering value of year and stats": "label_order"},
+}
+
+
+def plain_series(df: DataFrame, kind: str) -> DataFrame:
+    """A series table with plain column names; a table that has them already is left as it is."""
+    return df.withColumnsRenamed(SERIES_COLUMNS[kind])
+
+
+def published_series(df: DataFrame, kind: str) -> DataFrame:
+    """A series table with its published column names."""
+    return df.withColumnsRenamed({plain: name for name, plain in SERIES_COLUMNS[kind].items()})
+
+
 def new_run_id(now: datetime | None = None) -> str:
     return (now or datetime.now()).strftime("%Y%m%d_%H-%M")
 

@@ -76,6 +76,8 @@ def test_fact(results):
     assert (rows["2MTA", "0001"].status, rows["2MTA", "0001"].category) == ("Regulated", "season")
     assert rows["2BAF", "0001"].status == "Regulated" and rows["2BAF", "0A01"].status == "Unregulated"
     assert (rows["1ADV", "0003"].status, rows["1ADV", "0003"]["class"]) == ("Unregulated", "1")
+    audit = {(r["product"], r.origin): r.status_pcc for r in results["status_audit"].collect()}
+    assert audit["2BAF", "0001"] == "Regulated_by_TOC" and audit["1ADV", "0003"] == "Unregulated_by_PCC"
     new = rows["2NEW", "0001"]
     assert (new.sector, new.ticket_type, new.category) == ("Missing", "Other", "Missing")
 

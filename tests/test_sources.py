@@ -124,3 +124,19 @@ def test_loads(spark, tmp_path):
     assert tables.max_load_id(table).first().load_id == 2
     assert tables.latest_snapshot(table).first().value == 2.0
     assert tables.snapshot(table, 1).first().value == 1.0
+
+
+def test_series_keys(spark, tmp_path):
+    path = tmp_path / "keys.csv"
+    path.write_text("final_answers,Sector,Ticket category\n\"('Long D', '1')\",Long distance,First class\n")
+    assert tuple(delimited.read_series_keys(spark, str(path)).first()) == ("('Long D', '1')", "Long distance", "First class")
+
+
+@pytest.mark.parametrize("kind, order", [("ticket_category", "ordering of year & stats"), ("ticket_type", "ordering value of year and stats")])
+def test_series_column_names(spark, kind, order):
+    names = "load_id int, publication_status string, sector string, ticket_category string, category_order int, label string, label_order int, value double"
+    plain = spark.createDataFrame([(1, "Approved", "s", "c", 1, "January 2018", 2, 3.0)], names)
+    published = tables.published_series(plain, kind)
+    assert published.columns[6] == order and "Year & stats" in published.columns
+    assert tables.plain_series(published, kind).schema == plain.schema
+    assert tables.plain_series(plain, kind).schema == plain.schema
