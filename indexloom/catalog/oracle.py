@@ -350,12 +350,12 @@ SELECT {_FACT_ROW}, journeys, CAST(weight AS DOUBLE) AS weight, round(price_base
 FROM detail WHERE {where}""")
 
 
-def _parts_sold(year: int, other: int) -> str:
+def _parts_sold(period: str, other: str) -> str:
     keys = "l_partkey, l_suppkey, l_linenumber, l_returnflag"
     same = " AND ".join(f"o.{k} = s.{k}" for k in keys.split(", "))
     return f"""
-SELECT DISTINCT {keys} FROM lineitem s WHERE year(l_shipdate) = {year}
-  AND NOT EXISTS (SELECT 1 FROM lineitem o WHERE year(o.l_shipdate) = {other} AND {same})""".strip()
+SELECT DISTINCT {keys} FROM lineitem s WHERE year(l_shipdate) {period}
+  AND NOT EXISTS (SELECT 1 FROM lineitem o WHERE year(o.l_shipdate) {other} AND {same})""".strip()
 
 
 _SPLITS = [
@@ -453,8 +453,8 @@ LEFT JOIN categories k ON p.product = k.product AND p.product_group = k.product_
         "category_unmatched": _with([_LINES, _PRODUCTS, _CATEGORIES], """
 SELECT DISTINCT p.product, p.product_group FROM lines JOIN products p ON l_partkey = p_partkey
 WHERE NOT EXISTS (SELECT 1 FROM categories k WHERE k.product = p.product AND k.product_group = p.product_group)"""),
-        "lookup_only_new": _parts_sold(1998, 1997),
-        "lookup_only_old": _parts_sold(1997, 1998),
+        "lookup_only_new": _parts_sold("> 1997", "<= 1997"),
+        "lookup_only_old": _parts_sold("<= 1997", "> 1997"),
         "control_totals": _sum(_TO_SALES, "sales", "carrier", journeys=True),
         "advance_rollup": _sum(
             _TO_FACT, "(SELECT * FROM fact WHERE category = 'advance')",

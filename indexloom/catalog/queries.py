@@ -196,22 +196,26 @@ def category_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookups.unmatched_keys(rows, t.categories(spark, sf_dir), ["product", "product_group"])
 
 
-def _parts_sold(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
-    rows = t.lines(spark, sf_dir).where(F.col("year") == year)
-    return rows.select("l_partkey", "l_suppkey", "l_linenumber", "l_returnflag").distinct()
+LOOKUP_KEY = ["l_partkey", "l_suppkey", "l_linenumber", "l_returnflag"]
 
 
-LOOKUP_KEY = ["l_partkey", "l_suppkey", "l_linenumber", "l_returnflag"]
+def _versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """What was sold in each of the two periods, as the old and the new version of a lookup."""
+    rows = t.lines(spark, sf_dir)
+    old, new = (rows.where(period).select(*LOOKUP_KEY).distinct() for period in (t.is_base(), ~t.is_base()))
+    return old, new
 
 
 @query
 def lookup_only_new(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookups.only_in(_parts_sold(spark, sf_dir, 1998), _parts_sold(spark, sf_dir, 1997), LOOKUP_KEY)
+    old, new = _versions(spark, sf_dir)
+    return lookups.only_in(new, old, LOOKUP_KEY)
 
 
 @query
 def lookup_only_old(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookups.only_in(_parts_sold(spark, sf_dir, 1997), _parts_sold(spark, sf_dir, 1998), LOOKUP_KEY)
+    old, new = _versions(spark, sf_dir)
+    return lookups.only_in(old, new, LOOKUP_KEY)
 
 
 # Grouped sums

@@ -33,10 +33,10 @@ def hot_keys(df: DataFrame, on: Sequence[str]) -> list[Row]:
     add up to at most twice the number of partitions.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows").alias("_total")).scalar()
-    share = F.col("_rows") * F.lit(partitions) / total
-    return counts.where(share > 1).select(*on, F.ceil(share).cast("int").alias("_pieces")).collect()
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows"))
+    total = counts.agg(F.sum("__rows").alias("__total")).scalar()
+    share = F.col("__rows") * F.lit(partitions) / total
+    return counts.where(share > 1).select(*on, F.ceil(share).cast("int").alias("__pieces")).collect()
 
 
 def key_join(
@@ -76,24 +76,24 @@ def key_join(
         return left.join(right, on, how)
 
     row = F.xxhash64(*left.columns) if salt is None else F.col(salt) if isinstance(salt, str) else salt
-    no_key = [r["_pieces"] for r in found if any(r[k] is None for k in on)]
+    no_key = [r["__pieces"] for r in found if any(r[k] is None for k in on)]
     any_null = F.lit(False)
     for key in on:
         any_null = any_null | F.col(key).isNull()
     # As few rows as shuffle partitions, so safe to broadcast.
-    schema = T.StructType([*left.select(*on).schema, T.StructField("_pieces", T.IntegerType())])
+    schema = T.StructType([*left.select(*on).schema, T.StructField("__pieces", T.IntegerType())])
     hot = F.broadcast(left.sparkSession.createDataFrame([r for r in found if None not in r], schema))
 
     spread = (
-        left.withColumns({"_row": row, "_null": any_null})
+        left.withColumns({"__salt": row, "__null": any_null})
         .join(hot, on, "left")
-        .withColumn("_cut", F.when(F.col("_null"), F.lit(max(no_key, default=1))).otherwise(F.coalesce("_pieces", F.lit(1))))
-        .withColumn("_piece", F.pmod("_row", "_cut").cast("int"))
-        .drop("_row", "_null", "_cut", "_pieces")
+        .withColumn("__cut", F.when(F.col("__null"), F.lit(max(no_key, default=1))).otherwise(F.coalesce("__pieces", F.lit(1))))
+        .withColumn("__piece", F.pmod("__salt", "__cut").cast("int"))
+        .drop("__salt", "__null", "__cut", "__pieces")
     )
     copies = (
         right.join(hot, on, "left")
-        .withColumn("_piece", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)))
-        .drop("_pieces")
+        .withColumn("__piece", F.explode(F.sequence(F.lit(0), F.coalesce("__pieces", F.lit(1)) - 1)))
+        .drop("__pieces")
     )
-    return spread.join(copies, [*on, "_piece"], how).drop("_piece")
+    return spread.join(copies, [*on, "__piece"], how).drop("__piece")

@@ -68,7 +68,7 @@ def test_hot_rows_are_spread(without_broadcast):
     """No shuffle partition of the join may see most of a hot key."""
     rows = [("hot", i) for i in range(8000)] + [(f"k{i}", i) for i in range(2000)]
     left, right = frames(without_broadcast, rows, [("hot", 1)] + [(f"k{i}", i) for i in range(2000)])
-    found = {r.k: r["_pieces"] for r in hot_keys(left, ["k"])}
+    found = {r.k: r["__pieces"] for r in hot_keys(left, ["k"])}
     assert found == {"hot": 7}
     without_broadcast.conf.set("spark.sql.adaptive.enabled", "false")
     try:
