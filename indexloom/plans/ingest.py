@@ -122,8 +122,8 @@ class Inputs:
 def run(spark: SparkSession, inputs: Inputs, out: str, run_id: str, codes: Codes | None = None) -> dict[str, DataFrame]:
     """Run stage 1 and write every result and review table under `out`.
 
-    The fact, with its audit columns, and the filled prices are written once and read back by all that
-    follows, which reads only the columns it needs.
+    The fact is written once, with its audit columns, and read back by all that follows, which reads only
+    the columns it needs.
     """
     tune(spark)
 
@@ -171,7 +171,7 @@ def run(spark: SparkSession, inputs: Inputs, out: str, run_id: str, codes: Codes
         found = list_prices(feed.read_feed(spark, path), tickets)
         listed[name] = save(found["prices"].withColumnRenamed("fare", name), name)
         written[f"{name}_conflicts"] = save(found["conflicts"], f"{name}_conflicts")
-    price_table = prices.combine_price_tables(
+    price_table = stage(prices.combine_price_tables(
         [
             listed[LIST_BASE],
             listed[LIST_CURRENT],
@@ -179,14 +179,15 @@ def run(spark: SparkSession, inputs: Inputs, out: str, run_id: str, codes: Codes
             delimited.read_price_file(spark, inputs.non_advance_current, "non-advance", DERIVED_CURRENT),
         ],
         PRODUCT_KEY,
-    )
-    filled = save(fill_prices(_with_row(fact), price_table, "_row").drop("_row"), "filled_prices")
-    detail = save(non_advance_detail(filled), "non_advance")
+    ))
+    detail = save(non_advance_detail(fill_prices(_with_row(fact), price_table, "_row")).drop("_row"), "non_advance")
     written["non_advance"] = detail
+    # Heavy rows are wanted with or without prices. They are few, so prices are attached to them once more.
+    heavy = _with_row(fact).where(F.col("weight") > fixed.WEIGHT_LIMIT)
     reviews = {
         "large_rises": prices.large_rises(_with_row(detail), fixed.WEIGHT_LIMIT, fixed.CHANGE_LIMIT, ["_row"]),
         "large_falls": prices.large_falls(_with_row(detail), fixed.WEIGHT_LIMIT, fixed.CHANGE_LIMIT, ["_row"]),
-        "heavy_rows": prices.heavy_rows(_with_row(filled), fixed.WEIGHT_LIMIT, ["_row"]),
+        "heavy_rows": prices.heavy_rows(fill_prices(heavy, price_table, "_row"), fixed.WEIGHT_LIMIT, ["_row"]),
     }
     written.update({name: save(df.drop("_row"), name) for name, df in reviews.items()})
     return written
