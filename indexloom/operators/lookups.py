@@ -1,4 +1,4 @@
-"""Code mapping, the ordered status rules, and lookups against reference tables."""
+"""Code mapping, the ordered status rules, and lookups against tables of codes."""
 
 from __future__ import annotations
 
