@@ -5,10 +5,10 @@ import os
 import pytest
 from compare import connect, differences
 
-import __spark_entry__ as entry
+from indexloom.catalog import oracle, queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = queries.registered(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
