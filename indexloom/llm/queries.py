@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from indexloom.llm import mixing, url_filter
+from indexloom.llm import exact_dedup, mixing, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -23,8 +27,8 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_mixing, op9_url_filter)}
+    return {f.__name__: f for f in (op3_exact_dedup, op8_mixing, op9_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_mixing": mixing.SQL, "op9_url_filter": url_filter.SQL}
+    return {"op3_exact_dedup": exact_dedup.SQL, "op8_mixing": mixing.SQL, "op9_url_filter": url_filter.SQL}
