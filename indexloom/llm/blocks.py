@@ -6,13 +6,37 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark.sql import DataFrame
 
+# Rows of an Arrow batch. Whole texts can be long, and a batch is held by the JVM and by Python at once.
+BATCH_ROWS = 1000
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 # Spans are hashed in pieces of about this many bytes, so that the working arrays stay in cache.
 _HASH_BLOCK = 1 << 19
 
 
+def for_tasks(docs: DataFrame) -> DataFrame:
+    """The same frame; from now on its session hands rows to Python tasks in smaller batches."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = docs.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return docs
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Numbers in few bytes: their bytes of equal order side by side, compressed."""
+    values = np.ascontiguousarray(values)
+    return zstandard.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes(), 1)
+
+
+def unpacked(data: bytes, dtype) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(size, -1).T).view(dtype).ravel()
+
+
 def as_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """All values of a string or binary column as one uint8 array, and the n + 1 bounds; null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -66,7 +90,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE_VALUE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+BYTE_VALUE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers = np.ones(1, np.uint64)
 _inverses = np.ones(1, np.uint64)
@@ -82,7 +106,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers, _inverses
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _BYTE_VALUE) -> np.ndarray:
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = BYTE_VALUE) -> np.ndarray:
     """A 64-bit hash of each byte span; the spans are in order and do not overlap.
 
     `values` gives the number each byte counts as, so that a table can fold letters of either case.
@@ -122,3 +146,9 @@ def strings_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[s
     """The spans as text."""
     whole = data.tobytes()
     return [whole[a:b].decode("utf-8", "replace") for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+
+def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Positions starts[i], starts[i] + 1 ... for lengths[i] places each, one after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from indexloom.llm import blocks
 from indexloom.session import stage
 
 WHITE_SPACE = b" \t\n\x0b\x0c\r"
@@ -89,7 +90,7 @@ def normalised(text: str | None) -> bytes:
 
 def _digests(with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in blocks.text_blocks(batches, "text", 4 << 20):
             points = pc.fill_null(pc.utf8_length(batch.column("text")), 0).cast(pa.int64())
             bare = [normalised(t) for t in batch.column("text").to_pylist()]
             prints = np.array([xxhash.xxh3_64_intdigest(b) for b in bare], np.uint64).view(np.int64)
@@ -108,7 +109,7 @@ def digests(docs: DataFrame, with_text: bool = False) -> DataFrame:
         docs.schema["doc_id"], T.StructField("n_points", T.LongType()), T.StructField("print", T.LongType()),
         T.StructField("text_sha256", T.StringType()), *([T.StructField("bare", T.BinaryType())] if with_text else []),
     ])
-    return docs.select("doc_id", "text").mapInArrow(_digests(with_text), schema)
+    return blocks.for_tasks(docs).select("doc_id", "text").mapInArrow(_digests(with_text), schema)
 
 
 def repeated_fingerprints(prints: DataFrame) -> DataFrame:
