@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +18,8 @@ from indexloom.llm import blocks
 from indexloom.session import stage
 
 # Text that one dictionary of pre-tokens covers, in bytes.
-BLOCK_BYTES = 12 << 20
-ENCODE_BATCH = 20_000
+BLOCK_BYTES = 8 << 20
+ENCODE_BATCH = 5_000
 
 # Bytes that a cut may stand before (after one byte of white space). Not among them: lead bytes of
 # further white-space characters (U+0085, U+00A0, U+1680, U+2000 to U+205F, U+3000), control bytes, and
@@ -56,22 +57,11 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def count_pieces(path: str, texts: list[str]) -> np.ndarray:
+def count_pieces(path: str, texts: pa.Array) -> np.ndarray:
     """Tokens of each text."""
-    model = tokenizer(path)
-    encode = getattr(model, "encode_batch_fast", model.encode_batch)
-    found = [len(e) for i in range(0, len(texts), ENCODE_BATCH) for e in encode(texts[i : i + ENCODE_BATCH], add_special_tokens=False)]
-    return np.array(found, np.uint32)
-
-
-def _planes(values: np.ndarray) -> bytes:
-    """Numbers with their equal-order bytes side by side, which compresses the high ones away."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
-
-
-def _values(packed: bytes, dtype) -> np.ndarray:
-    size = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(size, -1).T).view(dtype).ravel()
+    encode = tokenizer(path).encode_batch_fast
+    parts = (texts.slice(i, ENCODE_BATCH).to_pylist() for i in range(0, len(texts), ENCODE_BATCH))
+    return np.array([len(e) for part in parts for e in encode(part, add_special_tokens=False)], np.uint32)
 
 
 def _blocks_of(bucket_bits: int):
@@ -89,17 +79,22 @@ def _blocks_of(bucket_bits: int):
             # The dictionary is in the order of hashes, so each bucket is one stretch of it.
             bucket = (kinds >> np.uint64(64 - bucket_bits)).astype(np.int64) if bucket_bits else np.zeros(len(kinds), np.int64)
             held, opens = np.unique(bucket, return_index=True)
-            strings = blocks.strings_of(data, starts[first], ends[first])
+            lengths = (ends - starts)[first]
+            upto = np.concatenate([[0], np.cumsum(lengths)])
+            strings = data[blocks.ragged(starts[first], lengths)]
             cuts = [*opens.tolist(), len(kinds)]
-            dictionary = [{"bucket": b, "strings": strings[i:j]} for b, i, j in zip(held.tolist(), cuts, cuts[1:], strict=False)]
+            dictionary = [
+                {"bucket": b, "strings": zstandard.compress(strings[upto[i] : upto[j]].tobytes(), 1), "lengths": blocks.packed(lengths[i:j].astype(np.uint32))}
+                for b, i, j in zip(held.tolist(), cuts, cuts[1:], strict=False)
+            ]
             yield pa.RecordBatch.from_pydict({
                 "block": pa.array([block_id], pa.int64()),
                 "doc_ids": pa.array([batch.column("doc_id").to_pylist()], pa.list_(batch.schema.field("doc_id").type)),
                 "n_bytes": pa.array([np.diff(bounds)], pa.list_(pa.int64())),
                 "n_kinds": pa.array([np.bincount(owner, minlength=batch.num_rows)], pa.list_(pa.int64())),
-                "steps": pa.array([_planes(steps)], pa.binary()),
-                "times": pa.array([_planes(times.astype(np.uint32))], pa.binary()),
-                "dictionary": pa.array([dictionary], pa.list_(pa.struct([("bucket", pa.int64()), ("strings", pa.list_(pa.string()))]))),
+                "steps": pa.array([blocks.packed(steps)], pa.binary()),
+                "times": pa.array([blocks.packed(times.astype(np.uint32))], pa.binary()),
+                "dictionary": pa.array([dictionary], pa.list_(pa.struct([("bucket", pa.int64()), ("strings", pa.binary()), ("lengths", pa.binary())]))),
             })
             block_id += 1
 
@@ -124,35 +119,36 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
     bucket_bits = max(0, int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
     id_type = docs.schema["doc_id"].dataType
     longs = T.ArrayType(T.LongType())
-    dictionary = T.ArrayType(T.StructType([T.StructField("bucket", T.LongType()), T.StructField("strings", T.ArrayType(T.StringType()))]))
+    dictionary = T.ArrayType(T.StructType([T.StructField("bucket", T.LongType()), T.StructField("strings", T.BinaryType()), T.StructField("lengths", T.BinaryType())]))
     schema = T.StructType([
         T.StructField("block", T.LongType()), T.StructField("doc_ids", T.ArrayType(id_type)), T.StructField("n_bytes", longs),
         T.StructField("n_kinds", longs), T.StructField("steps", T.BinaryType()), T.StructField("times", T.BinaryType()),
         T.StructField("dictionary", dictionary),
     ])
-    held = stage(docs.select("doc_id", "text").mapInArrow(_blocks_of(bucket_bits), schema))
+    held = stage(blocks.for_tasks(docs).select("doc_id", "text").mapInArrow(_blocks_of(bucket_bits), schema))
 
     def count(table: pa.Table) -> pa.Table:
-        asked = table.column("strings").combine_chunks()
-        flat = asked.flatten().dictionary_encode()
-        pieces = count_pieces(path, flat.dictionary.to_pylist())[flat.indices.to_numpy()]
-        sizes = np.diff(asked.offsets.to_numpy())
-        cuts = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+        sizes = [blocks.unpacked(p, np.uint32) for p in table.column("lengths").to_pylist()]
+        strings = b"".join(map(zstandard.decompress, table.column("strings").to_pylist()))
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate(sizes), dtype=np.int64)])
+        asked = pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(strings)).dictionary_encode()
+        pieces = count_pieces(path, asked.dictionary)[asked.indices.to_numpy()]
+        cuts = np.concatenate([[0], np.cumsum([len(x) for x in sizes])]).tolist()
         return pa.table({
             "block": table.column("block"), "bucket": table.column("bucket"),
-            "pieces": pa.array([_planes(pieces[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
+            "pieces": pa.array([blocks.packed(pieces[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
         })
 
-    words = held.select("block", F.explode("dictionary").alias("part")).select("block", "part.bucket", "part.strings")
+    words = held.select("block", F.explode("dictionary").alias("part")).select("block", "part.*")
     counted = words.groupBy("bucket").applyInArrow(count, "block long, bucket long, pieces binary")
 
     def total(frequencies: pa.Table, numbers: pa.Table) -> pa.Table:
         parts = numbers.sort_by("bucket").column("pieces").to_pylist()
-        pieces = np.concatenate([np.zeros(0, np.uint32), *(_values(p, np.uint32) for p in parts)]).astype(np.int64)
+        pieces = np.concatenate([np.zeros(0, np.uint32), *(blocks.unpacked(p, np.uint32) for p in parts)]).astype(np.int64)
         row = frequencies.slice(0, 1).to_pylist()[0]
         n_kinds = np.array(row["n_kinds"], np.int64)
-        which = np.cumsum(_values(row["steps"], np.int32).astype(np.int64))
-        tokens = np.concatenate([[0], np.cumsum(pieces[which] * _values(row["times"], np.uint32))])
+        which = np.cumsum(blocks.unpacked(row["steps"], np.int32).astype(np.int64))
+        tokens = np.concatenate([[0], np.cumsum(pieces[which] * blocks.unpacked(row["times"], np.uint32))])
         ends = np.cumsum(n_kinds)
         n_tokens = tokens[ends] - tokens[ends - n_kinds]
         ids = frequencies.column("doc_ids").combine_chunks().flatten()
