@@ -19,7 +19,7 @@ from indexloom.session import stage
 SEQUENCE = 4096
 END_ID = 2
 # Text whose different words are encoded together, in bytes.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 HASHED_DIMENSIONS, CURVE_DIMENSIONS, CURVE_BITS = 64, 3, 16
 
 
@@ -65,35 +65,96 @@ def hilbert_keys(points: np.ndarray, bits: int = CURVE_BITS) -> np.ndarray:
     return key
 
 
-def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Positions starts[i], starts[i] + 1 ... for lengths[i] places each, one after the other."""
-    ends = np.cumsum(lengths)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+# Bytes of either side of a cut inside a word. Between an ASCII letter and one of these marks, in either
+# order, a piece always ends; apostrophes and the marks of special strings are not among them.
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_MARK[list(b'!"(),.:;?')] = True
+_FOLDED = blocks.BYTE_VALUE.copy()
+_FOLDED[0x41:0x5B] = blocks.BYTE_VALUE[0x61:0x7B]
+
+
+def parts(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Cuts texts into words and marks whose ids do not depend on what is around them.
+
+    Starts, ends, how many lie before each bound, and a hash that is the same for letters of either
+    case, as the tokenizer is blind to it except in special strings (which have a `<`).
+    """
+    starts, ends, before = blocks.words(data, bounds)
+    if not len(starts):
+        return starts, ends, before, np.zeros(0, np.uint64)
+    cut = np.zeros(len(data), bool)
+    cut[1:] = (_LETTER[data[:-1]] & _MARK[data[1:]]) | (_MARK[data[:-1]] & _LETTER[data[1:]])
+    cut[bounds[(bounds > 0) & (bounds < len(data))]] = False
+    inner = np.flatnonzero(cut)
+    starts, ends = np.sort(np.concatenate([starts, inner])), np.sort(np.concatenate([ends, inner]))
+    hashes = blocks.span_hashes(data, starts, ends, _FOLDED)
+    special = np.unique(np.searchsorted(starts, np.flatnonzero(data == 0x3C), "right") - 1)
+    hashes[special] = ~blocks.span_hashes(data, starts[special], ends[special])
+    return starts, ends, np.searchsorted(starts, bounds), hashes
+
+
+class _KnownIds:
+    """Ids of words that this process has met, by hash; it stops taking up new ones when it is full."""
+
+    LIMIT = 1 << 20
+
+    def __init__(self, path: str):
+        self.encode = tokenizer(path).encode_batch_fast
+        self.hashes, self.begins, self.lengths = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint16)
+
+    def look_up(self, hashes: np.ndarray, strings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where in the returned ids each word begins, how many it has; `strings` gives the texts of chosen words."""
+        at = np.minimum(np.searchsorted(self.hashes, hashes), max(0, len(self.hashes) - 1))
+        known = self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
+        new = np.flatnonzero(~known)
+        texts = strings(new)
+        lengths, ids = [], []
+        for i in range(0, len(texts), ENCODE_BATCH):
+            for e in self.encode(texts[i : i + ENCODE_BATCH], add_special_tokens=False):
+                got = e.ids
+                lengths.append(len(got))
+                ids += got
+        new_lengths = np.array(lengths, np.int64)
+        new_begins = np.cumsum(new_lengths) - new_lengths + len(self.flat)
+        flat = np.concatenate([self.flat, np.array(ids, np.uint16)])
+        begins, sizes = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int64)
+        begins[known], sizes[known] = self.begins[at[known]], self.lengths[at[known]]
+        begins[new], sizes[new] = new_begins, new_lengths
+        if len(self.hashes) + len(new) <= self.LIMIT:
+            merged = np.concatenate([self.hashes, hashes[new]])
+            order = np.argsort(merged, kind="stable")
+            self.hashes, self.flat = merged[order], flat
+            self.begins = np.concatenate([self.begins, new_begins])[order]
+            self.lengths = np.concatenate([self.lengths, new_lengths])[order]
+        return begins, sizes, flat
+
+
+@functools.lru_cache(maxsize=1)
+def _known_ids(path: str) -> _KnownIds:
+    return _KnownIds(path)
 
 
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = tokenizer(path)
-        encode = getattr(model, "encode_batch_fast", model.encode_batch)
-        table = _projection(model.get_vocab_size())
+        known = _known_ids(path)
+        table = _projection(tokenizer(path).get_vocab_size())
         for batch in blocks.larger_blocks(batches, "text", BLOCK_BYTES):
             data, bounds = blocks.as_bytes(batch.column("text"))
-            starts, ends, before = blocks.words(data, bounds)
-            _, first, kind = np.unique(blocks.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-            strings = blocks.strings_of(data, starts[first], ends[first])
-            found = [e.ids for i in range(0, len(strings), ENCODE_BATCH) for e in encode(strings[i : i + ENCODE_BATCH], add_special_tokens=False)]
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for ids in found for i in ids), np.int64, int(lengths.sum()))
-            begins = np.cumsum(lengths) - lengths
+            starts, ends, before, hashes = parts(data, bounds)
+            kinds, first, kind = np.unique(hashes, return_index=True, return_inverse=True)
+            begins, lengths, flat = known.look_up(kinds, lambda new: blocks.strings_of(data, starts[first[new]], ends[first[new]]))
             # Sums of token shares, per word and then per document.
-            shares = np.vstack([np.zeros(CURVE_DIMENSIONS), np.cumsum(table[flat], axis=0)])
-            of_word = shares[begins + lengths] - shares[begins]
+            shares = np.vstack([np.zeros(CURVE_DIMENSIONS), np.cumsum(table[flat[blocks.ragged(begins, lengths)]], axis=0)])
+            upto = np.concatenate([[0], np.cumsum(lengths)])
+            of_word = shares[upto[1:]] - shares[upto[:-1]]
             sums = np.vstack([np.zeros(CURVE_DIMENSIONS), np.cumsum(of_word[kind], axis=0)])
             vectors = sums[before[1:]] - sums[before[:-1]]
             norms = np.linalg.norm(vectors, axis=1, keepdims=True)
             unit = np.divide(vectors, norms, out=np.zeros_like(vectors), where=norms > 1e-9)
             places = np.minimum((unit + 1) * (1 << CURVE_BITS - 1), (1 << CURVE_BITS) - 1).astype(np.int64)
-            ids = flat[_ragged(begins[kind], lengths[kind])].astype(np.uint16)
+            ids = flat[blocks.ragged(begins[kind], lengths[kind])]
             upto = np.concatenate([[0], np.cumsum(lengths[kind])])[before]
             packed = [ids[a:b].tobytes() for a, b in zip(upto.tolist(), upto[1:].tolist(), strict=False)]
             yield pa.RecordBatch.from_arrays(
@@ -177,7 +238,7 @@ def pack(docs: DataFrame, path: str, sequence: int = SEQUENCE, end_id: int = END
     """
     id_type = docs.schema["doc_id"].dataType
     encoded = T.StructType([T.StructField("doc_id", id_type), T.StructField("curve", T.LongType()), T.StructField("ids", T.BinaryType())])
-    placed = stage(docs.select("doc_id", "text").mapInArrow(_encode(path), encoded))
+    placed = stage(blocks.for_tasks(docs).select("doc_id", "text").mapInArrow(_encode(path), encoded))
     pieces = T.StructType([T.StructField("doc_id", id_type), *[T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")]])
     ordered = placed.repartitionByRange("curve", "doc_id").sortWithinPartitions("curve", "doc_id")
     return ordered.mapInArrow(_pack(sequence, end_id), pieces)
