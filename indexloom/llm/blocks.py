@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Rows of an Arrow batch. Whole texts can be long, and a batch is held by the JVM and by Python at once.
 BATCH_ROWS = 1000
@@ -152,3 +153,40 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions starts[i], starts[i] + 1 ... for lengths[i] places each, one after the other."""
     ends = np.cumsum(lengths)
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def in_shards(docs: DataFrame, shard_bytes: int) -> DataFrame:
+    """doc_id, text and shard: a number that deals documents into shards of about `shard_bytes` of text.
+
+    The shuffle by shard is the same wherever the frame is grouped within one query, so it is made once.
+    """
+    rows = for_tasks(docs).select("doc_id", "text")
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(max(least, -(-total // shard_bytes)))))
+
+
+def bucket_bits(docs: DataFrame) -> int:
+    """Bits that tell as many buckets apart as the session has shuffle partitions, or up to twice as many."""
+    return max(0, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
+
+
+def bucket_of(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
+
+
+def stretches(buckets: np.ndarray) -> tuple[list[int], list[int]]:
+    """Of buckets in order: which occur, and where each begins, with the end as last bound."""
+    held, opens = np.unique(buckets, return_index=True)
+    return held.tolist(), [*opens.tolist(), len(buckets)]
+
+
+def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
+    """The least of each `width` neighbouring values."""
+    done = 1
+    while done * 2 <= width:
+        values = np.minimum(values[:-done], values[done:])
+        done *= 2
+    if done < width:
+        values = np.minimum(values[: len(values) - (width - done)], values[width - done :])
+    return values

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from indexloom.llm import exact_dedup, mixing, packing, token_counts, url_filter
+from indexloom.llm import exact_dedup, mixing, packing, suffix_dedup, token_counts, url_filter
 
 
 def _tokenizer(name: str) -> str:
@@ -19,6 +20,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return suffix_dedup.removed_spans(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
@@ -41,7 +49,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op3_exact_dedup, op8_mixing, op9_url_filter, op10_packing)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_exact_dedup, op8_mixing, op9_url_filter, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
