@@ -13,9 +13,9 @@ from indexloom.llm import blocks
 WIDTH = 50
 # Bytes of the part of a window that names its shard, and windows that one segment covers at most.
 ANCHOR, SEGMENT_WINDOWS = 16, 64
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 4 << 20
 # Bytes that one suffix array covers; a bucket with more has several, merged by binary search.
-ARRAY_BYTES = 2 << 20
+ARRAY_BYTES = 1 << 20
 # An anchor that occurs in more documents than this sends each window to a bucket of the window's own.
 HOT_ANCHOR = 4096
 _BLOCK = 1 << 16
@@ -54,7 +54,8 @@ def window_runs(data: np.ndarray, bounds: np.ndarray, width: int = WIDTH) -> tup
         at = np.flatnonzero(begins)
         found.append(at + a)
         values.append(least[at])
-    starts, anchors = np.concatenate(found), np.concatenate(values)
+    # Least hashes are small numbers; mixed again, their leading bits deal them out evenly.
+    starts, anchors = np.concatenate(found), blocks.mix64(np.concatenate(values))
     document = np.searchsorted(bounds, starts, "right") - 1
     limit = bounds[document + 1] - width + 1
     following = np.append(starts[1:], longest)
@@ -149,22 +150,28 @@ class _Windows:
         symbols[inside] = data[blocks.ragged(starts, sizes)].astype(np.uint16) + 1
         order, rank = suffix_array(symbols)
         shared = common_prefixes(symbols, order, rank, places, counts, width)
-        self.at = blocks.ragged(places, counts)
+        at = blocks.ragged(places, counts)
         valid = np.zeros(len(symbols), bool)
-        valid[self.at] = True
+        valid[at] = True
         sorted_windows = order[valid[order]]
+        del order, rank, valid, inside
         opens = shared[sorted_windows] < width
-        self.group = np.empty(len(symbols), np.int64)
-        self.group[sorted_windows] = np.cumsum(opens) - 1
-        first = sorted_windows[opens]
-        self.keys = (symbols[first[:, None] + np.arange(width)] - 1).astype(np.uint8).view(f"S{width}").ravel()
+        first = np.flatnonzero(opens)
+        group = np.empty(len(symbols), np.int32)
+        group[sorted_windows] = np.cumsum(opens) - 1
+        # Number of each window, segment by segment.
+        self.group = group[at]
         owner = np.empty(len(symbols), np.int64)
-        owner[self.at] = np.repeat(owners, counts)
-        self.owners = np.minimum.reduceat(owner[sorted_windows], np.flatnonzero(opens)) if len(first) else np.zeros(0, np.int64)
+        owner[at] = np.repeat(owners, counts)
+        self.owners = np.minimum.reduceat(owner[sorted_windows], first) if len(first) else np.zeros(0, np.int64)
+        self.symbols, self.first, self.width = symbols, sorted_windows[first], width
 
-    def owners_of_all(self, keys: np.ndarray, owners: np.ndarray) -> np.ndarray:
-        """Least owner of every window of the segments, in order, from merged tables."""
-        return owners[np.searchsorted(keys, self.keys)][self.group[self.at]]
+    def keys(self) -> np.ndarray:
+        """The windows as byte strings, in order."""
+        rows = np.empty((len(self.first), self.width), np.uint8)
+        for j in range(self.width):
+            rows[:, j] = self.symbols[self.first + j] - 1
+        return rows.view(f"S{self.width}").ravel()
 
 
 def least_owners(
@@ -183,14 +190,33 @@ def least_owners(
         first = last
     if not arrays:
         return np.zeros(0, np.int64)
-    keys, least = arrays[0].keys, arrays[0].owners
+    if len(arrays) == 1:
+        return arrays[0].owners[arrays[0].group]
+    keys, least = arrays[0].keys(), arrays[0].owners
     for other in arrays[1:]:
-        at = np.searchsorted(keys, other.keys)
+        others = other.keys()
+        at = np.searchsorted(keys, others)
         inside = np.minimum(at, len(keys) - 1)
-        same = keys[inside] == other.keys
+        same = keys[inside] == others
         least[inside[same]] = np.minimum(least[inside[same]], other.owners[same])
-        keys, least = np.insert(keys, at[~same], other.keys[~same]), np.insert(least, at[~same], other.owners[~same])
-    return np.concatenate([a.owners_of_all(keys, least) for a in arrays])
+        keys, least = np.insert(keys, at[~same], others[~same]), np.insert(least, at[~same], other.owners[~same])
+    return np.concatenate([least[np.searchsorted(keys, a.keys())][a.group] for a in arrays])
+
+
+def _owners_by_anchor(data: np.ndarray, sizes: np.ndarray, counts: np.ndarray, owners: np.ndarray, width: int, array_bytes: int) -> np.ndarray:
+    """`least_owners` of different segments that stand one after the other.
+
+    Only segments with the same anchor can share a window, so one that is alone with its anchor is its
+    own answer and is not sorted.
+    """
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    _, _, anchors, _ = window_runs(data, bounds, width)
+    _, anchor, times = np.unique(anchors, return_inverse=True, return_counts=True)
+    crowded = np.flatnonzero(times[anchor] > 1)
+    found = np.repeat(owners, counts)
+    begins = np.cumsum(counts) - counts
+    found[blocks.ragged(begins[crowded], counts[crowded])] = least_owners(data, bounds[crowded], counts[crowded], owners[crowded], width, array_bytes)
+    return found
 
 
 class _Shard:
@@ -271,7 +297,8 @@ def removed_spans(docs: DataFrame, width: int = WIDTH, hot_anchor: int = HOT_ANC
     up its place: its windows go to buckets by their own content, so no bucket gathers them all.
     """
     shards = blocks.in_shards(docs, SHARD_BYTES)
-    bits = blocks.bucket_bits(docs)
+    # Buckets are smaller than shuffle partitions, as a suffix array takes many times its text.
+    bits = blocks.bucket_bits(docs) + 1
 
     def send_anchors(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
@@ -328,12 +355,13 @@ def removed_spans(docs: DataFrame, width: int = WIDTH, hot_anchor: int = HOT_ANC
             every = np.concatenate(counts)
             owners = np.concatenate([blocks.unpacked(r["owners"], np.int64) for r in sent])
             starts = np.cumsum(every + width - 1) - (every + width - 1)
-            # Segments that several shards sent alike are sorted once.
-            hashes = blocks.span_hashes(data, starts, starts + every + width - 1)
-            _, first, kind = np.unique(hashes, return_index=True, return_inverse=True)
+            # Segments that several shards sent alike are one from here on.
+            sizes = every + width - 1
+            _, first, kind = np.unique(blocks.span_hashes(data, starts, starts + sizes), return_index=True, return_inverse=True)
             least = np.full(len(first), _NO_ID)
             np.minimum.at(least, kind, owners)
-            found = least_owners(data, starts[first], every[first], least, width, array_bytes)
+            data, sizes = data[blocks.ragged(starts[first], sizes[first])], sizes[first]
+            found = _owners_by_anchor(data, sizes, every[first], least, width, array_bytes)
             begins = np.cumsum(every[first]) - every[first]
             for_all = found[blocks.ragged(begins[kind], every)]
             cuts = np.concatenate([[0], np.cumsum([c.sum() for c in counts])]).tolist()
@@ -345,18 +373,21 @@ def removed_spans(docs: DataFrame, width: int = WIDTH, hot_anchor: int = HOT_ANC
 
     def remove(table: pa.Table, answered: pa.Table) -> pa.Table:
         shard = _Shard(table, bits, width)
-        change = np.zeros(len(shard.data) + 1, np.int32)
+        marked = np.zeros(len(shard.data), bool)
         if answered.num_rows:
             starts, document, kind, _, counts, _ = shard.segments(flags_of(answered))
             parts = [blocks.unpacked(o, np.int64) for o in answered.sort_by("bucket").column("owners").to_pylist() if o is not None]
             owners = np.concatenate(parts) if parts else np.zeros(0, np.int64)
             begins = np.cumsum(counts) - counts
-            windows = blocks.ragged(starts, counts[kind])
-            earlier = owners[blocks.ragged(begins[kind], counts[kind])] < np.repeat(shard.ids[document], counts[kind])
-            windows = windows[earlier]
-            change += np.bincount(windows, minlength=len(change)).astype(np.int32)
-            change -= np.bincount(windows + width, minlength=len(change)).astype(np.int32)
-        gone = np.cumsum(change[:-1]) > 0
+            for a in range(0, len(kind), 1 << 15):
+                k = kind[a : a + (1 << 15)]
+                n = counts[k]
+                earlier = owners[blocks.ragged(begins[k], n)] < np.repeat(shard.ids[document[a : a + (1 << 15)]], n)
+                marked[blocks.ragged(starts[a : a + (1 << 15)], n)[earlier]] = True
+        # A byte goes if one of the `width` windows that end at it or later is marked.
+        seen = np.cumsum(marked, dtype=np.int32)
+        gone = seen > 0
+        gone[width:] = seen[width:] > seen[:-width]
         edges = np.zeros(len(gone) + 1, bool)
         edges[:-1] = gone
         begins, ends = edges.copy(), np.zeros(len(gone) + 1, bool)
@@ -369,7 +400,7 @@ def removed_spans(docs: DataFrame, width: int = WIDTH, hot_anchor: int = HOT_ANC
         per_document = np.searchsorted(begins, shard.bounds)
         base = np.repeat(shard.bounds[:-1], np.diff(per_document))
         spans = pa.ListArray.from_arrays(pa.array(per_document, pa.int32()), pa.StructArray.from_arrays([pa.array(begins - base), pa.array(ends - base)], ["start", "end"]))
-        left = np.concatenate([[0], np.cumsum(~gone)])[shard.bounds]
+        left = np.concatenate([[0], np.cumsum(~gone, dtype=np.int32)])[shard.bounds].astype(np.int64)
         kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), table.num_rows, [None, pa.py_buffer(left), pa.py_buffer(shard.data[~gone].tobytes())])
         return pa.table({"doc_id": table.column("doc_id"), "n_bytes": np.diff(shard.bounds), "spans": spans, "kept": kept.cast(pa.binary())})
 
