@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indexloom.llm import exact_dedup, jaccard, mixing, packing, suffix_dedup, token_counts, url_filter
+from indexloom.llm import exact_dedup, jaccard, language, mixing, packing, suffix_dedup, token_counts, toxicity, url_filter
 
 
 def _tokenizer(name: str) -> str:
@@ -35,10 +35,18 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked_documents(_table(spark, sf_dir, "documents"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(_table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -53,7 +61,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_exact_dedup, op6_jaccard, op8_mixing, op9_url_filter, op10_packing)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_exact_dedup, op5_toxicity, op6_jaccard, op7_language, op8_mixing, op9_url_filter, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
