@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -165,7 +164,7 @@ def _encode(path: str):
 
 
 def _pack(sequence: int, end_id: int):
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sequence_id = TaskContext.get().partitionId() << 40
@@ -178,12 +177,12 @@ def _pack(sequence: int, end_id: int):
             nonlocal sequence_id
             offset = 0
             for doc_id, start, ids, total in parts:
-                rows.append((doc_id, start, len(ids), zlib.crc32(ids.tobytes()), total, sequence_id, offset))
+                rows.append((doc_id, start, len(ids), ids.tobytes(), total, sequence_id, offset))
                 offset += len(ids)
             sequence_id += 1
 
         def given(id_type: pa.DataType) -> pa.RecordBatch:
-            types = [id_type, *[pa.int64()] * 6]
+            types = [id_type, pa.int64(), pa.int64(), pa.binary(), *[pa.int64()] * 3]
             columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
             rows.clear()
             return pa.RecordBatch.from_arrays(columns, names=names)
@@ -202,7 +201,7 @@ def _pack(sequence: int, end_id: int):
                     if used == sequence:
                         close(open_parts)
                         open_parts, used = [], 0
-            if len(rows) > 10_000:
+            if len(rows) > 1000:
                 yield given(id_type)
         # What is left is cut into sequences whose lengths are powers of two, which need no padding.
         while used:
@@ -225,9 +224,8 @@ def _pack(sequence: int, end_id: int):
 def pack(docs: DataFrame, path: str, sequence: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
     """Pieces of documents in sequences of at most `sequence` ids (a power of two).
 
-    Columns: doc_id, start (ids of the document before the piece), length, ids_crc32 (of the ids as
-    little-endian unsigned 32-bit numbers), doc_tokens, sequence_id, offset (place in the sequence). A
-    document is the ids of its whole text, by the tokenizer file `path` of at most 65,536 ids, without
+    Columns: doc_id, start (ids of the document before the piece), length, ids (little-endian unsigned
+    32-bit numbers), doc_tokens, sequence_id, offset (place in the sequence). A document is the ids of its whole text, by the tokenizer file `path` of at most 65,536 ids, without
     added tokens, and then `end_id`. A null or empty text is `end_id` alone; repeated rows are packed
     each, a null doc_id is kept, no rows give no pieces, other columns are not looked at.
 
@@ -239,6 +237,6 @@ def pack(docs: DataFrame, path: str, sequence: int = SEQUENCE, end_id: int = END
     id_type = docs.schema["doc_id"].dataType
     encoded = T.StructType([T.StructField("doc_id", id_type), T.StructField("curve", T.LongType()), T.StructField("ids", T.BinaryType())])
     placed = stage(blocks.for_tasks(docs).select("doc_id", "text").mapInArrow(_encode(path), encoded))
-    pieces = T.StructType([T.StructField("doc_id", id_type), *[T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")]])
+    pieces = T.StructType([T.StructField("doc_id", id_type), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType()), *[T.StructField(c, T.LongType()) for c in ("doc_tokens", "sequence_id", "offset")]])
     ordered = placed.repartitionByRange("curve", "doc_id").sortWithinPartitions("curve", "doc_id")
     return ordered.mapInArrow(_pack(sequence, end_id), pieces)

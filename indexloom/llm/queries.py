@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indexloom.llm import exact_dedup, jaccard, language, mixing, packing, suffix_dedup, token_counts, toxicity, url_filter
+from indexloom.llm import exact_dedup, jaccard, language, mixing, neighbours, packing, suffix_dedup, token_counts, toxicity, url_filter
 
 
 def _tokenizer(name: str) -> str:
@@ -35,6 +35,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -57,11 +61,18 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+    packed = packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_exact_dedup, op5_toxicity, op6_jaccard, op7_language, op8_mixing, op9_url_filter, op10_packing)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_exact_dedup, op4_neighbours, op5_toxicity, op6_jaccard, op7_language, op8_mixing, op9_url_filter, op10_packing, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
