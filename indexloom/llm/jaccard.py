@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,19 +58,20 @@ def size_bands(percent: int, largest: int) -> list[tuple[int, int]]:
     return bands
 
 
-def signatures(elements: np.ndarray, rarity: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """PartEnum signatures of one set: hash, tokens that follow it, and tokens a partner must share.
+def signatures(elements: np.ndarray, rarity: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """PartEnum signatures of one set: hash, tokens that follow it, tokens a partner must share, place.
 
     For its size band and the next one, the feature domain is partitioned by hash; a token is a
     partition that the set has elements in, with what it holds of it. Sets that are similar enough
     differ in at most k elements and so in at most k partitions. In one order of all tokens, rare ones
-    first, the k + 1 first tokens of two such sets share one, so these are enumerated as signatures. A
-    set that fills no more than k partitions, where that could fail, enumerates single elements as well.
+    first, the k + 1 first tokens of two such sets share one, so these are enumerated as signatures,
+    without those that hold an element of `rarity` 0, which no other set has. A set that fills no more
+    than k partitions, where that could fail, enumerates single elements as well.
     """
     size = len(elements)
     bands = size_bands(percent, size * 100 // percent)
     band = next(i for i, (low, high) in enumerate(bands) if low <= size <= high)
-    hashes, after, needed = [], [], []
+    hashes, after, needed, places = [np.zeros(0, np.uint64)], *([np.zeros(0, np.int64)] for _ in range(3))
     for i in (band, band + 1):
         if i >= len(bands) or size * 100 // percent < bands[i][0]:
             continue
@@ -84,21 +85,36 @@ def signatures(elements: np.ndarray, rarity: np.ndarray, percent: int) -> tuple[
         opens = np.flatnonzero(np.concatenate([[True], part[order][1:] != part[order][:-1]]))
         held = np.add.reduceat(blocks.mix64(mixed)[order], opens)
         tokens = blocks.mix64(held ^ (salt + part[order][opens]))
-        tokens = tokens[np.lexsort((tokens, rarity[order][opens]))]
-        n = len(tokens)
-        hashes.append(tokens[: k + 1])
-        after.append(n - 1 - np.arange(min(n, k + 1)))
-        needed.append(np.full(min(n, k + 1), n - k))
+        rare = rarity[order][opens]
+        tokens = tokens[np.lexsort((tokens, rare))]
+        n, alone = len(tokens), int((rare == 0).sum())
+        found = tokens[alone : k + 1]
+        hashes.append(found)
+        places.append(np.arange(len(found)))
+        after.append(n - 1 - alone - np.arange(len(found)))
+        needed.append(np.full(len(found), n - k))
         if n <= k:
             single = blocks.mix64(mixed ^ np.uint64(0xD6E8FEB86659FD93))
-            single = single[np.lexsort((single, rarity))][: size - -(-size * percent // 100) + 1]
+            single = single[np.lexsort((single, rarity))][int((rarity == 0).sum()) : size - -(-size * percent // 100) + 1]
             hashes.append(single)
+            places.append(np.arange(len(single)))
             after.append(np.full(len(single), size))
             needed.append(np.zeros(len(single), np.int64))
-    return np.concatenate(hashes).view(np.int64), np.concatenate(after), np.concatenate(needed)
+    return np.concatenate(hashes).view(np.int64), np.concatenate(after), np.concatenate(needed), np.concatenate(places)
 
 
 _KEEP = np.uint64(16)
+SKETCH_WORDS = 16
+
+
+def parity_sketch(elements: np.ndarray) -> np.ndarray:
+    """Per hashed cell whether the set has an odd number of elements there, as 64-bit words.
+
+    An element that only one of two sets has changes one cell, so the cells in which two sketches
+    differ are never more than the elements in which the sets do.
+    """
+    cells = (blocks.mix64(elements ^ np.uint64(0x632BE59BD9B4E019)) % np.uint64(64 * SKETCH_WORDS)).astype(np.int64)
+    return np.packbits(np.bincount(cells, minlength=64 * SKETCH_WORDS).astype(np.uint8) & 1).view(np.int64)
 
 
 def _pack_set(elements: np.ndarray) -> bytes:
@@ -109,23 +125,66 @@ def _unpack_set(packed: bytes) -> np.ndarray:
     return np.cumsum(blocks.unpacked(packed, np.uint64), dtype=np.uint64)
 
 
-class _Shard:
-    """The shingle sets of a shard's documents as (shingle, document) pairs in order of shingles."""
+class _Pairs:
+    """The different (shingle, document) pairs of a shard in order of shingles.
+
+    `at` is where each pair stood in what was given, `kinds` has the different shingles, `kind` the
+    number of each pair's shingle, `sizes` the pairs of each document.
+    """
 
-    def __init__(self, table: pa.Table, size: int, bits: int):
-        data, bounds = blocks.as_bytes(table.column("text"))
-        hashes, document = shingles(data, bounds, size)
+    def __init__(self, hashes: np.ndarray, document: np.ndarray, n_documents: int, bits: int):
         order = np.argsort(hashes, kind="stable")
         hashes, document = hashes[order], document[order]
         opens = np.ones(len(hashes), bool)
         opens[1:] = hashes[1:] != hashes[:-1]
         pairs = opens.copy()
         pairs[1:] |= document[1:] != document[:-1]
-        self.document, opens = document[pairs], opens[pairs]
+        self.at, self.document, opens, self.bits = order[pairs], document[pairs], opens[pairs], bits
         self.kinds, self.kind = hashes[pairs][opens], np.cumsum(opens) - 1
-        self.sizes = np.bincount(self.document, minlength=table.num_rows)
+        self.sizes = np.bincount(self.document, minlength=n_documents)
         self.held, self.cuts = blocks.stretches(blocks.bucket_of(self.kinds, bits))
 
+    def to_buckets(self, shard: int) -> pa.Table:
+        """Per bucket the shingles, as the 32 bits that follow the bucket's, and documents that have each."""
+        documents = np.minimum(np.bincount(self.kind, minlength=len(self.kinds)), 65535).astype(np.uint16)
+        short = ((self.kinds << np.uint64(self.bits)) >> np.uint64(32)).astype(np.uint32)
+        parts = list(zip(self.cuts, self.cuts[1:], strict=False))
+        return pa.table({
+            "bucket": pa.array(self.held, pa.int64()), "shard": pa.array([shard] * len(self.held), pa.int64()),
+            "shingles": pa.array([blocks.packed(np.diff(short[a:b], prepend=np.uint32(0))) for a, b in parts], pa.binary()),
+            "documents": pa.array([blocks.packed(documents[a:b]) for a, b in parts], pa.binary()),
+        })
+
+    def classes(self, answers: pa.Table) -> np.ndarray:
+        """The class of each pair's shingle, from what the buckets answered."""
+        by_bucket = dict(zip(answers.column("bucket").to_pylist(), answers.column("classes").to_pylist(), strict=True))
+        return np.concatenate([np.zeros(0, np.uint8), *(blocks.unpacked(by_bucket[b], np.uint8) for b in self.held)])[self.kind]
+
+
+def _with_counts(rows: GroupedData, pairs_of: Callable[[pa.Table], _Pairs], pick: Callable[[pa.Table, pa.Table], pa.Table], schema: T.StructType) -> DataFrame:
+    """Tells each shard in how many documents of the corpus its shingles are, and lets it `pick`.
+
+    A shingle's class is 0 for one document and one more for each doubling.
+    """
+
+    def send(table: pa.Table) -> pa.Table:
+        return pairs_of(table).to_buckets(table.column("shard")[0].as_py())
+
+    def count(table: pa.Table) -> pa.Table:
+        found = [np.cumsum(blocks.unpacked(p, np.uint32), dtype=np.uint32) for p in table.column("shingles").to_pylist()]
+        documents = np.concatenate([blocks.unpacked(p, np.uint16) for p in table.column("documents").to_pylist()])
+        _, kind = np.unique(np.concatenate(found), return_inverse=True)
+        classes = np.ceil(np.log2(np.bincount(kind, weights=documents))).astype(np.uint8)[kind]
+        cuts = np.concatenate([[0], np.cumsum([len(f) for f in found])]).tolist()
+        return pa.table({
+            "bucket": table.column("bucket"), "shard": table.column("shard"),
+            "classes": pa.array([blocks.packed(classes[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
+        })
+
+    sent = rows.applyInArrow(send, "bucket long, shard long, shingles binary, documents binary")
+    counted = sent.groupBy("bucket").applyInArrow(count, "bucket long, shard long, classes binary")
+    return rows.cogroup(counted.groupBy("shard")).applyInArrow(pick, schema)
+
 
 def linked_documents(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     """Groups of near copies: doc_id, n_shingles, component_id (smallest doc_id reached by links).
@@ -139,81 +198,76 @@ def linked_documents(docs: DataFrame, size: int = 5, percent: int = 75) -> DataF
 
     1. Shards send their different shingles to buckets, which answer how many documents have each.
        Only documents that share enough of their shingles with any other can have a link.
-    2. Equal sets become one. The others give PartEnum signatures, rare ones first.
-    3. Each set is compared with the smallest, then the largest id that shares a signature, and what
-       links becomes one component. Then all pairs that share a signature and are still in different
-       components are compared. So a group of copies costs comparisons in proportion to its size, and
-       no link between components is missed.
+    2. Equal sets become one, and the same is asked again of the different sets. Those that share
+       enough give PartEnum signatures, rare ones first.
+    3. Each set is compared with the smallest and the largest id that share a signature, and what links
+       becomes one component. Then all pairs that share a signature, are still in different components
+       and that short parity sketches do not rule out are compared. So a group of copies costs
+       comparisons in proportion to its size, and no link between components is missed.
     """
     shards = blocks.in_shards(docs, SHARD_BYTES)
     bits = blocks.bucket_bits(docs)
+    # Far fewer than the documents' shards would do for the sets; more only makes them smaller.
+    n_shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     id_field = docs.schema["doc_id"]
 
-    def send_shingles(table: pa.Table) -> pa.Table:
-        shard = _Shard(table, size, bits)
-        documents = np.bincount(shard.kind, minlength=len(shard.kinds))
-        short = ((shard.kinds << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
-        parts = list(zip(shard.cuts, shard.cuts[1:], strict=False))
-        return pa.table({
-            "bucket": pa.array(shard.held, pa.int64()), "shard": pa.array([table.column("shard")[0].as_py()] * len(shard.held), pa.int64()),
-            "shingles": pa.array([blocks.packed(np.diff(short[a:b], prepend=np.uint32(0))) for a, b in parts], pa.binary()),
-            "documents": pa.array([blocks.packed(np.minimum(documents[a:b], 65535).astype(np.uint16)) for a, b in parts], pa.binary()),
-        })
-
-    def count_shingles(table: pa.Table) -> pa.Table:
-        found = [np.cumsum(blocks.unpacked(p, np.uint32), dtype=np.uint32) for p in table.column("shingles").to_pylist()]
-        documents = np.concatenate([blocks.unpacked(p, np.uint16) for p in table.column("documents").to_pylist()])
-        _, kind = np.unique(np.concatenate(found), return_inverse=True)
-        # 0 for one document, then one more for each doubling: also the order of signatures, rare first.
-        classes = np.ceil(np.log2(np.bincount(kind, weights=documents))).astype(np.uint8)[kind]
-        cuts = np.concatenate([[0], np.cumsum([len(f) for f in found])]).tolist()
-        return pa.table({
-            "bucket": table.column("bucket"), "shard": table.column("shard"),
-            "classes": pa.array([blocks.packed(classes[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
-        })
-
-    def pick(table: pa.Table, counted: pa.Table) -> pa.Table:
-        shard = _Shard(table, size, bits)
-        answers = dict(zip(counted.column("bucket").to_pylist(), counted.column("classes").to_pylist(), strict=True))
-        classes = np.concatenate([np.zeros(0, np.uint8), *(blocks.unpacked(answers[b], np.uint8) for b in shard.held)])[shard.kind]
-        shared = np.bincount(shard.document, weights=classes > 0, minlength=len(shard.sizes))
-        candidate = (shard.sizes > 0) & (100 * shared >= percent * shard.sizes)
-        order = np.flatnonzero(candidate[shard.document])
-        order = order[np.argsort(shard.document[order], kind="stable")]
-        elements, classes = shard.kinds[shard.kind[order]], classes[order]
-        ends = np.cumsum(np.where(candidate, shard.sizes, 0)).tolist()
+    def of_texts(table: pa.Table) -> _Pairs:
+        hashes, document = shingles(*blocks.as_bytes(table.column("text")), size)
+        return _Pairs(hashes, document, table.num_rows, bits)
+
+    def pick_texts(table: pa.Table, answers: pa.Table) -> pa.Table:
+        pairs = of_texts(table)
+        shared = np.bincount(pairs.document, weights=pairs.classes(answers) > 0, minlength=table.num_rows)
+        candidate = (pairs.sizes > 0) & (100 * shared >= percent * pairs.sizes)
+        order = np.flatnonzero(candidate[pairs.document])
+        order = order[np.argsort(pairs.document[order], kind="stable")]
+        elements = pairs.kinds[pairs.kind[order]]
+        ends = np.cumsum(np.where(candidate, pairs.sizes, 0)).tolist()
         rows = []
-        for i, (n, yes) in enumerate(zip(shard.sizes.tolist(), candidate.tolist(), strict=True)):
-            if not yes:
-                rows.append((n, None, None, None, None))
-                continue
-            s = elements[ends[i] - n : ends[i]]
-            key = blocks.mix64(s).sum(dtype=np.uint64), blocks.mix64(s ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64)
-            rows.append((n, *(int(x.view(np.int64)) for x in key), _pack_set(s >> _KEEP), blocks.packed(classes[ends[i] - n : ends[i]])))
-        columns = list(zip(*rows, strict=True))
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+        for n, end, yes in zip(pairs.sizes.tolist(), ends, candidate.tolist(), strict=True):
+            s = elements[end - n : end]
+            key = (blocks.mix64(s).sum(dtype=np.uint64), blocks.mix64(s ^ np.uint64(0xA5A5A5A5)).sum(dtype=np.uint64)) if yes else ()
+            rows.append((n, *(int(x.view(np.int64)) for x in key), _pack_set(s >> _KEEP)) if yes else (n, None, None, None))
+        types = [*[pa.int64()] * 3, pa.binary()]
         return pa.Table.from_arrays(
-            [table.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))],
-            names=["doc_id", "n_shingles", "key_a", "key_b", "elements", "classes"],
+            [table.column("doc_id"), *(pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True))],
+            names=["doc_id", "n_shingles", "key_a", "key_b", "elements"],
         )
 
     longs, blob = T.LongType(), T.BinaryType()
-    set_rows = T.StructType([id_field, *[T.StructField(c, longs) for c in ("n_shingles", "key_a", "key_b")], T.StructField("elements", blob), T.StructField("classes", blob)])
-    by_shard = shards.groupBy("shard")
-    counted = (
-        by_shard.applyInArrow(send_shingles, "bucket long, shard long, shingles binary, documents binary")
-        .groupBy("bucket").applyInArrow(count_shingles, "bucket long, shard long, classes binary")
-    )
-    sets = stage(by_shard.cogroup(counted.groupBy("shard")).applyInArrow(pick, set_rows))
+    set_rows = T.StructType([id_field, *[T.StructField(c, longs) for c in ("n_shingles", "key_a", "key_b")], T.StructField("elements", blob)])
+    sets = stage(_with_counts(shards.groupBy("shard"), of_texts, pick_texts, set_rows))
 
     key = ["n_shingles", "key_a", "key_b"]
     classes = stage(sets.where("elements IS NOT NULL").groupBy(*key).agg(F.min("doc_id").alias("set_id")))
-    first = stage(
+    one_of_each = (
         sets.where("elements IS NOT NULL")
         .join(classes.select("set_id").distinct(), F.col("doc_id") == F.col("set_id"), "left_semi")
-        .select("doc_id", "n_shingles", "elements", "classes")
+        .select("doc_id", "n_shingles", "elements")
+        .withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(n_shards)))
     )
 
+    def of_sets(table: pa.Table) -> _Pairs:
+        found = [_unpack_set(e) for e in table.column("elements").to_pylist()]
+        document = np.repeat(np.arange(len(found)), [len(f) for f in found])
+        return _Pairs(blocks.mix64(np.concatenate(found)), document, len(found), bits)
+
+    def pick_sets(table: pa.Table, answers: pa.Table) -> pa.Table:
+        pairs = of_sets(table)
+        classes = np.empty(len(pairs.at), np.uint8)
+        classes[pairs.at] = pairs.classes(answers)
+        shared = np.bincount(pairs.document, weights=classes[pairs.at] > 0, minlength=table.num_rows).astype(np.int64)
+        ends = np.cumsum(pairs.sizes).tolist()
+        packed = pa.array([blocks.packed(classes[b - n : b]) for n, b in zip(pairs.sizes.tolist(), ends, strict=True)], pa.binary())
+        sketches = pa.array([parity_sketch(_unpack_set(e)) for e in table.column("elements").to_pylist()], pa.list_(pa.int64()))
+        told = table.select(["doc_id", "n_shingles", "elements"])
+        for name, column in (("n_shared", pa.array(shared)), ("classes", packed), ("sketch", sketches)):
+            told = told.append_column(name, column)
+        return told.filter(pa.array(100 * shared >= percent * pairs.sizes))
+
+    rep_rows = T.StructType([id_field, T.StructField("n_shingles", longs), T.StructField("elements", blob), T.StructField("n_shared", longs), T.StructField("classes", blob), T.StructField("sketch", T.ArrayType(longs))])
+    first = stage(_with_counts(one_of_each.groupBy("shard"), of_sets, pick_sets, rep_rows))
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [signatures(_unpack_set(e), blocks.unpacked(c, np.uint8), percent) for e, c in zip(batch.column("elements").to_pylist(), batch.column("classes").to_pylist(), strict=True)]
@@ -221,11 +275,11 @@ def linked_documents(docs: DataFrame, size: int = 5, percent: int = 75) -> DataF
                 continue
             rows = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(np.concatenate([f[j] for f in found]).astype(np.int64)) for j in range(3)), batch.column("doc_id").take(rows), batch.column("n_shingles").take(rows)],
-                names=["signature", "after", "needed", "id", "n"],
+                [*(pa.array(np.concatenate([f[j] for f in found]).astype(np.int64)) for j in range(4)), *(batch.column(c).take(rows) for c in ("doc_id", "n_shingles", "n_shared"))],
+                names=["signature", "after", "needed", "place", "id", "n", "s"],
             )
 
-    signed = first.mapInArrow(sign, T.StructType([*[T.StructField(c, longs) for c in ("signature", "after", "needed")], T.StructField("id", id_field.dataType), T.StructField("n", longs)]))
+    signed = first.mapInArrow(sign, T.StructType([*[T.StructField(c, longs) for c in ("signature", "after", "needed", "place")], T.StructField("id", id_field.dataType), T.StructField("n", longs), T.StructField("s", longs)]))
     ends = signed.groupBy("signature").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     shared = stage(signed.join(ends, "signature"))
     links = _compare(first, _candidates(shared, shared, F.col("b.id") == F.col("b.low"), percent), percent)
@@ -234,8 +288,13 @@ def linked_documents(docs: DataFrame, size: int = 5, percent: int = 75) -> DataF
     placed = stage(shared.join(known, shared["id"] == known["node"], "left").select(shared["*"], F.coalesce("component", "id").alias("component")))
     # Only signatures whose sets are still in more than one component.
     apart = placed.groupBy("signature").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d").select("signature")
-    apart = stage(placed.join(apart, "signature", "left_semi"))
-    more = _compare(first, _candidates(apart, apart, (F.col("a.id") > F.col("b.id")) & (F.col("a.component") != F.col("b.component")), percent), percent)
+    sketches = first.select(F.col("doc_id").alias("id"), "sketch")
+    apart = stage(placed.join(apart, "signature", "left_semi").join(sketches, "id"))
+    differ = sum((F.bit_count(F.col("a.sketch")[i].bitwiseXOR(F.col("b.sketch")[i])) for i in range(SKETCH_WORDS)), F.lit(0))
+    may_link = (F.col("a.id") > F.col("b.id")) & (F.col("a.component") != F.col("b.component")) & (
+        (100 + percent) * differ <= (100 - percent) * (F.col("a.n") + F.col("b.n"))
+    )
+    more = _compare(first, _candidates(apart, apart, may_link, percent), percent)
     links = stage(links.unionByName(more))
     final = components(links).select(F.col("node").alias("set_id"), "component")
     found = classes.join(final, "set_id", "left").select(*key, F.coalesce("component", "set_id").alias("component"))
