@@ -18,7 +18,9 @@ from indexloom.session import stage
 TABLES, FUNCTIONS, CELL_WIDTH, PROBES = 12, 8, 2.0, 60
 # Vectors of one bucket that are compared in one piece; larger buckets have several.
 PIECE_ROWS = 5000
-_PAIRS = 1 << 20
+# Cells of each table that are searched first, to know from which score on a vector can still matter.
+FIRST_PROBES = 2
+_PAIRS = 1 << 18
 
 
 @functools.cache
@@ -71,7 +73,7 @@ def _bucket_keys(cells: np.ndarray, dimension: int) -> np.ndarray:
 
 
 def _hashed(tables: int, functions: int, width: float, probes: int):
-    """Rows (bucket, id, vector): one per table, or one per table and probe if `probes` is over 1."""
+    """Rows (bucket, nth, id, vector): for each table the cells that the first `probes` steps lead to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,14 +93,18 @@ def _hashed(tables: int, functions: int, width: float, probes: int):
                         moved[at[0], at[1], side % functions] += np.where(side < functions, -1, 1)
                     keys.append(_bucket_keys(moved, vectors.shape[1]))
                 every = np.concatenate(keys, axis=1)
+                nth = np.tile(np.repeat(np.arange(len(keys)), tables), len(rows))
                 take = pa.array(np.repeat(rows, every.shape[1]))
-                yield pa.RecordBatch.from_arrays([pa.array(every.ravel()), batch.column("id").take(take), batch.column("vector").take(take)], names=["bucket", "id", "vector"])
+                yield pa.RecordBatch.from_arrays([pa.array(every.ravel()), pa.array(nth), batch.column("id").take(take), batch.column("vector").take(take)], names=["bucket", "nth", "id", "vector"])
 
     return run
 
 
 def _best(k: int):
-    """Compares queries and vectors that share a cell; keeps the k best different vectors of each query."""
+    """Compares queries and vectors that share a cell; keeps the k best different vectors of each query.
+
+    A score below a query's `least`, or below its k-th best so far, is dropped at once.
+    """
 
     def reduced(query: np.ndarray, vector: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         order = np.lexsort((vector, query))
@@ -125,6 +131,9 @@ def _best(k: int):
                 q_rows, queries = of_length[vectors.shape[1]]
                 v_order, q_order = np.argsort(cells[0][rows], kind="stable"), np.argsort(cells[1][q_rows], kind="stable")
                 v_cell, q_cell = cells[0][rows][v_order], cells[1][q_rows][q_order]
+                own, number = np.unique(ids[1][q_rows], return_inverse=True)
+                least = np.full(len(own), -np.inf)
+                np.maximum.at(least, number, probes.column("least").fill_null(-np.inf).to_numpy()[q_rows])
                 v_norm, q_norm = np.linalg.norm(vectors, axis=1), np.linalg.norm(queries, axis=1)
                 opens = np.flatnonzero(np.concatenate([[True], q_cell[1:] != q_cell[:-1]]))
                 firsts, lasts = np.searchsorted(v_cell, q_cell[opens]), np.searchsorted(v_cell, q_cell[opens], "right")
@@ -133,11 +142,16 @@ def _best(k: int):
                         continue
                     q, v = q_order[a:b], v_order[i:j]
                     score = np.einsum("ij,kj->ik", queries[q], vectors[v]) / (q_norm[q][:, None] * v_norm[v])
-                    held.append((np.repeat(ids[1][q_rows[q]], j - i), np.tile(ids[0][rows[v]], b - a), score.ravel()))
-                    waiting += score.size
+                    x, y = np.nonzero(score >= least[number[q]][:, None])
+                    held.append((ids[1][q_rows[q[x]]], ids[0][rows[v[y]]], score[x, y]))
+                    waiting += len(x)
                     if waiting > _PAIRS:
                         found = reduced(*(np.concatenate(c) for c in zip(found, *held, strict=True)))
                         held, waiting = [], 0
+                        times = np.bincount(at := np.searchsorted(own, found[0][mine := np.isin(found[0], own)]), minlength=len(own))
+                        lowest = np.full(len(own), np.inf)
+                        np.minimum.at(lowest, at, found[2][mine])
+                        least = np.where(times >= k, np.maximum(least, lowest), least)
         if held:
             found = reduced(*(np.concatenate(c) for c in zip(found, *held, strict=True)))
         return pa.table({"query_id": found[0], "class_id": found[1], "score": found[2]})
@@ -165,7 +179,8 @@ def nearest(
     Equal vectors are one class, of which k + 1 ids are kept, so copies do not crowd a bucket. Each
     class is put into one bucket of each table: the cell it falls into under `functions` Gaussian
     projections of the unit vector. A query visits `probes` cells of each table, from its own outwards in
-    order of estimated success. What it finds there is scored on the original vectors, and the best of
+    order of estimated success; the k + 1 best of its first cells tell which later ones it need not
+    report. What it finds is scored on the original vectors, and the best of
     all tables are merged. Buckets of more than PIECE_ROWS are searched in pieces. A query that finds
     fewer than k is compared with all rows, in blocks.
     """
@@ -177,19 +192,24 @@ def nearest(
     members = stage(good.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1).withColumn("class_id", F.first("id").over(copies)))
     classes = members.where("copy = 1").select("id", "vector")
     queries = stage(good.where("asks").select("id", "vector"))
-    hashed = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("id", T.LongType()), rows.select(F.col(vector_col).alias("vector")).schema["vector"]])
+    hashed = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("nth", T.LongType()), T.StructField("id", T.LongType()), rows.select(F.col(vector_col).alias("vector")).schema["vector"]])
     index = stage(classes.mapInArrow(_hashed(tables, functions, width, 1), hashed))
     visits = queries.mapInArrow(_hashed(tables, functions, width, probes), hashed)
     sizes = stage(index.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / PIECE_ROWS).cast("int").alias("pieces")))
     piece = F.pmod(F.xxhash64("id"), F.coalesce("pieces", F.lit(1)))
     placed = index.join(sizes.where("pieces > 1"), "bucket", "left").withColumn("cell", F.xxhash64("bucket", piece.cast("int")))
-    asked = visits.join(sizes, "bucket").withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).withColumn("cell", F.xxhash64("bucket", F.col("piece").cast("int")))
-    found = stage(_search(placed, asked, partitions, k + 1))
-    enough = found.groupBy("query_id").count().where(F.col("count") > k).select(F.col("query_id").alias("id"))
+    # The planner takes the visits for as small as the queries they come from, and would broadcast them.
+    asked = visits.join(sizes.hint("merge"), "bucket").withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).withColumn("cell", F.xxhash64("bucket", F.col("piece").cast("int")))
+    nearby = stage(_search(placed, asked.where(F.col("nth") < FIRST_PROBES).withColumn("least", F.lit(None).cast("double")), partitions, k + 1))
+    by_score = Window.partitionBy("query_id").orderBy(F.desc("score"))
+    least = nearby.distinct().withColumn("r", F.row_number().over(by_score)).where(F.col("r") == k + 1).select(F.col("query_id").alias("id"), F.col("score").alias("least"))
+    further = asked.where(F.col("nth") >= FIRST_PROBES).join(stage(least).hint("merge"), "id", "left")
+    found = stage(nearby.unionByName(_search(placed, further, partitions, k + 1)))
+    enough = found.distinct().groupBy("query_id").count().where(F.col("count") > k).select(F.col("query_id").alias("id"))
     short = stage(queries.join(enough, "id", "left_anti"))
     every = F.pmod(F.xxhash64("id"), F.lit(partitions))
     all_blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(partitions - 1).cast("long")))
-    scanned = _search(classes.withColumn("cell", every.cast("long")), short.withColumn("cell", all_blocks), partitions, k + 1)
+    scanned = _search(classes.withColumn("cell", every.cast("long")), short.withColumn("cell", all_blocks).withColumn("least", F.lit(None).cast("double")), partitions, k + 1)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "class_id")
     top = found.unionByName(scanned).distinct().withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1)
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -204,5 +224,5 @@ def _search(index: DataFrame, probes: DataFrame, partitions: int, k: int) -> Dat
     """Best k of each query among the vectors it shares a cell with; cells are dealt into groups."""
     part = F.pmod(F.xxhash64("cell"), F.lit(4 * partitions)).alias("part")
     left = index.select("cell", "id", "vector", part).groupBy("part")
-    right = probes.select("cell", "id", "vector", part).groupBy("part")
+    right = probes.select("cell", "id", "vector", "least", part).groupBy("part")
     return left.cogroup(right).applyInArrow(_best(k), "query_id long, class_id long, score double")
