@@ -27,6 +27,12 @@ def for_tasks(docs: DataFrame) -> DataFrame:
     return docs
 
 
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of `docs` whose doc_id is not in the one column of `ids`, with all their columns."""
+    gone = ids.toDF("doc_id").distinct().alias("gone")
+    return docs.alias("docs").join(gone, F.col("docs.doc_id").eqNullSafe(F.col("gone.doc_id")), "left_anti")
+
+
 def packed(values: np.ndarray) -> bytes:
     """Numbers in few bytes: their bytes of equal order side by side, compressed."""
     values = np.ascontiguousarray(values)

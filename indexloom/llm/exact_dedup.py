@@ -183,8 +183,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 def without_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that stay, with all their columns."""
-    gone = exact_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__id"))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("__id")), "left_anti")
+    return blocks.without(docs, exact_duplicates(docs).where(~F.col("kept")).select("doc_id"))
 
 
 SQL = """

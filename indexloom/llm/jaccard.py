@@ -338,5 +338,4 @@ def _compare(first: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 
 def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     """One document of each group, the one with the smallest doc_id, with all its columns."""
-    gone = linked_documents(docs, size, percent).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("__id")), "left_anti")
+    return blocks.without(docs, linked_documents(docs, size, percent).where(F.col("doc_id") != F.col("component_id")).select("doc_id"))
