@@ -16,8 +16,13 @@ def _text(c: Column | str) -> Column:
 
 
 def clean_money(c: Column | str) -> Column:
-    """`£1,234.50` to an exact amount; text that is no number fails the job."""
-    return _text(c).cast(MONEY)
+    """`£1,234.50` to an exact amount of up to four decimals.
+
+    Text that is no number fails the job, and so does an amount with more decimals, which would be rounded.
+    """
+    exact = _text(c).cast("decimal(38,16)")
+    rounded = exact.cast(MONEY)
+    return F.when(exact == rounded, rounded).when(exact.isNotNull(), F.raise_error(F.lit("amount with more than four decimals")).cast(MONEY))
 
 
 def clean_count(c: Column | str) -> Column:

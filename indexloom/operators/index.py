@@ -12,9 +12,10 @@ from indexloom.functions import has_code
 from indexloom.operators.rollups import sum_by, with_keys
 
 CELL = ["sector", "class", "category", "status"]
+# The pattern of a place that is kept.
 FOUR_DIGITS = "[0-9][0-9][0-9][0-9]"
 
-# Report name and the cell keys it is split by; the sector split is published under two names.
+# Report name and the cell keys it is split by; the sector split is published under two names.
 SPLITS: list[tuple[str, list[str]]] = [
     ("sector1", ["sector"]),
     ("sector2", ["sector"]),
@@ -45,7 +46,8 @@ def numeric_places(df: DataFrame) -> DataFrame:
 
 
 def without_products(df: DataFrame, products: Sequence[str]) -> DataFrame:
-    return df.where(~F.col("product").isin(list(products))) if products else df
+    """Leave out the named products; rows without a product stay."""
+    return df.where(F.col("product").isNull() | ~F.col("product").isin(list(products))) if products else df
 
 
 def trim_outliers(df: DataFrame, limit: float = 20.0) -> DataFrame:

@@ -82,7 +82,7 @@ def key_join(
         any_null = any_null | F.col(key).isNull()
     # As few rows as shuffle partitions, so safe to broadcast.
     schema = T.StructType([*left.select(*on).schema, T.StructField("__pieces", T.IntegerType())])
-    hot = F.broadcast(left.sparkSession.createDataFrame([r for r in found if None not in r], schema))
+    hot = F.broadcast(left.sparkSession.createDataFrame([r for r in found if all(r[k] is not None for k in on)], schema))
 
     spread = (
         left.withColumns({"__salt": row, "__null": any_null})

@@ -69,12 +69,13 @@ def list_prices(lines: DataFrame, tickets: DataFrame) -> dict[str, DataFrame]:
     latest = prices.latest_validity(flows, FLOW_KEY, "valid_until_date", "flow_seq")
     # Of a ticket's products only the first would be kept below, so the others need not be joined.
     first = prices.keep_first(tickets, ["ticket_code"], ["lookup_seq"])
-    priced = prices.flow_prices(latest, fares, first, "fare_seq")
+    priced = feed.checked_fares(prices.flow_prices(latest, fares, first, "fare_seq"))
     file_order = ["flow_file", "flow_block", "flow_seq", "fare_file", "fare_block", "fare_seq"]
     kept = stage(prices.keep_first(priced, [*FLOW_KEY, "ticket_code", "fare"], file_order))
     return {
         "prices": kept.select(*PRODUCT_KEY, F.col("fare").cast("double").alias("fare")),
         "conflicts": prices.conflicting_duplicates(kept, [*FLOW_KEY, "ticket_code"]),
+        "rejects": feed.rejected_lines(lines),
     }
 
 
@@ -170,7 +171,8 @@ def run(spark: SparkSession, inputs: Inputs, out: str, run_id: str, codes: Codes
     for name, path in ((LIST_BASE, inputs.feed_base), (LIST_CURRENT, inputs.feed_current)):
         found = list_prices(feed.read_feed(spark, path), tickets)
         listed[name] = save(found["prices"].withColumnRenamed("fare", name), name)
-        written[f"{name}_conflicts"] = save(found["conflicts"], f"{name}_conflicts")
+        for review in ("conflicts", "rejects"):
+            written[f"{name}_{review}"] = save(found[review], f"{name}_{review}")
     price_table = stage(prices.combine_price_tables(
         [
             listed[LIST_BASE],
@@ -190,4 +192,5 @@ def run(spark: SparkSession, inputs: Inputs, out: str, run_id: str, codes: Codes
         "heavy_rows": prices.heavy_rows(fill_prices(heavy, price_table, "_row"), fixed.WEIGHT_LIMIT, ["_row"]),
     }
     written.update({name: save(df.drop("_row"), name) for name, df in reviews.items()})
+    tables.complete_run(spark, out, run_id)
     return written

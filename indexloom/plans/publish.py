@@ -28,19 +28,35 @@ def journey_changes(revenue: DataFrame, journeys: DataFrame) -> DataFrame:
     return usage.revenue_per_journey_change(both, fixed.USAGE_NAMES)
 
 
+def loadable(built: DataFrame, table: DataFrame, kind: str) -> DataFrame:
+    """A built series with the columns of the warehouse table it goes to, in name, type and order."""
+    named = tables.published_series(built, kind) if tables.is_published(table, kind) else built
+    return named.select(*[named[f"`{f.name}`"].cast(f.dataType).alias(f.name) for f in table.schema])
+
+
 def run(
     spark: SparkSession, warehouse: dict[str, str], report: DataFrame, keys: DataFrame, revenue: DataFrame, journeys: DataFrame,
     out: str, run_id: str, deflator: float, year: int | None = None, load: bool = True,
+    load_id: int | None = None, jdbc: dict[str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Build both series and append them to their warehouse tables, one path per series kind."""
+    """Build both series and append them to their warehouse tables, one path per series kind.
+
+    They go on from the load `load_id`, by default the latest, which is read from Parquet or over JDBC.
+    A load is appended under the column names and types the table has, published or plain.
+    """
     tune(spark)
     written = {}
     for kind in (series.BY_SECTOR, series.BY_TICKET_TYPE):
-        last = tables.latest_snapshot(tables.plain_series(tables.read_warehouse(spark, warehouse[kind.name]), kind.name))
+        table = tables.read_warehouse(spark, warehouse[kind.name], jdbc)
+        plain = tables.plain_series(table, kind.name)
+        last = tables.latest_snapshot(plain) if load_id is None else tables.snapshot(plain, load_id)
+        if last.isEmpty():
+            raise ValueError(f"{warehouse[kind.name]} has no load {load_id if load_id is not None else ''}")
         built = next_series(last, report, keys, kind, deflator, year)
         if kind is series.BY_SECTOR:
             built = series.insert_revenue_per_journey(built, journey_changes(revenue, journeys))
         written[kind.name] = tables.write_run(built, out, f"series_{kind.name}", run_id)
         if load:
-            tables.append_load(written[kind.name].drop("variance"), warehouse[kind.name])
+            load_column = tables.published_series(plain.select("load_id"), kind.name).columns[0] if tables.is_published(table, kind.name) else "load_id"
+            tables.append_load(loadable(written[kind.name], table, kind.name), warehouse[kind.name], load_column)
     return written

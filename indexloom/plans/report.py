@@ -23,7 +23,9 @@ def run(
     spark: SparkSession, stage1: str, out: str, run_id: str, stage1_run: str | None = None,
     excluded_products: Sequence[str] = fixed.EXCLUDED_PRODUCTS,
 ) -> dict[str, DataFrame]:
+    """Build the reports of one run of stage 1, which must be complete: by default the latest such run."""
     tune(spark)
+    stage1_run = tables.completed_run(spark, stage1, stage1_run)
     advance, non_advance, fact = (
         tables.read_run(spark, stage1, name, stage1_run) for name in ("advance", "non_advance", "fact")
     )

@@ -60,7 +60,24 @@ def parse_flows(lines: DataFrame) -> DataFrame:
     return flows.withColumn("valid_until_date", F.to_date(until, "ddMMyyyy"))
 
 
+def _fare_lines(lines: DataFrame) -> DataFrame:
+    return _fields(feed_records(lines).where(~is_flow() & (F.trim("value") != "")).withColumn("line", F.col("value")), FARE_FIELDS)
+
+
 def parse_fares(lines: DataFrame) -> DataFrame:
-    """Fare records; every line that is neither a flow nor a comment is one. Fares are in pence."""
-    fares = _fields(feed_records(lines).where(~is_flow()), FARE_FIELDS)
-    return fares.withColumn("fare", F.trim("fare").cast("int"))
+    """Fare records; every line that is no flow, comment or blank is one. Fares are in pence.
+
+    A fare that is no number is null here. It only matters on a line that belongs to a flow, where
+    `checked_fares` stops the job; `rejected_lines` lists all of them.
+    """
+    return _fare_lines(lines).drop("line").withColumn("fare", F.trim("fare").try_cast("int"))
+
+
+def checked_fares(priced: DataFrame) -> DataFrame:
+    """Fails on a fare that joined a flow and is no number."""
+    return priced.withColumn("fare", F.when(F.col("fare").isNotNull(), F.col("fare")).otherwise(F.raise_error(F.lit("a fare of a flow is no number"))))
+
+
+def rejected_lines(lines: DataFrame) -> DataFrame:
+    """Lines taken for fares whose fare is no number, with their place in the feed."""
+    return _fare_lines(lines).where(F.trim("fare").try_cast("int").isNull()).select("line", "file", "block", "seq")

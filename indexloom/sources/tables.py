@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -30,23 +31,29 @@ def plain_series(df: DataFrame, kind: str) -> DataFrame:
     return df.withColumnsRenamed(SERIES_COLUMNS[kind])
 
 
+def is_published(df: DataFrame, kind: str) -> bool:
+    """True if the table has its published column names."""
+    return any(name in df.columns for name in SERIES_COLUMNS[kind])
+
+
 def published_series(df: DataFrame, kind: str) -> DataFrame:
     """A series table with its published column names."""
     return df.withColumnsRenamed({plain: name for name, plain in SERIES_COLUMNS[kind].items()})
 
 
 def new_run_id(now: datetime | None = None) -> str:
-    return (now or datetime.now()).strftime("%Y%m%d_%H-%M")
+    """An id that sorts by time; runs of the same second still differ."""
+    return f"{(now or datetime.now()).strftime('%Y%m%d_%H-%M-%S')}_{uuid.uuid4().hex[:8]}"
 
 
 def write_run(df: DataFrame, root: str, name: str, run_id: str, fmt: str = "parquet") -> DataFrame:
-    """Write a result under its run id and return it as read back.
+    """Write a result under its run id and return it as read back. A result that is there is not overwritten.
 
     What follows reads the written table, so nothing upstream is computed again, also not after
     executors are lost.
     """
     path = f"{root}/{name}/run_id={run_id}"
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("errorifexists")
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.format(fmt).save(path)
@@ -56,13 +63,43 @@ def write_run(df: DataFrame, root: str, name: str, run_id: str, fmt: str = "parq
     return reader.format(fmt).load(path)
 
 
+def _latest(spark: SparkSession, path: str) -> str:
+    """The last run id below a path. Ids are text, so they come from file names, not from typed partitions."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    latest = files.select(F.regexp_extract("path", "/run_id=([^/]+)/", 1).alias("run_id")).where("run_id <> ''").agg(F.max("run_id")).first()[0]
+    if latest is None:
+        raise ValueError(f"no run in {path}")
+    return latest
+
+
 def read_run(spark: SparkSession, root: str, name: str, run_id: str | None = None) -> DataFrame:
-    """A result of a given run, by default of the latest."""
-    # Run ids are text; read as such and not as a number or a date.
-    runs = spark.read.option("basePath", f"{root}/{name}").parquet(f"{root}/{name}")
-    runs = runs.withColumn("run_id", F.col("run_id").cast("string"))
-    wanted = F.lit(run_id) if run_id is not None else runs.agg(F.max("run_id")).scalar()
-    return runs.where(F.col("run_id") == wanted).drop("run_id")
+    """A result of a given run, by default of the latest. A run that does not exist is an error."""
+    run_id = _latest(spark, f"{root}/{name}") if run_id is None else run_id
+    try:
+        return spark.read.parquet(f"{root}/{name}/run_id={run_id}")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            raise ValueError(f"there is no run {run_id} of {name} in {root}") from e
+        raise
+
+
+COMPLETED = "completed"
+
+
+def complete_run(spark: SparkSession, root: str, run_id: str) -> None:
+    """Record that all results of a run are written; the last thing a stage does."""
+    write_run(spark.createDataFrame([(run_id,)], "run string"), root, COMPLETED, run_id)
+
+
+def completed_run(spark: SparkSession, root: str, run_id: str | None = None) -> str:
+    """The given run, or the latest, if it was completed. All results of a stage are read by this one id."""
+    try:
+        run_id = _latest(spark, f"{root}/{COMPLETED}") if run_id is None else run_id
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            raise ValueError(f"no run was completed in {root}") from e
+        raise
+    return read_run(spark, root, COMPLETED, run_id).first().run
 
 
 def max_load_id(table: DataFrame) -> DataFrame:
@@ -79,19 +116,30 @@ def latest_snapshot(table: DataFrame) -> DataFrame:
     return table.where(F.col("load_id") == max_load_id(table).scalar())
 
 
-def append_load(df: DataFrame, path: str) -> None:
-    """Append one load to the warehouse table. A load id the table already holds is refused."""
+def append_load(df: DataFrame, path: str, load_column: str = "load_id") -> None:
+    """Append one load to the warehouse table, as the partition of its load id.
+
+    A load id the table already holds is refused, and so is a load whose columns differ from the
+    table's in name or type, as both would leave nulls in the one or the other.
+    """
     spark = df.sparkSession
-    load_ids = [row.load_id for row in df.select("load_id").distinct().limit(2).collect()]
+    load_ids = [row[0] for row in df.select(load_column).distinct().limit(2).collect()]
     if len(load_ids) != 1:
         raise ValueError(f"expected one load id, found {load_ids}")
     try:
-        existing = spark.read.parquet(path)
-    except AnalysisException:
+        existing = {f.name: f.dataType for f in spark.read.parquet(path).schema}
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         existing = None
-    if existing is not None and not snapshot(existing, load_ids[0]).isEmpty():
-        raise ValueError(f"load {load_ids[0]} is already in {path}")
-    df.write.mode("append").partitionBy("load_id").parquet(path)
+    if existing is not None and existing != {f.name: f.dataType for f in df.schema}:
+        raise ValueError(f"columns of the load, {df.schema.simpleString()}, differ from those of {path}: {existing}")
+    try:
+        df.drop(load_column).write.mode("errorifexists").parquet(f"{path}/{load_column}={load_ids[0]}")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_ALREADY_EXISTS":
+            raise ValueError(f"load {load_ids[0]} is already in {path}") from e
+        raise
 
 
 def read_warehouse(spark: SparkSession, source: str, jdbc: dict[str, str] | None = None) -> DataFrame:

@@ -54,3 +54,10 @@ def test_roll_forward_and_real_change(spark):
     assert one(spark, fn.rolled_forward(F.col("p"), F.col("c")), p=("double", 200.0), c=("double", 3.0)) == 206.0
     real = fn.real_change(F.col("v"), F.col("p"), F.lit(2.5))
     assert one(spark, real, v=("double", 206.0), p=("double", 200.0)) == pytest.approx(0.4878, abs=1e-4)
+
+
+def test_money_is_never_rounded(spark):
+    exact = spark.createDataFrame([("£1,234.5678",), ("-0.5",), (None,)], "t string").select(fn.clean_money("t"))
+    assert [None if r[0] is None else float(r[0]) for r in exact.collect()] == [1234.5678, -0.5, None]
+    with pytest.raises(Exception, match="four decimals"):
+        spark.createDataFrame([("1.23456",)], "t string").select(fn.clean_money("t")).collect()

@@ -87,3 +87,8 @@ def test_price_side(spark):
     )
     rows = {tuple(r) for r in index.price_side(advance, other, ["2MTC"]).collect()}
     assert rows == {("S", "1", "advance", "Unregulated", 1.0, 5.0), ("S", "2", "season", "Regulated", 4.0, -19.9)}
+
+
+def test_rows_without_a_product_stay(spark):
+    df = spark.createDataFrame([("1ADV",), (None,), ("2MTA",)], "product string")
+    assert [r[0] for r in index.without_products(df, ["1ADV"]).collect()] == [None, "2MTA"]

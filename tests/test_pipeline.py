@@ -147,8 +147,10 @@ def test_large_inputs_give_the_same(without_broadcast, folders, results):
         assert Counter(map(tuple, df.collect())) == Counter(map(tuple, results[name].collect())), name
 
 
-def test_publish(spark, results, folders):
-    warehouse = {kind.name: str(folders / f"warehouse_{kind.name}") for kind in (series.BY_SECTOR, series.BY_TICKET_TYPE)}
+@pytest.mark.parametrize("published", [False, True])
+def test_publish(spark, results, folders, published):
+    load_column = "Load_ID" if published else "load_id"
+    warehouse = {kind.name: str(folders / f"warehouse_{kind.name}_{published}") for kind in (series.BY_SECTOR, series.BY_TICKET_TYPE)}
     columns = "load_id int, publication_status string, sector string, ticket_category string, category_order int, label string, label_order int, value double"
     for kind, sector, total, deflator in (
         (series.BY_SECTOR, "London and South East", "All operators", ("RPI", "All items index")),
@@ -159,7 +161,8 @@ def test_publish(spark, results, folders):
         for order, (s, category, stats) in enumerate(((sector, "All tickets", labels), (total, "All tickets", labels), (*deflator, labels[:1]))):
             rows += [(4, "Approved", s, category, order, "January 2017", 17, 100.0), (4, "Approved", s, category, order, "January 2018", 18, 110.0)]
             rows += [(4, "Approved", s, category, order, label, 19 + i, 1.0) for i, label in enumerate(stats)]
-        tables.append_load(spark.createDataFrame(rows, columns), warehouse[kind.name])
+        first = spark.createDataFrame(rows, columns)
+        tables.append_load(tables.published_series(first, kind.name) if published else first, warehouse[kind.name], load_column)
 
     keys = spark.createDataFrame(
         [("Lon SE", "London and South East", "All tickets"), ("Lon SE", "London and SE operators", "All tickets")],
@@ -170,14 +173,25 @@ def test_publish(spark, results, folders):
         "financial_year_key int, year_and_quarter string, `Long-distance` double, `London and South East` double, Regional double, "
         "`Non-franchised` double, source_item_id int, publication_status string",
     )
-    written = publish.run(spark, warehouse, results["split_report"], keys, usage, usage, str(folders / "out/stage3"), "r1", 2.5, 2019)
+    written = publish.run(spark, warehouse, results["split_report"], keys, usage, usage, str(folders / f"out/stage3_{published}"), "r1", 2.5, 2019)
     change = results["split_report"].where("split = 'sector1' and part = 'Lon SE'").first().average_change
     new = written["ticket_type"].where("sector = 'London and SE operators' and label = 'January 2019'").first()
     assert new.value == pytest.approx(110 * (1 + change / 100))
     # Two of the three sectors are missing, so there is no total.
     assert written["ticket_type"].where("sector = 'All tickets' and label = 'January 2019'").first().value is None
+    # A second year goes on from the first, and nothing of either is lost.
+    publish.run(spark, warehouse, results["split_report"], keys, usage, usage, str(folders / f"out/stage3_{published}"), "r2", 2.5, 2020)
     loaded = tables.read_warehouse(spark, warehouse["ticket_category"])
-    assert sorted(r.load_id for r in loaded.select("load_id").distinct().collect()) == [4, 5]
-    with pytest.raises(ValueError):
-        tables.append_load(written["ticket_category"].drop("variance"), warehouse["ticket_category"])
-    assert loaded.where(F.col("load_id") == 5).count() == written["ticket_category"].count()
+    assert ("Year & stats" in loaded.columns) == published
+    assert not loaded.where(" OR ".join(f"`{c}` IS NULL" for c in loaded.columns if c != "value")).count()
+    plain = tables.plain_series(loaded, "ticket_category")
+    assert sorted(r.load_id for r in plain.select("load_id").distinct().collect()) == [4, 5, 6]
+    assert plain.where("load_id = 5").count() == written["ticket_category"].count()
+    assert plain.where("load_id = 6 AND label = 'January 2020'").count() > 0
+    with pytest.raises(ValueError, match="already"):
+        tables.append_load(loaded.where(F.col(load_column) == 5), warehouse["ticket_category"], load_column)
+    # The load to go on from can be chosen, and must be there.
+    with pytest.raises(ValueError, match="no load 9"):
+        publish.run(spark, warehouse, results["split_report"], keys, usage, usage, str(folders / f"out/stage3_{published}"), "r3", 2.5, 2019, load_id=9)
+    again = publish.run(spark, warehouse, results["split_report"], keys, usage, usage, str(folders / f"out/stage3_{published}"), "r4", 2.5, 2019, load=False, load_id=4)
+    assert again["ticket_type"].count() == written["ticket_type"].count()

@@ -2,6 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from indexloom.plans import ingest
@@ -107,7 +108,51 @@ def test_runs(spark, tmp_path):
 
 
 def test_run_id():
-    assert tables.new_run_id(dt.datetime(2020, 4, 9, 10, 15)) == "20200409_10-15"
+    one, two = (tables.new_run_id(dt.datetime(2020, 4, 9, 10, 15, 7)) for _ in range(2))
+    assert one.startswith("20200409_10-15-07_") and one != two
+
+
+def test_runs_are_found_by_their_text(spark, tmp_path):
+    root = str(tmp_path)
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    tables.write_run(df, root, "t", "001")
+    tables.write_run(df.limit(0), root, "t", "002")
+    assert tables.read_run(spark, root, "t", "001").first().v == "a"
+    # The latest run is the latest also if it has no rows.
+    assert tables.read_run(spark, root, "t").isEmpty()
+    with pytest.raises(ValueError):
+        tables.read_run(spark, root, "t", "1")
+    with pytest.raises(AnalysisException):
+        tables.write_run(df, root, "t", "001")
+
+
+def test_only_completed_runs_are_taken(spark, tmp_path):
+    root = str(tmp_path)
+    with pytest.raises(ValueError):
+        tables.completed_run(spark, root)
+    tables.complete_run(spark, root, "007")
+    tables.write_run(spark.createDataFrame([(1,)], "k int"), root, "fact", "008")
+    assert tables.completed_run(spark, root) == "007"
+    with pytest.raises(ValueError):
+        tables.completed_run(spark, root, "008")
+
+
+def test_a_load_of_other_columns_is_refused(spark, tmp_path):
+    path = str(tmp_path / "warehouse")
+    tables.append_load(spark.createDataFrame([(1, "x", 1.0)], "Load_ID int, `Year & stats` string, value double"), path, "Load_ID")
+    with pytest.raises(ValueError, match="columns"):
+        tables.append_load(spark.createDataFrame([(2, "x", 1.0)], "Load_ID int, label string, value double"), path, "Load_ID")
+    assert tables.read_warehouse(spark, path).count() == 1
+
+
+def test_feed_lines_that_are_no_fare(spark, tmp_path):
+    text = (tmp_path / "feed.txt")
+    text.write_text("RF0001000200003000\n\nRT0000001ABC00001000\nEND OF FILE\n")
+    lines = feed.read_feed(spark, str(text))
+    assert [r.fare for r in feed.parse_fares(lines).orderBy("seq").collect()] == [1000, None]
+    assert [r.line for r in feed.rejected_lines(lines).collect()] == ["END OF FILE"]
+    with pytest.raises(Exception, match="no number"):
+        feed.checked_fares(feed.parse_fares(lines)).collect()
 
 
 def test_loads(spark, tmp_path):
