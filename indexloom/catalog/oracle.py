@@ -503,6 +503,10 @@ FROM filled WHERE weight > 50000"""),
 SELECT {_CELL}, CAST(priced_weight AS DOUBLE) AS priced_weight, CAST(total_weight AS DOUBLE) AS total_weight,
        round(weighted_change, 4) AS weighted_change, round(contribution, 0) AS contribution FROM grid"""),
         "split_report": _with(_TO_GRID, "\nUNION ALL\n".join(_split(name, keys, _CELL_LIST) for name, keys in _SPLITS)),
+        "cell_grid_rows": _with(_TO_GRID, f"""
+SELECT {_CELL}, CAST(priced_weight AS DOUBLE) AS priced_weight, CAST(total_weight AS DOUBLE) AS total_weight,
+       round(weighted_change, 4) AS weighted_change, round(contribution, 0) AS contribution FROM grid"""),
+        "split_report_rows": _with(_TO_GRID, "\nUNION ALL\n".join(_split(name, keys, _CELL_LIST) for name, keys in _SPLITS)),
         "split_sector": _with(_TO_GRID, _split("sector1", ["sector"], ["sector"])),
         "split_class": _with(_TO_GRID, _split("class", ["class"], ["class"])),
         "split_status": _with(_TO_GRID, _split("regulation", ["status"], ["status"])),

@@ -406,18 +406,39 @@ def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.build_grid(advance, non_advance, facts, t.EXCLUDED_PRODUCTS)
 
 
+def _grid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.build_grid(*t.row_inputs(spark, sf_dir), t.EXCLUDED_PRODUCTS)
+
+
+def _grid_columns(grid: DataFrame) -> DataFrame:
+    return grid.select(*index.CELL, money("priced_weight"), money("total_weight"), rounded("weighted_change"), rounded("contribution", 0))
+
+
+def _report_columns(grid: DataFrame) -> DataFrame:
+    return index.split_report(grid).select(
+        "split", "part", *index.CELL, rounded("average_change"), money("total_weight"), rounded("share", 6)
+    )
+
+
 @query
 def cell_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _grid(spark, sf_dir).select(
-        *index.CELL, money("priced_weight"), money("total_weight"), rounded("weighted_change"), rounded("contribution", 0)
-    )
+    return _grid_columns(_grid(spark, sf_dir))
+
+
+@query
+def cell_grid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cell grid without the cube: every sale is classified and priced as a row."""
+    return _grid_columns(_grid_rows(spark, sf_dir))
 
 
 @query
 def split_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return index.split_report(_grid(spark, sf_dir)).select(
-        "split", "part", *index.CELL, rounded("average_change"), money("total_weight"), rounded("share", 6)
-    )
+    return _report_columns(_grid(spark, sf_dir))
+
+
+@query
+def split_report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _report_columns(_grid_rows(spark, sf_dir))
 
 
 def _split(spark: SparkSession, sf_dir: str, name: str, keys: Sequence[str]) -> DataFrame:

@@ -128,7 +128,9 @@ def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 def regulated(sales_rows: DataFrame) -> DataFrame:
     """Keys sold without discount, with a flag."""
     undiscounted = sales_rows.where(F.col("l_discount") == 0)
-    return undiscounted.groupBy(*PRODUCT_KEY).agg(F.max("l_linestatus").alias("flag2"))
+    # The largest code as a number, as text would be sorted and not hashed before it is combined.
+    largest = undiscounted.groupBy(*PRODUCT_KEY).agg(F.max(F.ascii("l_linestatus")).alias("code"))
+    return largest.select(*PRODUCT_KEY, F.char("code").alias("flag2"))
 
 
 def is_base() -> Column:
@@ -203,6 +205,15 @@ def index_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return advance, non_advance.select(*advance.columns, "status", "category"), facts
 
 
+def row_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The same three frames as `index_inputs`, from the sales row by row, as stage 1 makes them of files."""
+    rows = sales(spark, sf_dir)
+    facts = classified(rows, regulated(rows), categories(spark, sf_dir), "row")
+    advance = ingest.advance_detail(facts, price_table(ingest.classify(rows, CODES), CLASS_KEY, "derived"))
+    non_advance = ingest.non_advance_detail(ingest.fill_prices(facts, price_table(rows, PRODUCT_KEY), "row"))
+    return advance, non_advance.select(*advance.columns, "status", "category"), facts
+
+
 # Feed: orders are flows, line items are fares.
 
 
