@@ -13,7 +13,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 # Hexadecimal digits of a document's hash, and how many of them each histogram adds.
-KEY_DIGITS, DIGITS_PER_LEVEL = 16, 4
+KEY_DIGITS, DIGITS_PER_LEVEL = 15, 3
 
 
 def word_count(text: Column) -> Column:
@@ -137,7 +137,7 @@ def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repea
 SQL = """
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-         substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 16) AS key
+         substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15) AS key
   FROM documents
 ), sources AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
