@@ -34,9 +34,10 @@ def missing_rows(df: DataFrame, target: str) -> DataFrame:
     return df.where(F.col(target) == MISSING)
 
 
-def missing_counts(df: DataFrame, targets: Sequence[str]) -> DataFrame:
-    """One row with the number of missing values of each lookup."""
-    return df.agg(*[F.count_if(F.col(t) == MISSING).alias(f"missing_{t}") for t in targets])
+def missing_counts(df: DataFrame, targets: Sequence[str], rows: str | None = None) -> DataFrame:
+    """One row with the number of missing values of each lookup. `rows` says how many rows one of a summed frame stands for."""
+    each = F.lit(1) if rows is None else F.col(rows)
+    return df.agg(*[F.coalesce(F.sum(F.when(F.col(t) == MISSING, each)), F.lit(0)).cast("long").alias(f"missing_{t}") for t in targets])
 
 
 @dataclass(frozen=True)

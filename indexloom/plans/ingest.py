@@ -142,19 +142,22 @@ def run(spark: SparkSession, inputs: Inputs, out: str, run_id: str, codes: Codes
     audited = save(classified, "fact")
     fact = audited.select(*FACT_COLUMNS)
 
+    summed = stage(rollups.report_sums(fact))
+    missing = lookups.missing_counts(summed, ["sector", "ticket_type", "class", "category"], "rows")
+
     written = {
         "fact": fact,
         "status_audit": audited,
-        "status_check": save(fact.select("product", "product_group", "status").distinct(), "status_check"),
+        "status_check": save(summed.select("product", "product_group", "status").distinct(), "status_check"),
         "missing_categories": save(
-            lookups.missing_rows(fact, "category").select("product", "product_group").distinct(), "missing_categories"
+            lookups.missing_rows(summed, "category").select("product", "product_group").distinct(), "missing_categories"
         ),
         "missing_sectors": save(lookups.missing_rows(fact, "sector"), "missing_sectors"),
-        "missing_counts": save(lookups.missing_counts(fact, ["sector", "ticket_type", "class", "category"]), "missing_counts"),
+        "missing_counts": save(missing, "missing_counts"),
         "regulated_duplicates": save(lookups.duplicate_keys(regulated, PRODUCT_KEY), "regulated_duplicates"),
-        "control_totals": save(rollups.control_totals(fact), "control_totals"),
-        "revenue_by_product": save(rollups.revenue_by_product(fact), "revenue_by_product"),
-        "revenue_by_segment": save(rollups.revenue_by_segment(fact), "revenue_by_segment"),
+        "control_totals": save(rollups.control_totals(summed), "control_totals"),
+        "revenue_by_product": save(rollups.revenue_by_product(summed), "revenue_by_product"),
+        "revenue_by_segment": save(rollups.revenue_by_segment(summed), "revenue_by_segment"),
     }
 
     advance_prices = prices.combine_price_tables(

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from multiprocessing.pool import ThreadPool
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from indexloom.functions import clean_count, clean_money, lenient_number, zero_pad
 from indexloom.operators.prices import unit_price
@@ -41,16 +45,35 @@ PRICE_HEADERS = {
                     "Product Code": "product", "NetReceiptSterling": "receipts", "Issues": "issues"},
 }
 PLACE_WIDTHS = {"origin": 4, "destination": 4, "route": 5}
+HEADERS_AT_A_TIME = 8
 
 
 def read_named_csv(spark: SparkSession, path: str, header: Mapping[str, str], encoding: str = "UTF-8") -> DataFrame:
     """Read the named columns of one file, or of all files of a directory, as text.
 
-    Files may carry other columns as well. A file whose header differs from that of the others fails
-    the job, as its columns would be taken for the wrong ones.
+    Files may carry other columns as well, and each may have its columns in an order of its own: files
+    with the same header are read together, under the schema that the header gives. That takes a look
+    at the first line of each file. A file without a line is passed over, one without a named column fails.
     """
-    reader = spark.read.options(header=True, inferSchema=False, enforceSchema=False, encoding=encoding)
-    return reader.csv(path).select(*[F.col(f"`{name}`").alias(to) for name, to in header.items()])
+    files = sorted(unquote(f) for f in spark.read.text(path).inputFiles())
+
+    def names_of(file: str) -> tuple[str, ...]:
+        return tuple(spark.read.options(header=True, inferSchema=False, encoding=encoding).csv(file).columns)
+
+    with ThreadPool(HEADERS_AT_A_TIME) as pool:
+        headers = pool.map(names_of, files)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for names, file in zip(headers, files, strict=True):
+        groups.setdefault(names, []).append(file)
+    groups.pop((), None)
+    if not groups:
+        raise ValueError(f"no header in {path}")
+    read = []
+    for names, same in groups.items():
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        rows = spark.read.schema(schema).options(header=True, encoding=encoding).csv(same)
+        read.append(rows.select(*[F.col(f"`{name}`").alias(to) for name, to in header.items()]))
+    return reduce(DataFrame.unionByName, read)
 
 
 def padded_places(df: DataFrame) -> DataFrame:
