@@ -21,13 +21,25 @@ products AS (
 )"""
 _CARRIERS = """
 carriers AS (
-  SELECT s_suppkey, n_name AS carrier, r_name AS region, lpad(CAST(s_nationkey AS VARCHAR), 4, '0') AS origin
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  SELECT l_suppkey AS s_suppkey, coalesce(n_name, 'Missing') AS carrier, coalesce(r_name, 'Missing') AS region,
+         coalesce(lpad(CAST(s_nationkey AS VARCHAR), 4, '0'), 'Missing') AS origin
+  FROM (SELECT DISTINCT l_suppkey FROM lineitem) LEFT JOIN supplier ON l_suppkey = s_suppkey
+  LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
 )"""
 _SALES = """
 sales AS (
-  SELECT l.*, c.carrier, c.region, c.origin, p.product, p.product_group, p.p_type
-  FROM lines l JOIN carriers c ON l.l_suppkey = c.s_suppkey JOIN products p ON l.l_partkey = p.p_partkey
+  SELECT l.*, c.carrier, c.region, c.origin, coalesce(p.product, 'Missing') AS product,
+         coalesce(p.product_group, 'Missing') AS product_group, p.p_type
+  FROM lines l JOIN carriers c ON l.l_suppkey IS NOT DISTINCT FROM c.s_suppkey LEFT JOIN products p ON l.l_partkey = p.p_partkey
+)"""
+_WIDE_SALES = """
+sales AS (
+  SELECT l.* EXCLUDE (destination), coalesce(CASE WHEN length(CAST(l_suppkey AS VARCHAR)) < 4 THEN lpad(CAST(l_suppkey AS VARCHAR), 4, '0')
+                                                 ELSE CAST(l_suppkey AS VARCHAR) END, 'Missing') AS origin,
+         coalesce(CASE WHEN length(CAST(o_custkey AS VARCHAR)) < 4 THEN lpad(CAST(o_custkey AS VARCHAR), 4, '0')
+                       ELSE CAST(o_custkey AS VARCHAR) END, 'Missing') AS destination,
+         coalesce(CAST(l_partkey AS VARCHAR), 'Missing') AS product
+  FROM lines l LEFT JOIN orders ON l_orderkey = o_orderkey
 )"""
 _CLASSIFIED = """
 classified AS (
@@ -182,7 +194,7 @@ quarters AS (
          CAST(fy AS VARCHAR) || '-' || lpad(CAST((fy + 1) % 100 AS VARCHAR), 2, '0') || ' Quarter '
            || CAST(CASE WHEN month(l_shipdate) >= 4 THEN (month(l_shipdate) - 4) // 3 + 1 ELSE 4 END AS VARCHAR) AS year_and_quarter,
          region, weight, journeys, l_linenumber, l_returnflag
-  FROM lines JOIN carriers ON l_suppkey = s_suppkey
+  FROM lines JOIN carriers ON l_suppkey IS NOT DISTINCT FROM s_suppkey
 ),
 usage_wide AS (
   SELECT CAST(fy AS INTEGER) AS financial_year_key, year_and_quarter,
@@ -231,7 +243,7 @@ _SUMS = """
 sums AS (
   SELECT CASE region WHEN 'AFRICA' THEN 'London and South East' WHEN 'EUROPE' THEN 'Long distance' WHEN 'ASIA' THEN 'Regional'
                      ELSE region END AS sector, year, sum(weight) AS weight, sum(journeys) AS journeys
-  FROM lines JOIN carriers ON l_suppkey = s_suppkey GROUP BY 1, 2
+  FROM lines JOIN carriers ON l_suppkey IS NOT DISTINCT FROM s_suppkey GROUP BY 1, 2
 ),
 levels AS (
   SELECT sector, 'All tickets' AS ticket_category, 1 AS category_order, year, CAST(weight AS DOUBLE) / journeys AS value FROM sums
@@ -338,9 +350,9 @@ def _per_key(parts: list[str], source: str, names: list[str]) -> str:
     return _with(parts, f"SELECT {_KEY}, count(*) AS n, CAST(sum(weight) AS DOUBLE) AS weight, {values} FROM {source} GROUP BY {_KEY}")
 
 
-def _price_join(which: str) -> str:
+def _price_join(which: str, sales: list[str] = _TO_SALES) -> str:
     joined = f"(SELECT s.*, p.{which}_base, p.{which}_current FROM sales s LEFT JOIN prices p USING ({_KEY}))"
-    return _per_key([*_TO_SALES, _PRICES], joined, [f"{which}_base", f"{which}_current"])
+    return _per_key([*sales, _PRICES], joined, [f"{which}_base", f"{which}_current"])
 
 
 def _detail_rows(where: str) -> str:
@@ -418,7 +430,7 @@ FROM orders""",
             [_LINES, _PRODUCTS, _CATEGORIES],
             """(SELECT weight, coalesce(k.category, 'Missing') AS category,
        CASE WHEN k.category = 'advance' THEN 'advance' ELSE 'non-advance' END AS branch
-FROM lines JOIN products p ON l_partkey = p_partkey
+FROM lines LEFT JOIN products p ON l_partkey = p_partkey
 LEFT JOIN categories k ON p.product = k.product AND p.product_group = k.product_group)""",
             "branch, category",
         ),
@@ -445,13 +457,13 @@ SELECT {_KEY}, count(*) AS entries FROM (SELECT DISTINCT {_KEY}, l_linestatus FR
 GROUP BY {_KEY} HAVING count(*) > 1"""),
         "category_lookup": _tally(
             [_LINES, _PRODUCTS, _CATEGORIES],
-            """(SELECT weight, p.product, p.product_group, coalesce(k.category, 'Missing') AS category
-FROM lines JOIN products p ON l_partkey = p_partkey
+            """(SELECT weight, coalesce(p.product, 'Missing') AS product, coalesce(p.product_group, 'Missing') AS product_group, coalesce(k.category, 'Missing') AS category
+FROM lines LEFT JOIN products p ON l_partkey = p_partkey
 LEFT JOIN categories k ON p.product = k.product AND p.product_group = k.product_group)""",
             "product, product_group, category",
         ),
         "category_unmatched": _with([_LINES, _PRODUCTS, _CATEGORIES], """
-SELECT DISTINCT p.product, p.product_group FROM lines JOIN products p ON l_partkey = p_partkey
+SELECT DISTINCT coalesce(p.product, 'Missing') AS product, coalesce(p.product_group, 'Missing') AS product_group FROM lines LEFT JOIN products p ON l_partkey = p_partkey
 WHERE NOT EXISTS (SELECT 1 FROM categories k WHERE k.product = p.product AND k.product_group = p.product_group)"""),
         "lookup_only_new": _parts_sold("> 1997", "<= 1997"),
         "lookup_only_old": _parts_sold("<= 1997", "> 1997"),
@@ -487,6 +499,8 @@ SELECT {_KEY}, round(list_base, 4) AS list_base, round(list_current, 4) AS list_
        round(derived_base, 4) AS derived_base, round(derived_current, 4) AS derived_current FROM prices"""),
         "list_price_join": _price_join("list"),
         "derived_price_join": _price_join("derived"),
+        "list_price_join_wide": _price_join("list", [_LINES, _WIDE_SALES]),
+        "derived_price_join_wide": _price_join("derived", [_LINES, _WIDE_SALES]),
         "derived_price_join_class": _with([*_TO_FACT, _CLASS_PRICES, _ADVANCE], """
 SELECT carrier, origin, destination, route, product, product_group, class, sector, CAST(weight AS DOUBLE) AS weight, journeys,
        round(price_base, 4) AS price_base, round(price_current, 4) AS price_current, round(change, 4) AS change FROM advance"""),
@@ -543,6 +557,23 @@ SELECT sector, 'Average change in price (%)', round(max_by(value, label), 4), CA
         "all_sector_change": _with(_TO_SERIES, "SELECT round(value, 4) AS average_change FROM total_change"),
         "latest_value": _with([_LINES, _CARRIERS, _SUMS], """
 SELECT sector, ticket_category, round(max_by(value, year), 4) AS value FROM levels GROUP BY sector, ticket_category"""),
+        "warehouse_round_trip": _with(_TO_SERIES, f"SELECT {_SERIES_ROW}, round(value, 4) AS value FROM filled_series"),
+        "newest_run": _sum(_TO_SALES, "sales", "carrier", journeys=True),
+        "report_for_series": _with(_TO_SERIES, """
+SELECT sector, 'All tickets' AS ticket_category, round(average_change, 4) AS average_change, total_weight, round(share, 6) AS share
+FROM report WHERE sector IN ('London and South East', 'Long distance', 'Regional')"""),
+        "sales_extracts": _with([_LINES], """
+SELECT l_linestatus AS carrier, CASE WHEN length(CAST(l_suppkey AS VARCHAR)) < 4 THEN lpad(CAST(l_suppkey AS VARCHAR), 4, '0')
+                                     ELSE CAST(l_suppkey AS VARCHAR) END AS origin,
+       lpad(CAST(l_linenumber AS VARCHAR), 4, '0') AS destination, route, CAST(l_partkey AS VARCHAR) AS product, l_returnflag AS product_group,
+       count(*) AS n, CAST(sum(weight) AS DOUBLE) AS weight, sum(journeys) AS journeys
+FROM lines GROUP BY ALL"""),
+        "feed_file_prices": _with([*_TO_FEED, _KEPT], "SELECT origin, destination, route, product, CAST(fare AS DOUBLE) AS fare FROM kept"),
+        "regulated_lookup_file": _with([*_TO_SALES, _REGULATED], "SELECT origin, destination, route, product, flag2 FROM regulated"),
+        "category_lookup_file": _with([_PRODUCTS, _CATEGORIES], "SELECT product, product_group, category FROM categories"),
+        "price_file": _with([_LINES], """
+SELECT l_orderkey AS product, lpad(CAST(l_linenumber AS VARCHAR), 4, '0') AS origin,
+       round(CAST(weight AS DOUBLE) * 100 / nullif(journeys, 0), 4) AS price FROM lines""").replace("l_orderkey AS product", "CAST(l_orderkey AS VARCHAR) AS product"),
         "max_load_id": "SELECT CAST(max(year(l_shipdate)) AS INTEGER) AS load_id FROM lineitem",
         "snapshot_by_load_id": """
 SELECT CAST(year(l_shipdate) AS INTEGER) AS load_id, l_orderkey, l_linenumber, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS weight,

@@ -6,6 +6,7 @@ the comparison still covers every row.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,8 +16,8 @@ from indexloom import functions as fn
 from indexloom.catalog import tables as t
 from indexloom.operators import index, lookups, prices, rollups, series, usage
 from indexloom.plans import fixed_values as fixed
-from indexloom.plans import ingest, report
-from indexloom.session import stage, tune
+from indexloom.plans import ingest, publish, report
+from indexloom.session import shared_folder, stage, tune
 from indexloom.sources import delimited, feed
 from indexloom.sources import tables as stored
 
@@ -342,6 +343,25 @@ def derived_price_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _joined(spark, sf_dir, "derived")
 
 
+def _joined_wide(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
+    """Prices of about as many keys as there are sales, of each period in a table of its own."""
+    rows = t.wide_sales(spark, sf_dir)
+    names = [f"{which}_base", f"{which}_current"]
+    tables = [t.price_table(rows.where(period), t.PRODUCT_KEY, which).select(*t.PRODUCT_KEY, name) for name, period in zip(names, (t.is_base(), ~t.is_base()), strict=True)]
+    found = prices.attach_prices(rows, prices.combine_price_tables(tables, t.PRODUCT_KEY), t.PRODUCT_KEY, "row")
+    return _per_key(found, names)
+
+
+@query
+def list_price_join_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _joined_wide(spark, sf_dir, "list")
+
+
+@query
+def derived_price_join_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _joined_wide(spark, sf_dir, "derived")
+
+
 @query
 def derived_price_join_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     advance = t.index_inputs(spark, sf_dir)[0]
@@ -605,9 +625,111 @@ def latest_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.latest_value(levels, series.BLOCK, "value", "year").select(*series.BLOCK, rounded("value"))
 
 
+@query
+def report_for_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report rows under the block they are published in; every key is listed twice and counts once."""
+    report_rows = t.series_report(t.yearly_sums(spark, sf_dir)).withColumnRenamed("sector", "part").drop("ticket_category")
+    names = dict(zip(t.SERIES_REGIONS, series.BY_SECTOR.sectors, strict=True))
+    listed = t.read(spark, sf_dir, "region").select(lookups.code_label("r_name", names).alias("part")).where("part IS NOT NULL")
+    keys = listed.select("part", F.col("part").alias("sector"), F.lit(series.ALL_TICKETS).alias("ticket_category"))
+    found = series.report_for_series(report_rows, keys.unionByName(keys))
+    return found.select(*series.BLOCK, rounded("average_change"), money("total_weight"), rounded("share", 6))
+
+
+# Files: the supplied tables are written as the text they stand for, and read back
+
+
+def _new_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
+
+
+def _as_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> str:
+    df.write.options(header=True, encoding=encoding).csv(path)
+    return path
+
+
+@query
+def sales_extracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales in two extracts, one per period, whose columns stand in another order."""
+    rows = t.lines(spark, sf_dir)
+    columns = [
+        F.col("l_linestatus").alias("carrier_toc_code"), F.col("l_suppkey").cast("string").alias("origin_code"),
+        F.col("l_linenumber").cast("string").alias("destination_code"), F.col("l_returnflag").alias("route_code"),
+        F.col("l_partkey").cast("string").alias("product_code"), F.col("l_returnflag").alias("pro_group_1_code"),
+        F.concat(F.lit("£"), F.format_number("weight", 2)).alias("adjusted_earnings"),
+        F.format_number("journeys", 1).alias("operating_journeys"),
+    ]
+    folder = _new_folder(spark)
+    _as_csv(rows.where(t.is_base()).select(*columns), f"{folder}/base", "windows-1252")
+    _as_csv(rows.where(~t.is_base()).select(*reversed(columns), F.lit("x").alias("extra")), f"{folder}/current", "windows-1252")
+    found = delimited.read_sales(spark, f"{folder}/*").groupBy("carrier", *t.PRODUCT_KEY, "product_group")
+    return found.agg(F.count(F.lit(1)).alias("n"), F.sum("weight").cast("double").alias("weight"), F.sum("journeys").alias("journeys"))
+
+
+@query
+def feed_file_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """List prices of a feed file that also has comments and blank lines."""
+    path = _new_folder(spark)
+    blank = t.read(spark, sf_dir, "nation").select(F.lit("").alias("value"))
+    t.feed_lines(spark, sf_dir).unionByName(blank).write.text(path)
+    tickets = t.tickets(spark, sf_dir).withColumn("lookup_seq", F.ascii(F.substring("product", 4, 1)))
+    return ingest.list_prices(feed.read_feed(spark, path), tickets)["prices"]
+
+
+@query
+def regulated_lookup_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = t.regulated(t.sales(spark, sf_dir))
+    names = {column: name for name, column in delimited.REGULATED_HEADER.items()}
+    written = found.withColumns({"ticketa": F.lit("x"), "flaga": F.lit("x")}).withColumnsRenamed(names)
+    read = delimited.read_regulated_lookup(spark, _as_csv(written, _new_folder(spark)))
+    return read.select(*t.PRODUCT_KEY, "flag2")
+
+
+@query
+def category_lookup_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = {column: name for name, column in delimited.CATEGORY_HEADER.items()}
+    written = t.categories(spark, sf_dir).withColumn("category", F.upper("category")).withColumnsRenamed(names)
+    return delimited.read_category_lookup(spark, _as_csv(written, _new_folder(spark)))
+
+
+@query
+def price_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = t.lines(spark, sf_dir).select(
+        F.col("l_linenumber").cast("string").alias("Origin Code"), F.lit("1").alias("Destination Code"), F.lit("1").alias("Route Code"),
+        F.col("l_orderkey").cast("string").alias("Product Code"),
+        F.concat(F.lit("£"), F.format_number("weight", 2)).alias("NetReceiptSterling"), F.col("journeys").cast("string").alias("Issues"),
+    )
+    read = delimited.read_price_file(spark, _as_csv(written, _new_folder(spark)), "non-advance", "price")
+    return read.select("product", "origin", rounded("price"))
+
+
 # Warehouse
 
 
+@query
+def newest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest of the runs that were completed, which is neither the first nor the last one written."""
+    root = _new_folder(spark)
+    rows = t.with_region(t.lines(spark, sf_dir), spark, sf_dir)
+    for run_id, of_run in (("001", rows.where(t.is_base())), ("002", rows), ("003", rows.where(~t.is_base()))):
+        stored.write_run(rollups.control_totals(of_run), root, "totals", run_id)
+        if run_id != "003":
+            stored.complete_run(spark, root, run_id)
+    found = stored.read_run(spark, root, "totals", stored.completed_run(spark, root))
+    return found.select("carrier", money("weight"), "journeys")
+
+
+@query
+def warehouse_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last year's series in the warehouse under its published names, the next one appended, the latest read back."""
+    path, kind = _new_folder(spark), series.BY_SECTOR
+    first = t.index_series(t.yearly_sums(spark, sf_dir), kind)
+    stored.append_load(stored.published_series(first, kind.name), path, "Load_ID")
+    table = stored.read_warehouse(spark, path)
+    stored.append_load(publish.loadable(t.filled_series(spark, sf_dir), table, kind.name), path, "Load_ID")
+    return _block_rows(stored.latest_snapshot(stored.plain_series(stored.read_warehouse(spark, path), kind.name)))
+
+
 def _loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.lines(spark, sf_dir).withColumnRenamed("year", "load_id")
 

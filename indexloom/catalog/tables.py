@@ -79,18 +79,24 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def known(df: DataFrame, *columns: str) -> DataFrame:
+    """A code that no table lists becomes Missing, so that no sale is lost."""
+    return df.withColumns({c: F.coalesce(c, F.lit(lookups.MISSING)) for c in columns})
+
+
 def with_nation_key(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    return key_join(rows, supplier, ["l_suppkey"], "inner", "row")
+    return key_join(rows, supplier, ["l_suppkey"], "left", "row")
 
 
 def with_nation(df: DataFrame, spark: SparkSession, sf_dir: str, salt: str | None = None) -> DataFrame:
     """Carrier, region and origin of a nation."""
     nation = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("carrier"), "n_regionkey")
     region = read(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("region"))
-    df = key_join(df, nation, ["s_nationkey"], "inner", salt)
-    df = key_join(df, region, ["n_regionkey"], "inner", salt)
-    return df.withColumn("origin", zero_pad(F.col("s_nationkey").cast("string"), 4)).drop("s_nationkey", "n_regionkey")
+    df = key_join(df, nation, ["s_nationkey"], "left", salt)
+    df = key_join(df, region, ["n_regionkey"], "left", salt)
+    df = df.withColumn("origin", zero_pad(F.col("s_nationkey").cast("string"), 4)).drop("s_nationkey", "n_regionkey")
+    return known(df, "carrier", "region", "origin")
 
 
 def with_region(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,14 +115,23 @@ def product_code() -> Column:
 
 
 def with_product(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return key_join(rows, parts(spark, sf_dir).drop("p_type"), ["l_partkey"], "inner", "row")
+    return known(key_join(rows, parts(spark, sf_dir).drop("p_type"), ["l_partkey"], "left", "row"), "product", "product_group")
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One sale per line item."""
     rows = lines(spark, sf_dir)
     located = with_region(rows, spark, sf_dir)
-    return key_join(located, parts(spark, sf_dir).drop("p_type"), ["l_partkey"], "inner", "row", keys_from=rows)
+    found = key_join(located, parts(spark, sf_dir).drop("p_type"), ["l_partkey"], "left", "row", keys_from=rows)
+    return known(found, "product", "product_group")
+
+
+def wide_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales of single parts from single suppliers to single customers: about as many keys as sales."""
+    buyers = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), zero_pad(F.col("o_custkey").cast("string"), 4).alias("destination"))
+    found = key_join(lines(spark, sf_dir).drop("destination"), buyers, ["l_orderkey"], "left", "row")
+    found = found.withColumns({"origin": zero_pad(F.col("l_suppkey").cast("string"), 4), "product": F.col("l_partkey").cast("string")})
+    return known(found, "origin", "destination", "product")
 
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,16 +197,18 @@ def sales_cube(spark: SparkSession, sf_dir: str, product_keys: Sequence[str] = (
     codes are only derived after the sum.
     """
     rows = lines(spark, sf_dir)
-    coded = key_join(
-        with_nation_key(rows, spark, sf_dir), parts(spark, sf_dir).drop("p_type"), ["l_partkey"], "inner", "row", keys_from=rows
-    ).select(
+    joined = key_join(
+        with_nation_key(rows, spark, sf_dir), parts(spark, sf_dir).drop("p_type"), ["l_partkey"], "left", "row", keys_from=rows
+    )
+    coded = known(joined, "product", "product_group").select(
         "s_nationkey", "l_linenumber", "l_returnflag", *product_keys, "l_linestatus",
         F.when(F.col("l_discount") == 0, F.lit(0.0)).otherwise(F.lit(1.0)).alias("l_discount"),
         F.when(is_base(), F.lit(LAST_BASE_YEAR)).otherwise(F.lit(LAST_BASE_YEAR + 1)).alias("year"),
         "weight", "journeys",
     )
     keys = [c for c in coded.columns if c not in ("weight", "journeys")]
-    summed = rollups.sum_by(coded, keys, ["weight", "journeys"])
+    # Null keys stay: a nation that is not known is named after the sum.
+    summed = coded.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in ("weight", "journeys")])
     return stage(with_nation(summed.withColumns(line_codes()), spark, sf_dir))
 
 
