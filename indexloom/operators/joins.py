@@ -49,7 +49,7 @@ def key_join(
 ) -> DataFrame:
     """Join `right` to `left` on equal keys (left, inner, left_semi or left_anti).
 
-    A right side whose size is known to be small is broadcast. One whose size is not known, as it
+    A right side whose size is known to be small is left to Spark to broadcast. One whose size is not known, as it
     comes from an aggregate or a join, is written out first and so measured. Otherwise both sides are
     shuffled. The keys of the left side are counted first, and the rows of a hot key, null included,
     are cut into pieces that go to different partitions, each meeting its own copy of the matching
@@ -69,7 +69,8 @@ def key_join(
     if not fits_broadcast(right) and not is_scan(right):
         right = stage(right)
     if fits_broadcast(right):
-        return left.join(F.broadcast(right), on, how)
+        # No hint: Spark broadcasts by the same estimate, and adaptive execution may still decide otherwise.
+        return left.join(right, on, how)
 
     found = hot_keys(left if keys_from is None else keys_from, on)
     if not found:

@@ -16,6 +16,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join input even when the operator above then needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Coded columns unpack to several times their file size; what is broadcast is the unpacked table.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.session.timeZone": "UTC",
     # Bad currency text must fail the job and not turn into null.
     "spark.sql.ansi.enabled": "true",
