@@ -98,3 +98,17 @@ def key_join(
         .drop("__pieces")
     )
     return spread.join(copies, [*on, "__piece"], how).drop("__piece")
+
+
+def full_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Full outer join on equal keys.
+
+    Spark cannot split a skewed key of a full outer join. Its parts it can: the matches, an inner join,
+    on either side, and the rows of each side that match nothing on that side. Both inputs are read three
+    times, so one that is not a table is written first.
+    """
+    left, right = (df if is_scan(df) else stage(df) for df in (left, right))
+    found = key_join(left, right, on, "inner")
+    for one, other in ((left, right), (right, left)):
+        found = found.unionByName(key_join(one, other, on, "left_anti"), allowMissingColumns=True)
+    return found

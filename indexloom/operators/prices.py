@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indexloom.functions import null_if_zero, pct_change
-from indexloom.operators.joins import key_join
+from indexloom.operators.joins import full_join, key_join
 from indexloom.operators.rollups import with_keys
 
 
@@ -67,16 +67,13 @@ def prices_by_period(sales: DataFrame, keys: Sequence[str], sources: Mapping[str
 
 
 def combine_price_tables(tables: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """All price tables side by side: the different keys of all of them, to which each table is joined.
+    """All price tables side by side, by full outer joins whose hot keys are split.
 
     Joining the result once gives the same rows as joining the tables one after the other, and the
-    large sales table moves once and not once per price table. A full outer join would do the same but
-    cannot be split, so a key with many prices in several tables would end up in one task. Rows without a
-    full key could match no sale and are left out.
+    large sales table moves once and not once per price table. Rows without a full key could match
+    no sale and are left out.
     """
-    keyed = [with_keys(t, keys) for t in tables]
-    found = reduce(DataFrame.unionByName, [t.select(*keys) for t in keyed]).distinct()
-    return reduce(lambda a, b: key_join(a, b, keys, "left"), keyed, found)
+    return reduce(lambda a, b: full_join(a, b, keys), [with_keys(t, keys) for t in tables])
 
 
 def attach_prices(df: DataFrame, prices: DataFrame, keys: Sequence[str], salt: Column | str | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from indexloom.operators.joins import hot_keys, key_join
+from indexloom.operators.joins import full_join, hot_keys, key_join
 
 
 def brute_force(left, right, how):
@@ -88,3 +88,13 @@ def test_unknown_join_kind(spark):
     left, right = frames(spark, [("a", 1)], [("a", 1)])
     with pytest.raises(ValueError):
         key_join(left, right, ["k"], "full")
+
+
+def test_full_join_of_hot_keys(without_broadcast):
+    """Both sides have a key with a third of their rows, keys of their own, exact copies and null keys."""
+    spark = without_broadcast
+    left = [(1, i % 3) for i in range(40)] + [(k, k) for k in range(2, 60)] + [(None, 7), (None, 7)]
+    right = [(1, i) for i in range(30)] + [(k, k) for k in range(40, 90)] + [(None, 8)]
+    a, b = spark.createDataFrame(left, "k int, x int"), spark.createDataFrame(right, "k int, y int")
+    expected = Counter(map(tuple, a.join(b, ["k"], "full").collect()))
+    assert Counter(map(tuple, full_join(a, b, ["k"]).collect())) == expected

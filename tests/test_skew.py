@@ -29,7 +29,8 @@ def skewed(tmp_path_factory):
 @pytest.mark.parametrize(
     "name",
     ["control_totals", "status_audit", "left_lookup_4key", "advance_rollup", "latest_validity", "dedupe_keep_first",
-     "conflicting_duplicates", "flow_fare_join", "price_gap_fill", "big_earners", "split_report", "lookup_only_new"],
+     "conflicting_duplicates", "flow_fare_join", "price_gap_fill", "big_earners", "split_report", "lookup_only_new",
+     "list_price_join_wide", "derived_price_join_wide"],
 )
 def test_query(without_broadcast, skewed, name):
     assert differences(without_broadcast, connect(skewed), QUERIES[name], SQL[name], skewed) == []
