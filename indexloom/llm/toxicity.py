@@ -48,28 +48,36 @@ def _weighed(texts: list[str | None], place: np.ndarray) -> tuple[np.ndarray, np
 
 
 def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """Texts and labels to learn from: at most `rows` of each class, those with the least hash of their id.
+    """What to learn from: text, toxic (0 or 1), stands_for.
 
-    Rows held out, without a label or without an id are left out; an id labelled twice counts as toxic
-    if it is so once.
+    At most `rows` labelled ids of each class, those with the least hash; `stands_for` says how many
+    ids of its class each of them is drawn from. Rows held out, without a label or without an id are
+    left out; an id labelled twice counts as toxic if it is so once.
     """
-    given = (
+    given = stage(
         labels.where(~ngrams.held_out(F.col("doc_id")) & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+        .select("doc_id", (F.col("toxic") == 1).cast("int").alias("toxic"))
     )
     order = F.xxhash64("doc_id")
-    chosen = given.where("toxic = 1").orderBy(order, "doc_id").limit(rows).unionByName(given.where("toxic <> 1").orderBy(order, "doc_id").limit(rows))
+    chosen = [
+        given.where(F.col("toxic") == toxic).orderBy(order, "doc_id").limit(rows)
+        .withColumn("stands_for", F.lit(max(1.0, given.where(F.col("toxic") == toxic).count() / rows)))
+        for toxic in (1, 0)
+    ]
     # At most 2 * rows ids and labels, so safe to broadcast.
-    return stage(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", (F.col("toxic") == 1).cast("int").alias("toxic")))
+    return stage(docs.select("doc_id", "text").join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").select("text", "toxic", "stands_for"))
 
 
 def fit(learn: DataFrame, weighed: int = WEIGHED) -> ToxicityModel:
-    """Learns from `text` and `toxic` (0 or 1) of a sample of bounded size.
+    """Learns from a `sample`, of bounded size.
 
     Tasks count in how many texts of each class every hashed n-gram occurs. The log ratio of the two
     smoothed shares is the n-gram's scale; the `weighed` n-grams that tell the classes apart best are
-    kept, and a ridge-penalised logistic regression weighs the scaled presence of each. With rows of
-    one class or none there is nothing to learn, and every score is the share of toxic rows (0 if none).
+    kept, and a ridge-penalised logistic regression weighs the scaled presence of each. Where the two
+    classes are drawn at different rates, the bias is put back to the odds among all labelled rows, so
+    a score means the same whatever the size of the input. With rows of one class or none there is
+    nothing to learn, and every score is the share of toxic rows (0 if none).
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,7 +92,8 @@ def fit(learn: DataFrame, weighed: int = WEIGHED) -> ToxicityModel:
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[0, seen]), pa.array(counts[1, seen])], names=["feature", "clean", "toxic"])
 
     learn = blocks.for_tasks(learn)
-    sizes = {r["toxic"]: r["count"] for r in learn.groupBy("toxic").count().collect()}
+    classes = learn.groupBy("toxic").agg(F.count(F.lit(1)).alias("n"), F.max("stands_for").alias("stands_for")).collect()
+    sizes = {r["toxic"]: r["n"] for r in classes}
     empty = ToxicityModel(np.full(1 << BITS, -1, np.int32), np.zeros(0), 0.0)
     if len(sizes) < 2:
         return ToxicityModel(empty.place, empty.weights, 500.0 if sizes.get(1) else -500.0)
@@ -111,7 +120,8 @@ def fit(learn: DataFrame, weighed: int = WEIGHED) -> ToxicityModel:
     owner, flat = np.repeat(np.arange(len(rows)), [len(f) for f in found]), np.concatenate(found).astype(np.int64)
     target = np.array([r["toxic"] for r in rows], float)
     weights, bias = _logistic(owner, flat, scale, target)
-    return ToxicityModel(place, weights * scale, bias)
+    stands_for = {r["toxic"]: r["stands_for"] for r in classes}
+    return ToxicityModel(place, weights * scale, bias + float(np.log(stands_for[1] / stands_for[0])))
 
 
 def _logistic(owner: np.ndarray, flat: np.ndarray, scale: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, float]:

@@ -20,6 +20,18 @@ def test_toxicity_on_held_out_rows(spark):
     assert np.mean(np.array(clean) >= 0.3) < 0.02 and np.mean(np.array(toxic) >= 0.3) > 0.7
 
 
+def test_toxic_scores_keep_the_odds_of_all_labels(spark):
+    """Where the limits bind, the classes are drawn 1 to 1; the labels are 1 to 9, and half of the toxic texts are like the clean ones."""
+    docs = make(spark, [(i, f"plain words of number {i % 7}" + " grrrr" * (i % 20 == 0), None, None) for i in range(2000)])
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(2000)], "doc_id long, toxic int")
+    found = {r.doc_id: r for r in toxicity.toxicity(docs, labels, rows=100).collect()}
+    assert all(r.predicted == (i % 20 == 0) and (i % 20 == 0 or 0.02 < r.score < 0.12) for i, r in found.items())
+    docs, labels = (spark.read.parquet(f"{BIG}/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.toxicity(docs, labels, rows=200).join(labels, "doc_id").where("held_out").collect()
+    toxic, clean = (np.mean([r.predicted for r in rows if r.toxic == t]) for t in (1, 0))
+    assert clean < 0.1 and toxic > 0.7
+
+
 def test_toxicity_of_odd_rows(spark, odd, nothing, repeated):
     labels = spark.createDataFrame([(i, int(i % 2)) for i in range(20)] + [(None, 1), (3, None)], "doc_id long, toxic int")
     for docs in (odd, repeated):
