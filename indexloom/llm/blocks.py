@@ -10,6 +10,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from indexloom.session import stage
+
+ROW_KEY = "__row_key"
 # Rows of an Arrow batch. Whole texts can be long, and a batch is held by the JVM and by Python at once.
 BATCH_ROWS = 1000
 SPACE = np.zeros(256, bool)
@@ -27,10 +30,18 @@ def for_tasks(docs: DataFrame) -> DataFrame:
     return docs
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of `docs` whose doc_id is not in the one column of `ids`, with all their columns."""
-    gone = ids.toDF("doc_id").distinct().alias("gone")
-    return docs.alias("docs").join(gone, F.col("docs.doc_id").eqNullSafe(F.col("gone.doc_id")), "left_anti")
+def keyed(docs: DataFrame) -> DataFrame:
+    """The rows of `docs`, written, with a number of their own in the column ROW_KEY.
+
+    The number is made while the rows are written, so all that read them see the same one. It tells
+    rows apart whose ids are missing or repeated, and exact copies.
+    """
+    return stage(docs.withColumn(ROW_KEY, F.monotonically_increasing_id()))
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of a `keyed` frame whose key is not in `gone`, with the columns they came with."""
+    return rows.join(gone.select(ROW_KEY), ROW_KEY, "left_anti").drop(ROW_KEY)
 
 
 def packed(values: np.ndarray) -> bytes:

@@ -182,8 +182,14 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def without_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns."""
-    return blocks.without(docs, exact_duplicates(docs).where(~F.col("kept")).select("doc_id"))
+    """One row of each group of equal texts, with all its columns.
+
+    It is the row that `exact_duplicates` keeps; of rows that repeat both doc_id and text, one.
+    """
+    rows = blocks.keyed(docs)
+    # The key tells the rows apart and comes last, so it only decides between rows of one doc_id.
+    named = rows.select(F.struct("doc_id", blocks.ROW_KEY).alias("doc_id"), "text")
+    return blocks.without(rows, exact_duplicates(named).where(~F.col("kept")).select(f"doc_id.{blocks.ROW_KEY}"))
 
 
 SQL = """

@@ -121,6 +121,25 @@ def test_repeated_rows_and_missing_ids(repeated):
     assert len(jaccard.linked_documents(repeated).collect()) == len(rows)
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Null and repeated ids: every text stays, and of each group one row."""
+    texts = [" ".join(f"{w}{i}" for i in range(40)) for w in "abcdef"]
+    rows = [
+        (None, texts[0]), (1, texts[0] + " "), (None, texts[1]), (None, texts[2]), (None, texts[2]),
+        (7, texts[3]), (7, texts[0]), (8, texts[4]), (8, texts[4]), (9, texts[5]), (None, None), (None, None),
+    ]
+    docs = make(spark, [(*r, "en", "s") for r in rows])
+    found = exact_dedup.without_duplicates(docs)
+    assert found.columns == docs.columns
+    assert sorted(pairs(found), key=str) == sorted([(1, texts[0] + " "), (None, texts[1]), (None, texts[2]), (7, texts[3]), (8, texts[4]), (9, texts[5]), (None, None)], key=str)
+    rows = [(*r, "en", "s") for r in rows[:10]] + [(9, texts[1] + " more", "en", "s"), (3, texts[5] + " more", "en", "s")]
+    found = jaccard.without_near_duplicates(make(spark, rows))
+    assert found.columns == docs.columns
+    assert sorted(pairs(found), key=str) == sorted([(None, texts[0]), (None, texts[1]), (None, texts[2]), (7, texts[3]), (8, texts[4]), (3, texts[5] + " more")], key=str)
+    once, twice = (sorted(map(str, pairs(exact_dedup.without_duplicates(make(spark, odd_rows() * n))))) for n in (1, 2))
+    assert once == twice
+
+
 def test_no_rows(nothing):
     for df in (exact_dedup.exact_duplicates, suffix_dedup.removed_spans, jaccard.linked_documents, exact_dedup.without_duplicates, jaccard.without_near_duplicates):
         assert df(nothing).count() == 0
