@@ -79,43 +79,52 @@ def _refine(sized: DataFrame, bounds: DataFrame, digits: int) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """How often each document enters the mix: doc_id, source, size, source_size, target, repeats, taken.
+def _hash(of: Column) -> Column:
+    return F.substring(F.md5(F.coalesce(of.cast("string"), F.lit("")).cast("binary")), 1, KEY_DIGITS)
 
-    Every document of a source is taken `repeats` times, and once more if its hash is below the
-    source's threshold. The threshold is found without sorting documents: a histogram of sizes by hash
-    bucket says in which bucket the rest of the target runs out, and only that bucket is refined, down
-    to single hashes. The document on the threshold is taken if that comes nearer to the target, so a
-    source misses it by at most half a document. A smaller budget takes a subset of what a larger one
-    takes.
 
-    Null text has size 0, and so has a text of white space; such documents follow the hash rule and add
-    nothing. A null source is a source of its own, a null doc_id hashes like an empty string, rows with
-    the same doc_id share a decision, and an empty table gives no rows. Other columns are not looked at.
-    """
-    sized = stage(
-        docs.select(
-            "doc_id", "source", word_count(F.col("text")).alias("size"),
-            F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, KEY_DIGITS).alias("key"),
-        )
-    )
+def _thresholds(sized: DataFrame, weights: Sequence[int], max_repeats: int, key_digits: int) -> DataFrame:
+    """Per source: s, source_size, target, whole (how often all of it enters), bound and with_bound of the threshold."""
     targets = stage(source_targets(sized, weights, max_repeats))
     bounds = targets.withColumns({"bound": F.lit(""), "below": F.lit(0).cast("long"), "held": F.lit(0).cast("long")})
-    for digits in range(DIGITS_PER_LEVEL, KEY_DIGITS + 1, DIGITS_PER_LEVEL):
+    for digits in range(DIGITS_PER_LEVEL, key_digits + 1, DIGITS_PER_LEVEL):
         bounds = stage(_refine(sized, bounds, digits))
     threshold = bounds.select(
         F.col("source").alias("s"), "bound",
         (F.col("below") + F.col("held") - F.col("rest") < F.col("rest") - F.col("below")).alias("with_bound"),
     )
-    by_source = stage(
+    return stage(
         targets.join(threshold, F.col("source").eqNullSafe(F.col("s")), "left").select(
             F.col("source").alias("s"), "source_size", "target", F.col("repeats").alias("whole"), "bound", "with_bound"
         )
     )
-    once_more = (F.col("key") < F.col("bound")) | ((F.col("key") == F.col("bound")) & F.col("with_bound"))
+
+
+def _repeats(key: Column) -> Column:
+    once_more = (key < F.col("bound")) | ((key == F.col("bound")) & F.col("with_bound"))
+    return F.col("whole") + F.coalesce(once_more, F.lit(False)).cast("long")
+
+
+def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """How often each document enters the mix: doc_id, source, size, source_size, target, repeats, taken.
+
+    Every document of a source is taken `repeats` times, and once more if its hash is below the
+    source's threshold. The threshold is found without sorting documents: a histogram of sizes by hash
+    bucket says in which bucket the rest of the target runs out, and only that bucket is refined, down
+    to single hashes. What has the hash on the threshold is taken if that comes nearer to the target, so a
+    source misses it by at most half the size of that hash's rows: half a document where ids are unique,
+    half of all rows without an id where they are on the threshold. A smaller budget takes a subset of
+    what a larger one takes.
+
+    Null text has size 0, and so has a text of white space; such documents follow the hash rule and add
+    nothing. A null source is a source of its own, a null doc_id hashes like an empty string, rows with
+    the same doc_id share a decision, and an empty table gives no rows. Other columns are not looked at.
+    """
+    sized = stage(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), _hash(F.col("doc_id")).alias("key")))
+    by_source = _thresholds(sized, weights, max_repeats, KEY_DIGITS)
     return (
         sized.join(by_source, F.col("source").eqNullSafe(F.col("s")))
-        .withColumn("repeats", F.col("whole") + F.coalesce(once_more, F.lit(False)).cast("long"))
+        .withColumn("repeats", _repeats(F.col("key")))
         .select("doc_id", "source", "size", "source_size", "target", "repeats", (F.col("size") * F.col("repeats")).alias("taken"))
     )
 
@@ -123,15 +132,19 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats: int = MA
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """The mix itself: each document as often as it enters, with the columns it came with.
 
-    A source without any word has no target; its documents, empty ones, enter as they are.
+    Where ids are unique it is what `mix` says. The text's hash comes after the id's, so different texts
+    of one id, or without one, are decided apart, and a source misses its target by at most half the
+    size of the rows that are equal in id and text. A source without any word has no target; its
+    documents, empty ones, enter as they are.
     """
-    entered = mix(docs, weights, max_repeats).select(
-        "doc_id", "source", F.when(F.col("source_size") == 0, F.lit(1)).otherwise(F.col("repeats")).cast("int").alias("copies")
-    ).distinct().where("copies > 0").alias("e")
-    same = F.col("d.doc_id").eqNullSafe(F.col("e.doc_id")) & F.col("d.source").eqNullSafe(F.col("e.source"))
-    joined = docs.alias("d").join(entered, same)
-    copies = F.explode(F.array_repeat(F.struct(*[F.col(f"d.`{c}`") for c in docs.columns]), F.col("e.copies"))).alias("row")
-    return joined.select(copies).select("row.*")
+    key = F.concat(_hash(F.col("doc_id")), _hash(F.col("text")))
+    sized = stage(docs.select("source", word_count(F.col("text")).alias("size"), key.alias("key")))
+    by_source = _thresholds(sized, weights, max_repeats, 2 * KEY_DIGITS).alias("t")
+    row = F.struct(*[F.col(f"d.`{c}`") for c in docs.columns])
+    key = F.concat(_hash(F.col("d.doc_id")), _hash(F.col("d.text")))
+    copies = F.when(F.col("t.source_size") == 0, F.lit(1)).otherwise(_repeats(key)).cast("int")
+    entered = docs.alias("d").join(by_source, F.col("d.source").eqNullSafe(F.col("t.s")))
+    return entered.select(F.explode(F.array_repeat(row, copies)).alias("row")).select("row.*")
 
 
 SQL = """

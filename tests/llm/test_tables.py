@@ -4,7 +4,7 @@ from collections import defaultdict
 
 import pytest
 from compare import connect, differences
-from conftest import SF_DIR
+from conftest import SF_DIR, make
 
 import corpus_pipeline
 from indexloom.llm import mixing, queries, url_filter
@@ -47,6 +47,17 @@ def test_mixed_documents_repeat_rows(odd):
     assert found == {d: n for d, n in repeats.items() if n}
 
 
+def test_mixed_documents_without_ids_reach_the_target(spark):
+    """Two thirds of a source have no id; the target runs out among them."""
+    rows = [(i if i < 30 else None, f"text {i} of six or seven words", None, "a") for i in range(90)]
+    docs = make(spark, rows + [(1000 + i, f"text {i} of six or seven words", None, "b") for i in range(120)])
+    target = {r.source: r.target for r in mixing.mix(docs).collect()}
+    taken = defaultdict(int)
+    for r in mixing.mixed_documents(docs).collect():
+        taken[r.source] += 7
+    assert target["a"] > 7 * 90 and all(abs(taken[s] - target[s]) <= 3.5 for s in target)
+
+
 def test_a_smaller_budget_takes_a_subset(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     few, many = ({r.doc_id: r.repeats for r in mixing.mix(docs, (w, 8)).collect()} for w in (1, 8))
