@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indexloom.llm import exact_dedup, jaccard, language, mixing, neighbours, packing, suffix_dedup, token_counts, toxicity, url_filter
+from indexloom.llm import exact_dedup, jaccard, language, mixing, neighbours, packing, suffix_dedup, token_counts, toxicity, url_filter, vector_codes
 
 
 def _tokenizer(name: str) -> str:
@@ -65,6 +65,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.quantize(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+    return codes.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(vector_codes.codebooks_sha256(books)).alias("codebooks_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -72,8 +77,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_exact_dedup, op4_neighbours, op5_toxicity, op6_jaccard, op7_language, op8_mixing, op9_url_filter, op10_packing, pipeline)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_exact_dedup, op4_neighbours, op5_toxicity, op6_jaccard, op7_language, op8_mixing, op9_url_filter, op10_packing, op11_vector_codes, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": exact_dedup.SQL, "op8_mixing": mixing.SQL, "op9_url_filter": url_filter.SQL}
+    return {"op3_exact_dedup": exact_dedup.SQL, "op8_mixing": mixing.SQL, "op9_url_filter": url_filter.SQL, "op11_vector_codes": vector_codes.SQL}
