@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indexloom.llm import exact_dedup, jaccard, language, mixing, neighbours, packing, periodic_runs, suffix_dedup, token_counts, toxicity, url_filter, vector_codes
+from indexloom.llm import exact_dedup, jaccard, language, mixing, neighbours, packing, periodic_runs, secret_scan, suffix_dedup, token_counts, toxicity, url_filter, vector_codes
 
 
 def _tokenizer(name: str) -> str:
@@ -98,6 +98,20 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.secrets(_table(spark, sf_dir, "documents"))
+    base = [r.kind for r in secret_scan.BASE]
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def of_kinds(kinds: list[str]) -> Column:
+        return F.filter("spans", lambda s: s["kind"].isin(kinds))
+
+    counts = [F.size(of_kinds([kind])).cast("long").alias(f"n_{kind}") for kind in base]
+    return found.select("doc_id", *counts, F.sha2(listed(of_kinds(base)), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -105,8 +119,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_exact_dedup, op4_neighbours, op5_toxicity, op6_jaccard, op7_language, op8_mixing, op9_url_filter, op10_packing, op11_vector_codes, op12_periodic_runs, pipeline)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_exact_dedup, op4_neighbours, op5_toxicity, op6_jaccard, op7_language, op8_mixing, op9_url_filter, op10_packing, op11_vector_codes, op12_periodic_runs, op13_secret_scan, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": exact_dedup.SQL, "op8_mixing": mixing.SQL, "op9_url_filter": url_filter.SQL, "op11_vector_codes": vector_codes.SQL, "op12_periodic_runs": periodic_runs.SQL}
+    return {"op3_exact_dedup": exact_dedup.SQL, "op8_mixing": mixing.SQL, "op9_url_filter": url_filter.SQL, "op11_vector_codes": vector_codes.SQL, "op12_periodic_runs": periodic_runs.SQL, "op13_secret_scan": secret_scan.SQL}
