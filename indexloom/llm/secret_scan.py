@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from indexloom.session import shared_folder
+from indexloom.session import shared_folder, stage
 
 
 @dataclass(frozen=True)
@@ -137,6 +137,8 @@ def secrets(docs: DataFrame, rules: Sequence[Rule] = BASE + MORE, ledger: str |
         .select(F.col("blob").alias("of"), F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))).alias("spans"))
     )
     addressed = versions.select(F.col(path), blob_of(F.col("text")).alias("blob"))
+    # Written, so that the join has nothing but its own exchanges and a content that very many paths share can be split.
+    told = stage(told)
     nothing = F.expr("cast(array() as array<struct<start: int, end: int, kind: string>>)")
     return addressed.join(told, F.col("blob") == F.col("of"), "left").select(F.col(path), "blob", F.coalesce("spans", nothing).alias("spans"))
 

@@ -99,7 +99,7 @@ def _block_rows(scale: int, bounds: list[int], id_type: pa.DataType, label_type:
         lists = batch.column(1).cast(pa.large_list(pa.float64()))
         sizes = np.diff(lists.offsets.to_numpy())
         fits = sizes == width
-        values = lists.flatten().to_numpy(zero_copy_only=False)[np.repeat(fits, sizes)].reshape(-1, width)
+        values = lists.flatten().to_numpy(zero_copy_only=False)[np.repeat(fits, sizes)].reshape(int(fits.sum()), width)
         numbers = whole_numbers(values, scale)
         parts = []
         for a, b in zip(bounds, bounds[1:], strict=False):
@@ -201,7 +201,8 @@ def quantize(vectors: DataFrame, id_column: str, vector: str, label: str, parts:
     rows = vectors.where(complete(vector)).select(F.col(id_column).alias("id"), F.col(vector).alias("vector"), F.col(label).alias("label"))
     first = [r["vector"] for r in rows.orderBy(F.col("id").asc_nulls_last(), "vector").select("vector").limit(entries).collect()]
     bounds = part_bounds(len(first[0]) if first else 0, parts)
-    alike = np.array([v for v in first if len(v) == bounds[-1]], np.float64).reshape(-1, bounds[-1])
+    alike = [v for v in first if len(v) == bounds[-1]]
+    alike = np.array(alike, np.float64).reshape(len(alike), bounds[-1])
     codebooks = [whole_numbers(alike, scale)[:, a:b].astype(np.int64) for a, b in zip(bounds, bounds[1:], strict=False)]
     id_type, label_type = rows.schema["id"].dataType, rows.schema["label"].dataType
     blob = T.BinaryType()

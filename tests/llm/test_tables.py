@@ -23,7 +23,7 @@ def test_query(spark, con, name):
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 14))
 
 
 def test_mixing_of_odd_rows(spark, con, odd, repeated, nothing):
