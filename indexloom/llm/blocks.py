@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +18,8 @@ ROW_KEY = "__row_key"
 BATCH_ROWS = 1000
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-# Spans are hashed in pieces of about this many bytes, so that the working arrays stay in cache.
-_HASH_BLOCK = 1 << 19
+# Spans hashed at once, so that the working arrays stay in cache, and bytes from which on a span is hashed by itself.
+_HASHED_AT_ONCE, _LONG = 1 << 15, 512
 
 
 def for_tasks(docs: DataFrame) -> DataFrame:
@@ -108,42 +109,84 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-BYTE_VALUE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_BASE = 0x9E3779B97F4A7C15 | 1
-_powers = np.ones(1, np.uint64)
-_inverses = np.ones(1, np.uint64)
+# Letters A-Z as a-z; other bytes as they are.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 0x20
+# The bytes of an 8-byte lane that belong to a span with so many bytes left.
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_FACTOR = np.uint64(0xFF51AFD7ED558CCD)
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _powers, _inverses
-    if len(_powers) < n:
-        size = max(n, 2 * _HASH_BLOCK)
-        base, inverse = np.full(size, _BASE, np.uint64), np.full(size, pow(_BASE, -1, 1 << 64), np.uint64)
-        base[0] = inverse[0] = 1
-        _powers, _inverses = np.cumprod(base), np.cumprod(inverse)
-    return _powers, _inverses
+def _lanes(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes that begin at each place of `data`, as a number; a view of one copy."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = BYTE_VALUE) -> np.ndarray:
-    """A 64-bit hash of each byte span; the spans are in order and do not overlap.
-
-    `values` gives the number each byte counts as, so that a table can fold letters of either case.
-    """
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each byte span; spans may overlap. Each 8 bytes are mixed in before the next, long spans by xxh3."""
     out = np.empty(len(starts), np.uint64)
-    first = 0
-    while first < len(starts):
-        base = int(starts[first])
-        last = max(first + 1, int(np.searchsorted(ends, base + _HASH_BLOCK, "right")))
-        s, e = starts[first:last] - base, ends[first:last] - base
-        n = int(e[-1])
-        powers, inverses = _power_tables(n + 1)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(values[data[base : base + n]] * powers[:n], out=sums[1:])
-        out[first:last] = (sums[e] - sums[s]) * inverses[s] + (e - s).astype(np.uint64)
-        first = last
+    lanes = _lanes(data)
+    for first in range(0, len(starts), _HASHED_AT_ONCE):
+        s, sizes = starts[first : first + _HASHED_AT_ONCE], (ends - starts)[first : first + _HASHED_AT_ONCE]
+        h = mix64(sizes.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+        long = sizes > _LONG
+        for i in np.flatnonzero(long).tolist():
+            h[i] = xxhash.xxh3_64_intdigest(data[s[i] : s[i] + sizes[i]])
+        open_, at = np.flatnonzero((sizes > 0) & ~long), 0
+        while len(open_):
+            value = lanes[s[open_] + at] & _MASKS[np.minimum(sizes[open_] - at, 8)]
+            x = (h[open_] ^ value) * _FACTOR
+            x ^= x >> np.uint64(32)
+            x *= _FACTOR
+            h[open_] = x ^ (x >> np.uint64(29))
+            at += 8
+            open_ = open_[sizes[open_] > at]
+        out[first : first + _HASHED_AT_ONCE] = h
     return mix64(out)
 
 
+def same_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, others: np.ndarray, other_ends: np.ndarray) -> np.ndarray:
+    """Which spans hold the same bytes as the other span given for each."""
+    sizes = ends - starts
+    same = sizes == other_ends - others
+    long = sizes > _LONG
+    for i in np.flatnonzero(same & long & (starts != others)).tolist():
+        same[i] = np.array_equal(data[starts[i] : ends[i]], data[others[i] : other_ends[i]])
+    lanes = _lanes(data)
+    open_, at = np.flatnonzero(same & ~long & (sizes > 0) & (starts != others)), 0
+    while len(open_):
+        differ = (lanes[starts[open_] + at] ^ lanes[others[open_] + at]) & _MASKS[np.minimum(sizes[open_] - at, 8)]
+        same[open_[differ != 0]] = False
+        at += 8
+        open_ = open_[(differ == 0) & (sizes[open_] > at)]
+    return same
+
+
+def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different spans in order of their hashes: hash, an occurrence of each, and the number of each span's.
+
+    Spans are told apart by their bytes; different ones with one hash stand side by side.
+    """
+    hashes = span_hashes(data, starts, ends)
+    kinds, first, kind = np.unique(hashes, return_index=True, return_inverse=True)
+    one = first[kind]
+    met = np.flatnonzero(~same_bytes(data, starts, ends, starts[one], ends[one]))
+    if not len(met):
+        return kinds, first, kind
+    numbers: dict[bytes, int] = {}
+    variant = np.zeros(len(starts), np.int64)
+    for i in met.tolist():
+        variant[i] = numbers.setdefault(data[starts[i] : ends[i]].tobytes(), len(numbers) + 1)
+    order = np.lexsort((variant, hashes))
+    opens = np.ones(len(order), bool)
+    opens[1:] = (np.diff(variant[order]) != 0) | (hashes[order][1:] != hashes[order][:-1])
+    kind = np.empty(len(order), np.int64)
+    kind[order] = np.cumsum(opens) - 1
+    return hashes[order[opens]], order[opens], kind
+
+
 def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Maximal runs of bytes other than white space: starts, ends, and how many lie before each bound."""
     if not len(data):
@@ -160,10 +203,18 @@ def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, np.flatnonzero(finishes) + 1, np.searchsorted(starts, bounds)
 
 
-def strings_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[str]:
-    """The spans as text."""
-    whole = data.tobytes()
-    return [whole[a:b].decode("utf-8", "replace") for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+def at_white_space(data: np.ndarray, limit: int) -> list[int]:
+    """Ends of pieces of one text: each of at most `limit` bytes, or up to the next white space where there is none before."""
+    ends, at = [], 0
+    while len(data) - at > limit:
+        white = np.flatnonzero(SPACE[data[at : at + limit]])
+        if len(white):
+            at += int(white[-1]) + 1
+        else:
+            rest = np.flatnonzero(SPACE[data[at + limit :]])
+            at = at + limit + int(rest[0]) + 1 if len(rest) else len(data)
+        ends.append(at)
+    return ends if ends and ends[-1] == len(data) else [*ends, len(data)]
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

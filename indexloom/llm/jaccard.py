@@ -16,9 +16,6 @@ from indexloom.session import stage
 
 SHARD_BYTES = 4 << 20
 
-_FOLDED = blocks.BYTE_VALUE.copy()
-_FOLDED[0x41:0x5B] = blocks.BYTE_VALUE[0x61:0x7B]
-
 
 def shingles(data: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash and document of every shingle of `size` words, in order of the texts; letters A-Z count as a-z.
@@ -26,7 +23,7 @@ def shingles(data: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarra
     A text with fewer words gives one shingle of all of them, one without words gives none.
     """
     starts, ends, before = blocks.words(data, bounds)
-    word = blocks.span_hashes(data, starts, ends, _FOLDED)
+    word = blocks.span_hashes(blocks.LOWER[data], starts, ends)
     factors = blocks.mix64(np.arange(1, size + 1, dtype=np.uint64)) | np.uint64(1)
     n_words = np.diff(before)
     sums = np.zeros(max(0, len(word) - size + 1), np.uint64)

@@ -34,16 +34,14 @@ class LanguageModel:
     temperature: float
 
     def probabilities(self, texts: list[str | None]) -> np.ndarray:
-        points, starts, ends = ngrams.characters(texts, max(ORDERS))
         sums = np.zeros((len(texts), len(self.languages) + 1))
         table = np.hstack([self.weights * self.idf[:, None], self.idf[:, None]])
-        for order in ORDERS:
-            taken = table[ngrams.features(points, order, BITS)]
-            filled = np.flatnonzero(ends > starts)
-            if len(filled):
-                # Sums over each text; what lies between two texts is summed apart and left out.
-                cuts = np.minimum(np.stack([starts[filled], ends[filled]], 1).ravel(), len(taken) - 1)
-                sums[filled] += np.add.reduceat(taken, cuts, axis=0)[::2]
+        for row, points, starts, ends in ngrams.segments(texts, max(ORDERS)):
+            # Sums over each segment; the padding between two is summed apart and left out.
+            cuts = np.stack([starts, ends], 1).ravel()
+            for order in ORDERS:
+                taken = table[ngrams.features(points, order, BITS)]
+                np.add.at(sums, row, np.add.reduceat(taken, np.minimum(cuts, len(taken) - 1), axis=0)[::2])
         margins = (sums[:, :-1] / np.maximum(sums[:, -1:], 1e-12) * _SCALE + self.bias) / self.temperature
         margins = np.exp(margins - margins.max(axis=1, keepdims=True))
         return margins / margins.sum(axis=1, keepdims=True)
@@ -82,9 +80,9 @@ def inverse_frequencies(learnable: DataFrame) -> np.ndarray:
 
 
 def sample(learnable: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """About `rows` texts of each language (all, if fewer), chosen by hash of their id."""
+    """About `rows` texts of each language (all, if fewer), chosen by hash of id and text."""
     sizes = learnable.groupBy("lang").count().withColumn("share", F.lit(rows) / F.col("count")).select("lang", "share")
-    chosen = (F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1 << 20)) / F.lit(float(1 << 20))) < F.col("share")
+    chosen = (F.pmod(F.xxhash64("doc_id", "lang", "text"), F.lit(1 << 20)) / F.lit(float(1 << 20))) < F.col("share")
     return stage(learnable.join(stage(sizes), "lang").where(chosen).select("doc_id", "text", "lang"))
 
 
@@ -98,13 +96,16 @@ def fit(learnable: DataFrame, rows: int = SAMPLE_ROWS) -> LanguageModel | None:
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in ngrams.text_lists(batches):
-            points, starts, ends = ngrams.characters(texts, max(ORDERS))
-            every = [ngrams.features(points, order, BITS) for order in ORDERS]
             found, times = [], []
-            for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
-                f, n = np.unique(np.concatenate([e[a:b] for e in every]), return_counts=True)
+            for text in texts:
+                held = np.zeros(1 << BITS, np.int64)
+                for _, points, starts, ends in ngrams.segments([text], max(ORDERS)):
+                    inside = blocks.ragged(starts, ends - starts)
+                    for order in ORDERS:
+                        held += np.bincount(ngrams.features(points, order, BITS)[inside], minlength=1 << BITS)
+                f = np.flatnonzero(held)
                 found.append(f.astype(np.uint16).tobytes())
-                times.append(blocks.packed(n.astype(np.uint32)))
+                times.append(blocks.packed(held[f].astype(np.uint32)))
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array(times, pa.binary()), batch.column("lang")], names=["found", "times", "lang"])
 
     learn = sample(learnable, rows)

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from indexloom.llm import blocks
 
 BLOCK_BYTES = 1 << 20
+# Characters whose n-grams are looked at together.
+SEGMENT = 1 << 16
 HELD_OUT = 2
 
 
@@ -20,13 +22,36 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == HELD_OUT, F.lit(False))
 
 
-def characters(texts: list[str | None], pad: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Lower-cased code points of all texts, each followed by `pad` zeros, and the bounds of each text."""
-    lowered = [(t or "").lower() for t in texts]
-    sizes = np.array([len(t) for t in lowered], np.int64)
-    points = np.frombuffer(("\0" * pad).join([*lowered, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
-    starts = np.cumsum(sizes + pad) - (sizes + pad)
-    return points, starts, starts + sizes
+def segments(texts: list[str | None], pad: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Lower-cased code points of all texts, some SEGMENT at a time: row, points, starts, ends.
+
+    A segment belongs to the text `row`, its n-grams begin from `starts` to before `ends`. It is followed by the `pad`
+    characters that come next in the text, zeros after its end. A long text has several segments, so what is
+    worked on does not grow with it; an empty one has none.
+    """
+    rows: list[int] = []
+    held: list[str] = []
+    own: list[int] = []
+
+    def given() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        sizes = np.array([len(h) for h in held], np.int64)
+        points = np.frombuffer("".join(held).encode("utf-32-le", "surrogatepass"), np.uint32)
+        starts = np.cumsum(sizes) - sizes
+        return np.array(rows, np.int64), points, starts, starts + np.array(own, np.int64)
+
+    for row, text in enumerate(texts):
+        lowered = (text or "").lower()
+        for a in range(0, len(lowered), SEGMENT):
+            part = lowered[a : a + SEGMENT]
+            ahead = lowered[a + SEGMENT : a + SEGMENT + pad]
+            if held and sum(own) + len(part) > SEGMENT:
+                yield given()
+                rows, held, own = [], [], []
+            rows.append(row)
+            own.append(len(part))
+            held.append(part + ahead + "\0" * (pad - len(ahead)))
+    if held:
+        yield given()
 
 
 def features(points: np.ndarray, order: int, bits: int) -> np.ndarray:
@@ -47,12 +72,12 @@ def presence(texts: list[str | None], orders: tuple[int, ...], bits: int) -> Ite
     """Groups of texts as a table of which feature occurs in which: first text of the group, rows of flags."""
     group = 64
     for i in range(0, len(texts), group):
-        points, starts, ends = characters(texts[i : i + group], max(orders))
-        rows = np.repeat(np.arange(len(starts)), ends - starts)
-        places = blocks.ragged(starts, ends - starts)
-        table = np.zeros((len(starts), 1 << bits), bool)
-        for order in orders:
-            table[rows, features(points, order, bits)[places]] = True
+        table = np.zeros((len(texts[i : i + group]), 1 << bits), bool)
+        for row, points, starts, ends in segments(texts[i : i + group], max(orders)):
+            rows = np.repeat(row, ends - starts)
+            places = blocks.ragged(starts, ends - starts)
+            for order in orders:
+                table[rows, features(points, order, bits)[places]] = True
         yield i, table
 
 

@@ -17,8 +17,8 @@ from indexloom.session import stage
 
 SEQUENCE = 4096
 END_ID = 2
-# Text whose different words are encoded together, in bytes.
-BLOCK_BYTES = 8 << 20
+# Text whose different words are encoded together, in bytes, and the words whose ids a process keeps.
+BLOCK_BYTES, KNOWN_WORDS = 1 << 20, 1 << 18
 HASHED_DIMENSIONS, CURVE_DIMENSIONS, CURVE_BITS = 64, 3, 16
 
 
@@ -69,65 +69,47 @@ def hilbert_keys(points: np.ndarray, bits: int = CURVE_BITS) -> np.ndarray:
 _LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
 _LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 _MARK[list(b'!"(),.:;?')] = True
-_FOLDED = blocks.BYTE_VALUE.copy()
-_FOLDED[0x41:0x5B] = blocks.BYTE_VALUE[0x61:0x7B]
 
 
 def parts(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Cuts texts into words and marks whose ids do not depend on what is around them.
 
-    Starts, ends, how many lie before each bound, and a hash that is the same for letters of either
-    case, as the tokenizer is blind to it except in special strings (which have a `<`).
+    Starts, ends, how many lie before each bound, and the bytes with letters in one case, as the tokenizer is
+    blind to it except in special strings (words with a `<`, which stay as they are).
     """
     starts, ends, before = blocks.words(data, bounds)
     if not len(starts):
-        return starts, ends, before, np.zeros(0, np.uint64)
+        return starts, ends, before, data
     cut = np.zeros(len(data), bool)
     cut[1:] = (_LETTER[data[:-1]] & _MARK[data[1:]]) | (_MARK[data[:-1]] & _LETTER[data[1:]])
     cut[bounds[(bounds > 0) & (bounds < len(data))]] = False
     inner = np.flatnonzero(cut)
     starts, ends = np.sort(np.concatenate([starts, inner])), np.sort(np.concatenate([ends, inner]))
-    hashes = blocks.span_hashes(data, starts, ends, _FOLDED)
+    folded = blocks.LOWER[data]
     special = np.unique(np.searchsorted(starts, np.flatnonzero(data == 0x3C), "right") - 1)
-    hashes[special] = ~blocks.span_hashes(data, starts[special], ends[special])
-    return starts, ends, np.searchsorted(starts, bounds), hashes
+    as_is = blocks.ragged(starts[special], ends[special] - starts[special])
+    folded[as_is] = data[as_is]
+    return starts, ends, np.searchsorted(starts, bounds), folded
 
 
 class _KnownIds:
-    """Ids of words that this process has met, by hash; it stops taking up new ones when it is full."""
-
-    LIMIT = 1 << 20
+    """Ids of words that this process has met, by the words themselves; it takes up no more when it is full."""
 
     def __init__(self, path: str):
         self.encode = tokenizer(path).encode_batch_fast
-        self.hashes, self.begins, self.lengths = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint16)
-
-    def look_up(self, hashes: np.ndarray, strings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Where in the returned ids each word begins, how many it has; `strings` gives the texts of chosen words."""
-        at = np.minimum(np.searchsorted(self.hashes, hashes), max(0, len(self.hashes) - 1))
-        known = self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
-        new = np.flatnonzero(~known)
-        texts = strings(new)
-        lengths, ids = [], []
-        for i in range(0, len(texts), ENCODE_BATCH):
-            for e in self.encode(texts[i : i + ENCODE_BATCH], add_special_tokens=False):
-                got = e.ids
-                lengths.append(len(got))
-                ids += got
-        new_lengths = np.array(lengths, np.int64)
-        new_begins = np.cumsum(new_lengths) - new_lengths + len(self.flat)
-        flat = np.concatenate([self.flat, np.array(ids, np.uint16)])
-        begins, sizes = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int64)
-        begins[known], sizes[known] = self.begins[at[known]], self.lengths[at[known]]
-        begins[new], sizes[new] = new_begins, new_lengths
-        if len(self.hashes) + len(new) <= self.LIMIT:
-            merged = np.concatenate([self.hashes, hashes[new]])
-            order = np.argsort(merged, kind="stable")
-            self.hashes, self.flat = merged[order], flat
-            self.begins = np.concatenate([self.begins, new_begins])[order]
-            self.lengths = np.concatenate([self.lengths, new_lengths])[order]
-        return begins, sizes, flat
+        self.ids: dict[bytes, bytes] = {}
+
+    def look_up(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word, two bytes each."""
+        found = list(map(self.ids.get, words))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        for first in range(0, len(new), ENCODE_BATCH):
+            some = new[first : first + ENCODE_BATCH]
+            for i, e in zip(some, self.encode([words[i].decode("utf-8", "replace") for i in some], add_special_tokens=False), strict=True):
+                found[i] = np.array(e.ids, np.uint16).tobytes()
+                if len(self.ids) < KNOWN_WORDS:
+                    self.ids[words[i]] = found[i]
+        return found
 
 
 @functools.lru_cache(maxsize=1)
@@ -135,27 +117,42 @@ def _known_ids(path: str) -> _KnownIds:
     return _KnownIds(path)
 
 
+def encoded(data: np.ndarray, bounds: np.ndarray, known: _KnownIds, table: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """Ids and summed vector of each text."""
+    starts, ends, before, folded = parts(data, bounds)
+    _, first, kind = blocks.distinct_spans(folded, starts, ends)
+    whole = folded.tobytes()
+    found = known.look_up([whole[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
+    flat = np.frombuffer(b"".join(found), np.uint16)
+    lengths = np.fromiter(map(len, found), np.int64, len(found)) // 2
+    begins = np.cumsum(lengths) - lengths
+    # Sums of token shares, per word and then per document.
+    shares = np.vstack([np.zeros(CURVE_DIMENSIONS), np.cumsum(table[flat], axis=0)])
+    of_word = shares[begins + lengths] - shares[begins]
+    sums = np.vstack([np.zeros(CURVE_DIMENSIONS), np.cumsum(of_word[kind], axis=0)])
+    vectors = sums[before[1:]] - sums[before[:-1]]
+    del shares, of_word, sums
+    ids = flat[blocks.ragged(begins[kind], lengths[kind])]
+    upto = np.concatenate([[0], np.cumsum(lengths[kind])])[before].tolist()
+    return [ids[a:b].tobytes() for a, b in zip(upto, upto[1:], strict=False)], vectors
+
+
 def _encode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _known_ids(path)
         table = _projection(tokenizer(path).get_vocab_size())
         for batch in blocks.larger_blocks(batches, "text", BLOCK_BYTES):
             data, bounds = blocks.as_bytes(batch.column("text"))
-            starts, ends, before, hashes = parts(data, bounds)
-            kinds, first, kind = np.unique(hashes, return_index=True, return_inverse=True)
-            begins, lengths, flat = known.look_up(kinds, lambda new: blocks.strings_of(data, starts[first[new]], ends[first[new]]))
-            # Sums of token shares, per word and then per document.
-            shares = np.vstack([np.zeros(CURVE_DIMENSIONS), np.cumsum(table[flat[blocks.ragged(begins, lengths)]], axis=0)])
-            upto = np.concatenate([[0], np.cumsum(lengths)])
-            of_word = shares[upto[1:]] - shares[upto[:-1]]
-            sums = np.vstack([np.zeros(CURVE_DIMENSIONS), np.cumsum(of_word[kind], axis=0)])
-            vectors = sums[before[1:]] - sums[before[:-1]]
+            # One text that is longer by itself is encoded in pieces that end at white space.
+            pieces = blocks.at_white_space(data, BLOCK_BYTES) if batch.num_rows == 1 else [len(data)]
+            if len(pieces) == 1:
+                packed, vectors = encoded(data, bounds, known, table)
+            else:
+                told = [encoded(data[a:b], np.array([0, b - a]), known, table) for a, b in zip([0, *pieces], pieces, strict=False)]
+                packed, vectors = [b"".join(ids[0] for ids, _ in told)], sum(v for _, v in told)
             norms = np.linalg.norm(vectors, axis=1, keepdims=True)
             unit = np.divide(vectors, norms, out=np.zeros_like(vectors), where=norms > 1e-9)
             places = np.minimum((unit + 1) * (1 << CURVE_BITS - 1), (1 << CURVE_BITS) - 1).astype(np.int64)
-            ids = flat[blocks.ragged(begins[kind], lengths[kind])]
-            upto = np.concatenate([[0], np.cumsum(lengths[kind])])[before]
-            packed = [ids[a:b].tobytes() for a, b in zip(upto.tolist(), upto[1:].tolist(), strict=False)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(hilbert_keys(places)), pa.array(packed, pa.binary())], names=["doc_id", "curve", "ids"]
             )

@@ -357,7 +357,7 @@ def removed_spans(docs: DataFrame, width: int = WIDTH, hot_anchor: int = HOT_ANC
             starts = np.cumsum(every + width - 1) - (every + width - 1)
             # Segments that several shards sent alike are one from here on.
             sizes = every + width - 1
-            _, first, kind = np.unique(blocks.span_hashes(data, starts, starts + sizes), return_index=True, return_inverse=True)
+            _, first, kind = blocks.distinct_spans(data, starts, starts + sizes)
             least = np.full(len(first), _NO_ID)
             np.minimum.at(least, kind, owners)
             data, sizes = data[blocks.ragged(starts[first], sizes[first])], sizes[first]

@@ -18,7 +18,7 @@ from indexloom.llm import blocks
 from indexloom.session import stage
 
 # Text that one dictionary of pre-tokens covers, in bytes.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 ENCODE_BATCH = 5_000
 
 # Bytes that a cut may stand before (after one byte of white space). Not among them: lead bytes of
@@ -70,7 +70,7 @@ def _blocks_of(bucket_bits: int):
         for batch in blocks.larger_blocks(batches, "text", BLOCK_BYTES):
             data, bounds = blocks.as_bytes(batch.column("text"))
             starts, ends, before = pre_tokens(data, bounds)
-            kinds, first, kind = np.unique(blocks.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+            kinds, first, kind = blocks.distinct_spans(data, starts, ends)
             # Frequencies: per document its different pre-tokens, as steps between numbers, and how often.
             document = np.repeat(np.arange(batch.num_rows), np.diff(before))
             pairs, times = np.unique(document * np.int64(len(kinds) + 1) + kind, return_counts=True)
@@ -112,8 +112,8 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
     Each block of texts gives a dictionary of its pre-tokens and the frequencies per document.
     Dictionaries are split by hash into buckets, in which every pre-token of the corpus meets once per
     block, is counted once, and its number goes back to the blocks that asked, to be summed with the
-    frequencies. A frequent pre-token costs one row per block, not one per occurrence. Within a block,
-    pre-tokens are told apart by 64-bit hashes, across blocks by their text.
+    frequencies. A frequent pre-token costs one row per block, not one per occurrence. Hashes bring equal
+    pre-tokens together; they are told apart by their bytes, within a block and across blocks.
     """
     spark = docs.sparkSession
     bucket_bits = max(0, int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()

@@ -36,14 +36,16 @@ class ToxicityModel:
 
 def _weighed(texts: list[str | None], place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which weighed n-grams occur in which text, each once."""
-    points, starts, ends = ngrams.characters(texts, max(ORDERS))
-    keys = []
-    for order in ORDERS:
-        number = place[ngrams.features(points, order, BITS)]
-        at = np.flatnonzero(number >= 0)
-        row = np.searchsorted(starts, at, "right") - 1
-        inside = at < ends[row] if len(at) else np.zeros(0, bool)
-        keys.append(row[inside] * np.int64(1 << BITS) + number[at[inside]])
+    keys = [np.zeros(0, np.int64)]
+    for text, points, starts, ends in ngrams.segments(texts, max(ORDERS)):
+        found = []
+        for order in ORDERS:
+            number = place[ngrams.features(points, order, BITS)]
+            at = np.flatnonzero(number >= 0)
+            row = np.searchsorted(starts, at, "right") - 1
+            inside = at < ends[row] if len(at) else np.zeros(0, bool)
+            found.append(text[row[inside]] * np.int64(1 << BITS) + number[at[inside]])
+        keys.append(np.unique(np.concatenate(found)))
     return np.divmod(np.unique(np.concatenate(keys)), 1 << BITS)
 
 

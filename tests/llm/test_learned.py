@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from conftest import SF_DIR, make
 
-from indexloom.llm import language, neighbours, toxicity
+from indexloom.llm import language, neighbours, ngrams, toxicity
 
 BIG = "/root/testdata/sf0.1"
 
@@ -52,6 +52,22 @@ def test_language_on_held_out_rows(spark):
     assert abs(np.mean([r.score for r in rows]) - right.mean()) < 0.03
 
 
+def test_long_texts_are_scored_in_segments(odd, monkeypatch):
+    """The segments of a text give what the text gives as a whole."""
+    rng = np.random.default_rng(1)
+    texts = [r.text for r in odd.collect()]
+    model = language.LanguageModel(("a", "b", "c"), rng.standard_normal((1 << 16, 3)), 1 + rng.random(1 << 16), np.zeros(3), 1.0)
+    place = np.where(np.arange(1 << 18) % 5, -1, np.arange(1 << 18) // 5).astype(np.int32)
+    found = []
+    for size in (1 << 16, 100, 7):
+        monkeypatch.setattr(ngrams, "SEGMENT", size)
+        flags = np.concatenate([t for _, t in ngrams.presence(texts[:10], (1, 2, 3), 12)])
+        found.append((model.probabilities(texts), toxicity._weighed(texts, place), flags))
+    for likely, (rows, numbers), flags in found[1:]:
+        assert np.allclose(likely, found[0][0]) and (flags == found[0][2]).all()
+        assert rows.tolist() == found[0][1][0].tolist() and numbers.tolist() == found[0][1][1].tolist()
+
+
 def test_language_of_odd_rows(odd, nothing, repeated):
     found = {r.doc_id: r for r in language.languages(odd).collect()}
     assert len(found) == odd.count()

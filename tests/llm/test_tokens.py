@@ -1,12 +1,14 @@
 """Token counts and packing against the tokenizers library."""
 
+import zlib
+
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import SF_DIR
+from conftest import SF_DIR, make
 from tokenizers import Tokenizer
 
-from indexloom.llm import packing, token_counts
+from indexloom.llm import blocks, jaccard, packing, queries, token_counts
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 
@@ -61,6 +63,56 @@ def test_packing(spark, odd, sequence):
         check_pieces(docs.collect(), packing.pack(docs, WORDS, sequence).collect(), sequence)
 
 
+def thue_morse(a, b, n=10):
+    """Words of 2 ** n letters whose polynomial hashes modulo 2 ** 64 are equal for any base."""
+    bits = [bin(i).count("1") & 1 for i in range(1 << n)]
+    return "".join(a if x else b for x in bits), "".join(b if x else a for x in bits)
+
+
+@pytest.mark.parametrize("met", [False, True])
+def test_words_that_hash_alike(spark, met, monkeypatch):
+    """Different words of one hash get their own counts, ids and no link; also where every word has the same hash."""
+    pairs = [thue_morse(a, b) for a, b in ("ab", "cd", "ex", "qz", "mn")]
+    rows = [(2 * i + j, f"{w} and {w} again", "en", "s") for i, p in enumerate(pairs) for j, w in enumerate(p)]
+    docs = make(spark, rows).coalesce(1)
+    texts = [r[1] for r in rows]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    starts, ends, _ = blocks.words(data, np.cumsum([0, *map(len, texts)]))
+    if met:
+        monkeypatch.setattr(blocks, "span_hashes", lambda d, s, e: np.zeros(len(s), np.uint64))
+        kinds, first, kind = blocks.distinct_spans(data, starts, ends)
+        words = [data[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]
+        assert len(kinds) == len(set(words)) and [words[first[k]] for k in kind] == words
+        return
+    assert len(set(blocks.span_hashes(data, starts, ends).tolist())) == 12
+    model = Tokenizer.from_file(BYTES)
+    assert {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs, BYTES).collect()} == {r[0]: len(model.encode(r[1], add_special_tokens=False)) for r in rows}
+    check_pieces(docs.collect(), packing.pack(docs, WORDS).collect(), 4096)
+    assert all(r.doc_id == r.component_id for r in jaccard.linked_documents(docs).collect())
+
+
+def test_a_text_in_pieces(spark, odd, monkeypatch):
+    """Texts that are longer than a block by themselves have the ids they have as a whole."""
+    known, table = packing._KnownIds(WORDS), packing._projection(1 << 16)
+    for r in odd.collect():
+        data = np.frombuffer((r.text or "").encode(), np.uint8)
+        whole = packing.encoded(data, np.array([0, len(data)]), known, table)
+        cuts = blocks.at_white_space(data, 50)
+        assert cuts[-1] == len(data) and all(blocks.SPACE[data[c - 1]] for c in cuts[:-1])
+        parts = [packing.encoded(data[a:b], np.array([0, b - a]), known, table) for a, b in zip([0, *cuts], cuts, strict=False)]
+        assert b"".join(ids[0] for ids, _ in parts) == whole[0][0]
+        assert np.allclose(sum(v for _, v in parts), whole[1])
+
+
+def test_the_query_on_packing(spark):
+    """ids_crc32 is that of the ids as little-endian 32-bit numbers."""
+    model = Tokenizer.from_file(WORDS)
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    for r in queries.op10_packing(spark, SF_DIR).collect():
+        ids = [*model.encode(texts[r.doc_id] or "", add_special_tokens=False).ids, 2][r.start : r.start + r.length]
+        assert r.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
 def test_hilbert_curve_walks_to_neighbours():
     points = np.array([[x, y, z] for x in range(8) for y in range(8) for z in range(8)])
     keys = packing.hilbert_keys(points, 3)
