@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import csv
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,33 +47,91 @@ PRICE_HEADERS = {
                     "Product Code": "product", "NetReceiptSterling": "receipts", "Issues": "issues"},
 }
 PLACE_WIDTHS = {"origin": 4, "destination": 4, "route": 5}
-HEADERS_AT_A_TIME = 8
+# A file up to this size is scanned for its first line; of a larger one only the first lines are read.
+SCANNED_BYTES = 4 << 20
+_ONE_SPLIT = str(1 << 50)
+
+
+@contextmanager
+def _with_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def _first_filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line that is not blank of the one file a task reads; what follows is left unread."""
+    for batch in batches:
+        for i, line in enumerate(batch.column("line").to_pylist()):
+            if line.strip():
+                yield batch.slice(i, 1)
+                # A short file is read to its end, so that the Python process can be used again.
+                next(batches, None)
+                return
+
+
+def first_lines(spark: SparkSession, path: str) -> list[Row]:
+    """The first line that is not blank of each file of a directory, or of one file: file, line (bytes), one row each.
+
+    Files of some megabytes are scanned, many to a task, and the line with the least position kept. A larger
+    file gets a task of its own that stops after its first lines, so the index costs the same whatever
+    the files hold. That makes one query for either sort, whose result is one row per file.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("line"), F.col("_metadata.file_size").alias("size"))
+    shape = lines.select("file", "line").schema
+    small = lines.where(F.col("size") <= SCANNED_BYTES).where(F.trim(F.col("line").cast("string")) != "")
+    small = small.withColumn("seq", F.monotonically_increasing_id()).groupBy("file").agg(F.min_by("line", "seq").alias("line"))
+    found = small.collect()
+    large = lines.where(F.col("size") > SCANNED_BYTES).select("file", "line").mapInArrow(_first_filled, shape)
+    with _with_settings(spark, {"spark.sql.files.maxPartitionBytes": _ONE_SPLIT, "spark.sql.files.openCostInBytes": _ONE_SPLIT}):
+        return found + large.collect()
+
+
+def header_index(spark: SparkSession, path: str, encoding: str = "UTF-8") -> dict[tuple[str, ...], list[str]]:
+    """Files by header: the column names in order, and the paths of the files that have them so."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in first_lines(spark, path):
+        text = bytes(row["line"]).decode(encoding).lstrip("\ufeff").rstrip("\r")
+        groups.setdefault(tuple(next(csv.reader([text]))), []).append(unquote(row["file"]))
+    return {names: sorted(files) for names, files in sorted(groups.items())}
+
+
+def _glob(files: list[str]) -> str | None:
+    """A pattern of the names of these files; None if they lie in several directories."""
+    if len({f.rpartition("/")[0] for f in files}) > 1:
+        return None
+    names = (f.rpartition("/")[2] for f in files)
+    return "{" + ",".join("".join(f"\\{c}" if c in "\\{},*?[]^" else c for c in name) for name in names) + "}"
 
 
 def read_named_csv(spark: SparkSession, path: str, header: Mapping[str, str], encoding: str = "UTF-8") -> DataFrame:
     """Read the named columns of one file, or of all files of a directory, as text.
 
     Files may carry other columns as well, and each may have its columns in an order of its own: files
-    with the same header are read together, under the schema that the header gives. That takes a look
-    at the first line of each file. A file without a line is passed over, one without a named column fails.
+    with the same header are read together, under the schema that the header gives (`header_index`). A file
+    without a line is passed over, one without a named column fails.
     """
-    files = sorted(unquote(f) for f in spark.read.text(path).inputFiles())
-
-    def names_of(file: str) -> tuple[str, ...]:
-        return tuple(spark.read.options(header=True, inferSchema=False, encoding=encoding).csv(file).columns)
-
-    with ThreadPool(HEADERS_AT_A_TIME) as pool:
-        headers = pool.map(names_of, files)
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for names, file in zip(headers, files, strict=True):
-        groups.setdefault(names, []).append(file)
-    groups.pop((), None)
+    groups = header_index(spark, path, encoding)
     if not groups:
         raise ValueError(f"no header in {path}")
     read = []
-    for names, same in groups.items():
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        rows = spark.read.schema(schema).options(header=True, encoding=encoding).csv(same)
+    for names, files in groups.items():
+        # Other columns are never read; their names may repeat or be missing.
+        fields = [n if n in header else f"_column_{i}" for i, n in enumerate(names)]
+        reader = spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in fields])).options(header=True, encoding=encoding)
+        glob = _glob([f for same in groups.values() for f in same]) and _glob(files)
+        if len(groups) == 1:
+            rows = reader.csv(path)
+        elif glob:
+            # The folder is listed as a whole; a list of many paths would cost a job.
+            rows = reader.option("pathGlobFilter", glob).csv(path)
+        else:
+            rows = reader.csv(files)
         read.append(rows.select(*[F.col(f"`{name}`").alias(to) for name, to in header.items()]))
     return reduce(DataFrame.unionByName, read)
 

@@ -36,6 +36,44 @@ def test_files_with_their_columns_in_another_order(spark, tmp_path):
         delimited.read_sales(spark, str(folder))
 
 
+def test_headers_of_many_files_take_few_jobs(spark, tmp_path):
+    """2,000 files of three column orders; jobs are counted up to the query itself."""
+    names = SALES.strip().split(",")
+    orders = [names, names[::-1], [*names[3:], *names[:3]]]
+    value = dict.fromkeys(names, "1") | {"carrier_toc_code": "EK", "product_code": "2MTA"}
+    for i in range(2000):
+        order = orders[i % 3]
+        name = f"f{i}.csv" if i > 5 else f"odd {{{i}}} [a,b]*.csv"
+        (tmp_path / name).write_text(",".join(order) + "\n" + ",".join({**value, "origin_code": str(i)}[n] for n in order) + "\n")
+    spark.sparkContext.setJobGroup("headers", "headers")
+    rows = delimited.read_sales(spark, str(tmp_path))
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("headers"))
+    spark.sparkContext.setJobGroup("rest", "rest")
+    assert jobs <= 3
+    assert sorted(r.origin for r in rows.collect()) == sorted(str(i).zfill(4) for i in range(2000))
+
+
+def test_first_lines_of_large_files(spark, tmp_path, monkeypatch):
+    """Large files are read one to a task, up to their first filled line; both ways give the same."""
+    (tmp_path / "a.csv").write_bytes(b"\r\n \n\xa3 a,b\r\n" + b"1,2\n" * 50_000)
+    (tmp_path / "b.csv").write_bytes(b'"x, y",z\n')
+    (tmp_path / "c.csv").write_bytes(b"\n\n")
+    found = []
+    for limit in (1 << 30, 0):
+        monkeypatch.setattr(delimited, "SCANNED_BYTES", limit)
+        found.append({n: [f.rpartition("/")[2] for f in files] for n, files in delimited.header_index(spark, str(tmp_path), "windows-1252").items()})
+    assert found[0] == found[1] == {("x, y", "z"): ["b.csv"], ("\xa3 a", "b"): ["a.csv"]}
+    assert int(spark.conf.get("spark.sql.files.openCostInBytes").rstrip("b")) == 4 << 20
+
+
+def test_files_of_several_folders(spark, tmp_path):
+    for k, order in (("1", "a,b"), ("2", "b,a")):
+        (tmp_path / f"k={k}").mkdir()
+        (tmp_path / f"k={k}" / "same.csv").write_text(f"{order}\n" + ",".join(n + k for n in order.split(",")) + "\n")
+    rows = delimited.read_named_csv(spark, str(tmp_path), {"a": "x", "b": "y"}).collect()
+    assert sorted(map(tuple, rows)) == [("a1", "b1"), ("a2", "b2")]
+
+
 def test_price_files(spark, tmp_path):
     path = tmp_path / "p.csv"
     path.write_text('Origin Code,Destination Code,Route Code,Product Code,NetReceiptSterling,Issues\n1,2,3,2AAA,"£1,200.00",100\n1,2,4,2AAA,5,"1,234"\n1,2,5,2AAA,n/a,1\n1,2,6,2AAA,5,0\n')
