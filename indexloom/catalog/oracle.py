@@ -570,6 +570,9 @@ SELECT l_linestatus AS carrier, CASE WHEN length(CAST(l_suppkey AS VARCHAR)) < 4
 FROM lines GROUP BY ALL"""),
         "feed_file_prices": _with([*_TO_FEED, _KEPT], "SELECT origin, destination, route, product, CAST(fare AS DOUBLE) AS fare FROM kept"),
         "regulated_lookup_file": _with([*_TO_SALES, _REGULATED], "SELECT origin, destination, route, product, flag2 FROM regulated"),
+        "ticket_lookup_files": """
+SELECT CAST(l_partkey AS VARCHAR) AS ticket_code, l_orderkey || '-' || l_linenumber AS product
+FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey % 10 <> 0, l_orderkey, l_linenumber) = 1""",
         "category_lookup_file": _with([_PRODUCTS, _CATEGORIES], "SELECT product, product_group, category FROM categories"),
         "price_file": _with([_LINES], """
 SELECT l_orderkey AS product, lpad(CAST(l_linenumber AS VARCHAR), 4, '0') AS origin,

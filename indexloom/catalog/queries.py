@@ -290,10 +290,16 @@ def flow_fare_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.agg(F.count(F.lit(1)).alias("n"), F.sum("fare").alias("fare"))
 
 
+def _first_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tickets = t.tickets(spark, sf_dir).withColumn("place", F.ascii(F.substring("product", 4, 1)))
+    return prices.keep_first(tickets, ["ticket_code"], ["place"]).drop("place")
+
+
 def _kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = prices.keep_first(t.tickets(spark, sf_dir), ["ticket_code"], ["product"])
-    priced = t.feed_prices(spark, sf_dir, first)
-    return prices.keep_first(priced, [*ingest.FLOW_KEY, "ticket_code", "fare"], ["flow_id", "product"])
+    """Fares in the order of their orders; a ticket code is the number of a line in its order."""
+    place = F.col("flow_id").cast("long") * 1000 + F.substring("ticket_code", 2, 3).cast("long")
+    priced = stage(t.feed_prices(spark, sf_dir, _first_products(spark, sf_dir)).withColumn("place", place))
+    return prices.keep_first(priced, [*ingest.FLOW_KEY, "ticket_code", "fare"], ["place"]).drop("place")
 
 
 @query
@@ -685,6 +691,21 @@ def regulated_lookup_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(*t.PRODUCT_KEY, "flag2")
 
 
+@query
+def ticket_lookup_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first product of each part in two lookup files, of which the second is by far the larger."""
+    entries = t.lines(spark, sf_dir).select(
+        F.col("l_partkey").cast("string").alias("ticket"), F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("sold"),
+        "l_orderkey", "l_linenumber",
+    )
+    folder = _new_folder(spark)
+    for name, rows in (("a", entries.where("l_orderkey % 10 = 0")), ("b", entries.where("l_orderkey % 10 <> 0"))):
+        ordered = rows.orderBy("l_orderkey", "l_linenumber").select("ticket", "sold")
+        _as_csv(ordered, f"{folder}/{name}")
+    found = delimited.read_ticket_lookup(spark, f"{folder}/*", "ticket", "sold")
+    return prices.keep_first(stage(found), ["ticket_code"], ["lookup_seq"]).select("ticket_code", "product")
+
+
 @query
 def category_lookup_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = {column: name for name, column in delimited.CATEGORY_HEADER.items()}

@@ -29,19 +29,32 @@ def flow_prices(flows: DataFrame, fares: DataFrame, tickets: DataFrame, salt: Co
     return key_join(priced, tickets, ["ticket_code"], "left", salt)
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the first by `order`, which has to leave no ties.
+def key_summary(df: DataFrame, keys: Sequence[str], position: str) -> DataFrame:
+    """Per key, null included: `first` (least position) and `entries`.
 
-    Uses `min_by`, so duplicates are already dropped on the map side.
+    Positions are numbers, so the sums are kept by hashing on the map side, and a key with very many
+    entries is one row per task before anything is shuffled.
     """
-    rest = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_first")
-    return df.groupBy(*keys).agg(first).select(*keys, "_first.*").select(*df.columns)
+    return df.groupBy(*keys).agg(F.min(position).alias("first"), F.count(F.lit(1)).alias("entries"))
+
+
+def keep_first(df: DataFrame, keys: Sequence[str], position: Sequence[str]) -> DataFrame:
+    """One row per key, the first by `position`: a number that no two rows of a key share, such as a line number.
+
+    The frame is read twice, once for its keys and positions alone; a written table is best. Rows are fetched
+    by key and position together, which do not repeat, so no key of that join is hot.
+    """
+    (place,) = position
+    first = key_summary(df, keys, place).select(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col("first").alias("_first"))
+    same = F.col(place) == F.col("_first")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    return df.join(first, same, "left_semi")
 
 
 def conflicting_duplicates(df: DataFrame, keys: Sequence[str], salt: Column | str | None = None) -> DataFrame:
     """All rows of keys that occur more than once."""
-    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*keys)
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("entries")).where("entries > 1").select(*keys)
     return key_join(df, repeated, keys, "left_semi", salt)
 
 

@@ -12,7 +12,7 @@ from indexloom.functions import has_code
 from indexloom.operators import lookups, prices, rollups
 from indexloom.plans import fixed_values as fixed
 from indexloom.session import stage, tune
-from indexloom.sources import delimited, feed, tables
+from indexloom.sources import delimited, feed, positions, tables
 
 FLOW_KEY = ["origin", "destination", "route"]
 PRODUCT_KEY = [*FLOW_KEY, "product"]
@@ -62,16 +62,15 @@ def build_fact(
 
 def list_prices(lines: DataFrame, tickets: DataFrame) -> dict[str, DataFrame]:
     """Prices of one feed: the table that is joined, and the duplicates to be looked at."""
-    flows = feed.parse_flows(lines).withColumnsRenamed({"file": "flow_file", "block": "flow_block", "seq": "flow_seq"})
-    fares = feed.parse_fares(lines).withColumnsRenamed({"file": "fare_file", "block": "fare_block", "seq": "fare_seq"})
-    # Both are read more than once below; the text is read once for each.
-    flows, fares = stage(flows), stage(fares)
-    latest = prices.latest_validity(flows, FLOW_KEY, "valid_until_date", "flow_seq")
+    # Both are read more than once below; the text is read once for each, and written before lines are numbered.
+    flows = positions.line_numbers(stage(feed.parse_flows(lines)), "flow_line")
+    fares = positions.line_numbers(stage(feed.parse_fares(lines)), "fare_line")
+    latest = prices.latest_validity(flows, FLOW_KEY, "valid_until_date", "flow_line")
     # Of a ticket's products only the first would be kept below, so the others need not be joined.
     first = prices.keep_first(tickets, ["ticket_code"], ["lookup_seq"])
-    priced = feed.checked_fares(prices.flow_prices(latest, fares, first, "fare_seq"))
-    file_order = ["flow_file", "flow_block", "flow_seq", "fare_file", "fare_block", "fare_seq"]
-    kept = stage(prices.keep_first(priced, [*FLOW_KEY, "ticket_code", "fare"], file_order))
+    priced = feed.checked_fares(prices.flow_prices(latest, fares, first, "fare_line"))
+    placed = stage(priced.withColumn("place", positions.first_then("flow_line", "fare_line")))
+    kept = stage(prices.keep_first(placed, [*FLOW_KEY, "ticket_code", "fare"], ["place"]).drop("place"))
     return {
         "prices": kept.select(*PRODUCT_KEY, F.col("fare").cast("double").alias("fare")),
         "conflicts": prices.conflicting_duplicates(kept, [*FLOW_KEY, "ticket_code"]),

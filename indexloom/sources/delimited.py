@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 from indexloom.functions import clean_count, clean_money, lenient_number, zero_pad
 from indexloom.operators.prices import unit_price
+from indexloom.session import stage
+from indexloom.sources.positions import line_numbers, place_in_files
 
 # Header of the sales extract and the column each field becomes.
 SALES_HEADER = {
@@ -109,8 +111,8 @@ def _glob(files: list[str]) -> str | None:
     return "{" + ",".join("".join(f"\\{c}" if c in "\\{},*?[]^" else c for c in name) for name in names) + "}"
 
 
-def read_named_csv(spark: SparkSession, path: str, header: Mapping[str, str], encoding: str = "UTF-8") -> DataFrame:
-    """Read the named columns of one file, or of all files of a directory, as text.
+def read_named_csv(spark: SparkSession, path: str, header: Mapping[str, str], encoding: str = "UTF-8", placed: bool = False) -> DataFrame:
+    """Read the named columns of one file, or of all files of a directory, as text; `placed` adds where a row stands.
 
     Files may carry other columns as well, and each may have its columns in an order of its own: files
     with the same header are read together, under the schema that the header gives (`header_index`). A file
@@ -132,7 +134,7 @@ def read_named_csv(spark: SparkSession, path: str, header: Mapping[str, str], en
             rows = reader.option("pathGlobFilter", glob).csv(path)
         else:
             rows = reader.csv(files)
-        read.append(rows.select(*[F.col(f"`{name}`").alias(to) for name, to in header.items()]))
+        read.append(rows.select(*[F.col(f"`{name}`").alias(to) for name, to in header.items()], *(place_in_files() if placed else [])))
     return reduce(DataFrame.unionByName, read)
 
 
@@ -160,9 +162,9 @@ def read_series_keys(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_ticket_lookup(spark: SparkSession, path: str, ticket_column: str, product_column: str) -> DataFrame:
-    """Ticket code to product code. `lookup_seq` is the order of the entries in the file."""
-    rows = read_named_csv(spark, path, {ticket_column: "ticket_code", product_column: "product"})
-    return rows.withColumn("lookup_seq", F.monotonically_increasing_id())
+    """Ticket code to product code. `lookup_seq` numbers the entries by file name and place in the file."""
+    rows = read_named_csv(spark, path, {ticket_column: "ticket_code", product_column: "product"}, placed=True)
+    return line_numbers(stage(rows), "lookup_seq")
 
 
 def derived_price(df: DataFrame, kind: str, target: str) -> DataFrame:

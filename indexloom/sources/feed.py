@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from indexloom.sources.positions import place_in_files
+
 COMMENT_MARK = "/!!"
 FLOW_MARK = "RF"
 # 0-based start and end of each field.
@@ -29,14 +31,10 @@ LAST_DAY = "31122100"
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
     """Lines of the feed with their place in it.
 
-    (`file`, `block`, `seq`) orders lines as they stand in the file, which partitions do not.
+    (`file`, `block`, `seq`) orders lines as they stand in the files, which partitions do not; `line_numbers` makes
+    one number of them.
     """
-    return spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_name").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("seq"),
-    )
+    return spark.read.text(path).select("value", *place_in_files())
 
 
 def feed_records(lines: DataFrame) -> DataFrame:

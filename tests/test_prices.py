@@ -31,6 +31,17 @@ def test_keep_first_with_a_null_key(spark):
     assert [tuple(r) for r in prices.keep_first(df, ["key"], ["seq"]).collect()] == [(None, 1, None)]
 
 
+def test_keep_first_sums_by_hashing(spark):
+    """Least positions and entry counts are kept in hash tables; only keys and numbers are summed."""
+    df = spark.range(100).selectExpr("id % 7 AS key", "id", "cast(id AS decimal(38,0)) AS place", "cast(id AS string) AS text")
+    for place in ("id", "place"):
+        found = prices.keep_first(df, ["key"], [place])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan
+        assert sorted(r.text for r in found.collect()) == [str(i) for i in range(7)]
+    assert {(r.key, r.first, r.entries) for r in prices.key_summary(df, ["key"], "id").collect()} == {(i, i, 15 if i < 2 else 14) for i in range(7)}
+
+
 def test_conflicting_duplicates(spark):
     df = spark.createDataFrame([("k", 500), ("k", 520), ("m", 1)], "key string, fare int")
     assert {r.fare for r in prices.conflicting_duplicates(df, ["key"]).collect()} == {500, 520}

@@ -5,6 +5,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from indexloom.operators import prices
 from indexloom.plans import ingest
 from indexloom.sources import delimited, feed, tables
 
@@ -66,6 +67,26 @@ def test_first_lines_of_large_files(spark, tmp_path, monkeypatch):
     assert int(spark.conf.get("spark.sql.files.openCostInBytes").rstrip("b")) == 4 << 20
 
 
+def test_the_first_entry_of_several_lookup_files(spark, tmp_path):
+    """The order of files is that of their names, not of their sizes, also where they are split."""
+    (tmp_path / "a.csv").write_text("code,product\nX,first\n")
+    (tmp_path / "b.csv").write_text("code,product\n" + "".join(f"Y{i},b{i}\n" for i in range(5000)) + "X,second\nY7,late\n")
+    (tmp_path / "c.csv").write_text("code,product\nX,third\nY8,third\nZ,only\n")
+    seen = []
+    for size in ("128m", "4096"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            tickets = delimited.read_ticket_lookup(spark, str(tmp_path), "code", "product")
+            found = {r.ticket_code: r["product"] for r in prices.keep_first(tickets, ["ticket_code"], ["lookup_seq"]).collect()}
+            rows = tickets.orderBy("lookup_seq").collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert len(found) == 5002 and (found["X"], found["Y7"], found["Y8"], found["Z"]) == ("first", "b7", "b8", "only")
+        seen.append([(r.ticket_code, r["product"]) for r in rows])
+        assert [r.lookup_seq for r in rows] == list(range(5006))
+    assert seen[0] == seen[1] == [("X", "first"), *((f"Y{i}", f"b{i}") for i in range(5000)), ("X", "second"), ("Y7", "late"), ("X", "third"), ("Y8", "third"), ("Z", "only")]
+
+
 def test_files_of_several_folders(spark, tmp_path):
     for k, order in (("1", "a,b"), ("2", "b,a")):
         (tmp_path / f"k={k}").mkdir()
