@@ -296,9 +296,11 @@ def _first_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fares in the order of their orders; a ticket code is the number of a line in its order."""
-    place = F.col("flow_id").cast("long") * 1000 + F.substring("ticket_code", 2, 3).cast("long")
-    priced = stage(t.feed_prices(spark, sf_dir, _first_products(spark, sf_dir)).withColumn("place", place))
+    """Fares in the order of their flow ids; copies of a flow or a fare in the order of the tables."""
+    place = F.lit(0).cast("decimal(38,0)")
+    for c in ("flow_id", "flow_row", "row"):
+        place = (place * F.lit(10**12).cast("decimal(13,0)") + F.col(c).cast("decimal(12,0)")).cast("decimal(38,0)")
+    priced = stage(t.feed_prices(spark, sf_dir, _first_products(spark, sf_dir)).withColumn("place", place).drop("flow_row", "row"))
     return prices.keep_first(priced, [*ingest.FLOW_KEY, "ticket_code", "fare"], ["place"]).drop("place")
 
 

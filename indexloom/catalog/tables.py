@@ -245,6 +245,7 @@ def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.year("o_orderdate") == 2001, F.lit("31122999"))
         .otherwise(F.concat(F.lit("3112"), F.year("o_orderdate").cast("string"))).alias("valid_until"),
         F.date_format("o_orderdate", "ddMMyyyy").alias("valid_from"),
+        F.col("_metadata.row_index").alias("flow_row"),
     )
 
 
@@ -286,8 +287,8 @@ def feed_prices(spark: SparkSession, sf_dir: str, ticket_rows: DataFrame) -> Dat
     dated = flows(spark, sf_dir).withColumn("valid_until_date", F.to_date("valid_until", "ddMMyyyy"))
     latest = prices.latest_validity(dated, ingest.FLOW_KEY, "valid_until_date")
     return prices.flow_prices(
-        latest.select("flow_id", *ingest.FLOW_KEY), fares(spark, sf_dir), ticket_rows, "row"
-    ).select(*ingest.FLOW_KEY, "flow_id", "ticket_code", "fare", "product")
+        latest.select("flow_id", *ingest.FLOW_KEY, "flow_row"), fares(spark, sf_dir), ticket_rows, "row"
+    ).select(*ingest.FLOW_KEY, "flow_id", "ticket_code", "fare", "product", "flow_row", "row")
 
 
 # Usage: line items by financial quarter, moved on by ten years into the published range.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,10 +33,12 @@ def hot_keys(df: DataFrame, on: Sequence[str]) -> list[Row]:
     add up to at most twice the number of partitions.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows"))
-    total = counts.agg(F.sum("__rows").alias("__total")).scalar()
-    share = F.col("__rows") * F.lit(partitions) / total
-    return counts.where(share > 1).select(*on, F.ceil(share).cast("int").alias("__pieces")).collect()
+    seen = Observation()
+    counts = df.select(*on).observe(seen, F.count(F.lit(1)).alias("total")).groupBy(*on).agg(F.count(F.lit(1)).alias("__rows"))
+    # The total is counted on the way, so the keys are counted once; the largest are as many as could qualify.
+    largest = counts.orderBy(F.desc("__rows")).limit(partitions).collect()
+    total = seen.get["total"]
+    return [Row(**{k: r[k] for k in on}, __pieces=-(-r["__rows"] * partitions // total)) for r in largest if r["__rows"] * partitions > total]
 
 
 def key_join(

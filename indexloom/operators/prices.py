@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from indexloom.functions import null_if_zero, pct_change
 from indexloom.operators.joins import full_join, key_join
 from indexloom.operators.rollups import with_keys
+from indexloom.session import stage
 
 
 def latest_validity(flows: DataFrame, keys: Sequence[str], until: str, salt: Column | str | None = None) -> DataFrame:
@@ -80,13 +81,33 @@ def prices_by_period(sales: DataFrame, keys: Sequence[str], sources: Mapping[str
 
 
 def combine_price_tables(tables: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """All price tables side by side, by full outer joins whose hot keys are split.
+    """All price tables side by side, one row per key and combination of its entries.
 
     Joining the result once gives the same rows as joining the tables one after the other, and the
     large sales table moves once and not once per price table. Rows without a full key could match
-    no sale and are left out.
+    no sale and are left out. Price columns have different names in all tables.
+
+    The tables are one union, grouped once: a key that no table lists twice comes out of the sums with all its
+    prices. Only keys with several entries in some table, which the sums count, go through full outer joins
+    that multiply them; without such keys there is no join at all.
     """
-    return reduce(lambda a, b: full_join(a, b, keys), [with_keys(t, keys) for t in tables])
+    tables = [with_keys(t, keys) for t in tables]
+    names = [c for t in tables for c in t.columns if c not in keys]
+    if len(set(names)) < len(names):
+        raise ValueError(f"price columns of two tables have one name: {names}")
+    tagged = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True), [t.withColumn("_table", F.lit(i)) for i, t in enumerate(tables)]
+    )
+    entries = [F.count_if(F.col("_table") == i) for i in range(len(tables))]
+    sums = tagged.groupBy(*keys).agg(*[F.max(c).alias(c) for c in names], F.greatest(*entries, F.lit(0)).alias("_entries"))
+    seen = Observation()
+    summed = stage(sums.observe(seen, F.max("_entries").alias("most")))
+    once = summed.where("_entries = 1").select(*keys, *names)
+    if (seen.get["most"] or 0) <= 1:
+        return once
+    several = stage(summed.where("_entries > 1").select(*keys))
+    listed = [key_join(t, several, keys, "left_semi") for t in tables]
+    return once.unionByName(reduce(lambda a, b: full_join(a, b, keys), listed))
 
 
 def attach_prices(df: DataFrame, prices: DataFrame, keys: Sequence[str], salt: Column | str | None = None) -> DataFrame:
