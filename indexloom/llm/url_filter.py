@@ -17,9 +17,16 @@ RULES = (
     ("block", "com", "/de/"),
 )
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?"
-_CANONICAL = r"(?is)(<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>)"
-_REFRESH = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*\bcontent\s*=\s*[\"']?\s*[\d.]*\s*[;,]\s*url\s*=\s*[\"']?([^\"'>\s]+)"
-_HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'>\s]+)"
+# A whole tag, whose quoted values may hold a >; and the value of an attribute, wherever in the tag it stands.
+_TAG = r"""(?is)<(?:link|meta)(?=[\s/])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+_ATTRIBUTE = r"""(?is)[\s"'/]%s\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+_REFRESH_TARGET = r"""(?is)^\s*[\d.]*\s*[;,]?\s*url\s*=\s*["']?\s*([^"']*)"""
+# Characters of URLs and how HTML may write them; the ampersand comes last, so nothing is read twice.
+_ENTITIES = (
+    ('"', r"(?i)&(?:quot|#0*34|#x0*22);"), ("'", r"(?i)&(?:apos|#0*39|#x0*27);"), ("<", r"(?i)&(?:lt|#0*60|#x0*3c);"), (">", r"(?i)&(?:gt|#0*62|#x0*3e);"),
+    ("/", r"(?i)&(?:sol|#0*47|#x0*2f);"), (":", r"(?i)&(?:colon|#0*58|#x0*3a);"), ("?", r"(?i)&(?:quest|#0*63|#x0*3f);"), ("=", r"(?i)&(?:equals|#0*61|#x0*3d);"),
+    ("&", r"(?i)&(?:amp|#0*38|#x0*26);"),
+)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -37,26 +44,61 @@ def path_of(url: Column) -> Column:
     return _part(url, 2)
 
 
+def without_dots(path: Column) -> Column:
+    """A path with its `.` and `..` steps taken, as a browser does; `..` at the top is the top."""
+
+    def step(held: Column, part: Column) -> Column:
+        return F.when(part == "..", F.slice(held, F.lit(1), F.greatest(F.size(held) - 1, F.lit(1)))).when(part == ".", held).otherwise(F.concat(held, F.array(part)))
+
+    parts = F.split(path, "/")
+    taken = F.aggregate(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), F.slice(parts, 1, 1), step)
+    folder = F.when(F.element_at(parts, -1).isin(".", ".."), "/").otherwise("")
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(F.array_join(taken, "/"), folder)).otherwise(path)
+
+
 def resource_of(url: Column) -> Column:
-    """What a URL names: host, path and query. Scheme and fragment do not count; null without a host."""
-    named = F.concat(host_of(url), F.when(path_of(url) == "", "/").otherwise(path_of(url)), _part(url, 3))
+    """What a URL names: host, path without dot steps, and query. Scheme and fragment do not count; null without a host."""
+    path = path_of(url)
+    named = F.concat(host_of(url), F.when(path == "", "/").otherwise(without_dots(path)), _part(url, 3))
     return F.when(host_of(url) != "", named)
 
 
+def attribute(tag: Column, name: str) -> Column:
+    """The value of an attribute, quoted or not, with entities read; empty if the tag has none."""
+    pattern = _ATTRIBUTE % name
+    value = F.concat(*(F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)))
+    for character, written in _ENTITIES:
+        value = F.regexp_replace(value, written, character)
+    return F.trim(value)
+
+
 def rules_frame(spark: SparkSession, rules=RULES) -> DataFrame:
     return spark.createDataFrame(list(rules), "action string, rule_host string, rule_path string")
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """Redirects by meta refresh and canonical links of pages: columns from_url, to_url."""
-    targets = F.array(F.regexp_extract(F.regexp_extract("html", _CANONICAL, 1), _HREF, 1), F.regexp_extract("html", _REFRESH, 1))
+    """Redirects by meta refresh and canonical links of pages: columns from_url, to_url.
+
+    Every such tag of a page is an edge, the second refresh and the second canonical link too. Attributes may
+    stand in any order, quoted or not; `rel` may list other words besides `canonical`. Entities that URLs use
+    are read, and a target is resolved against the page's URL: `//host`, `/path`, `?query`, `#fragment` (the page
+    itself) and relative paths. A `base` tag is not looked at.
+    """
     marked = F.lower("html").contains("canonical") | F.lower("html").contains("refresh")
-    found = pages.where(marked).select(F.col("url").alias("from_url"), F.explode(targets).alias("to")).where("`to` <> ''")
+    tags = pages.where(marked).select(F.col("url").alias("from_url"), F.explode(F.regexp_extract_all("html", F.lit(_TAG), F.lit(0))).alias("tag"))
+    tag = F.col("tag")
+    canonical = F.lower(tag).startswith("<link") & F.array_contains(F.split(F.lower(attribute(tag, "rel")), r"\s+"), "canonical")
+    refresh = F.lower(tag).startswith("<meta") & (F.lower(attribute(tag, "http-equiv")) == "refresh")
+    target = F.when(canonical, attribute(tag, "href")).when(refresh, F.trim(F.regexp_extract(attribute(tag, "content"), _REFRESH_TARGET, 1)))
+    found = tags.select("from_url", target.alias("to")).where("`to` <> ''")
     scheme, origin = F.regexp_extract("from_url", "(?s)^(.*?:)//", 1), F.regexp_extract("from_url", r"(?s)^(.*?://[^/?#]*)", 1)
+    page = F.regexp_extract("from_url", r"(?s)^(.*?://[^?#]*)", 1)
     folder = F.regexp_extract("from_url", r"(?s)^(.*?://[^/?#]*(?:/[^?#]*/|/)?)", 1)
     absolute = (
         F.when(F.col("to").startswith("//"), F.concat(scheme, "to"))
         .when(F.col("to").startswith("/"), F.concat(origin, "to"))
+        .when(F.col("to").startswith("?"), F.concat(page, "to"))
+        .when(F.col("to").startswith("#"), F.col("from_url"))
         .when(F.col("to").rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.col("to"))
         .otherwise(F.concat(F.rtrim(folder, F.lit("/")), F.lit("/"), "to"))
     )
@@ -125,28 +167,54 @@ SQL = r"""
 WITH RECURSIVE rules(action, rule_host, rule_path) AS (
   VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
 ), parts AS (
-  SELECT page_id, url, html,
-         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path,
-         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?', 3), '') AS query
-  FROM pages
+  SELECT page_id, url, html, translate(split_part(split_part(split_part(rest, '/', 1), '?', 1), '#', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         split_part(split_part(rest, '#', 1), '?', 1) AS named, named[instr(named || '/', '/'):] AS path, split_part(rest, '#', 1)[length(named) + 1:] AS query
+  FROM (SELECT *, CASE WHEN instr(url, '://') > 0 THEN url[instr(url, '://') + 3:] ELSE '' END AS rest FROM pages)
+), tags AS (
+  SELECT url, host, path, query, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)[\s/](?:[^>"'']|"[^"]*"|''[^'']*'')*>')) AS tag FROM parts WHERE host <> ''
+), attributes AS (
+  SELECT *, list_transform(regexp_extract_all(tag, '(?is)[\s"''/][a-z-]+\s*=\s*(?:"[^"]*"|''[^'']*''|[^\s"''>]+)'),
+         lambda a: struct_pack(k := lower(regexp_replace(split_part(a[2:], '=', 1), '\s', '', 'g')), v := trim(regexp_replace(a[instr(a, '=') + 1:], '^\s*', ''), '"'''))) AS given
+  FROM tags
+), told AS (
+  SELECT url, host, path, query, lower(tag[2:5]) AS name, list_filter(given, lambda g: g.k = 'rel')[1].v AS rel, list_filter(given, lambda g: g.k = 'href')[1].v AS href,
+         list_filter(given, lambda g: g.k = 'http-equiv')[1].v AS equiv, list_filter(given, lambda g: g.k = 'content')[1].v AS content
+  FROM attributes
+), written AS (
+  SELECT url, host, path, query,
+         CASE WHEN name = 'link' AND list_contains(string_split_regex(lower(trim(rel)), '\s+'), 'canonical') THEN href
+              WHEN name = 'meta' AND lower(trim(equiv)) = 'refresh' THEN regexp_extract(content, '(?is)^\s*[\d.]*\s*[;,]?\s*url\s*=\s*["'']?\s*([^"'']*)', 1) END AS target
+  FROM told
 ), targets AS (
-  SELECT page_id, url, host, path, query,
-         unnest([regexp_extract(regexp_extract(html, '(?is)(<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>)', 1), '(?is)\bhref\s*=\s*["'']?([^"''>\s]+)', 1),
-                 regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*\bcontent\s*=\s*["'']?\s*[\d.]*\s*[;,]\s*url\s*=\s*["'']?([^"''>\s]+)', 1)]) AS target
-  FROM parts
+  SELECT host, path, query, trim(replace(replace(replace(replace(target, '&#x2F;', '/'), '&#47;', '/'), '&#38;', '&'), '&amp;', '&')) AS target FROM written WHERE target <> ''
 ), absolute AS (
-  SELECT host || CASE WHEN path = '' THEN '/' ELSE path END || query AS a,
-         CASE WHEN target LIKE '//%' THEN 'x:' || target
-              WHEN target LIKE '/%' THEN 'x://' || host || target
-              WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN target
-              ELSE rtrim(regexp_extract(url, '(?s)^(.*?://[^/?#]*(?:/[^?#]*/|/)?)', 1), '/') || '/' || target END AS to_url
-  FROM targets WHERE target <> '' AND host <> ''
+  SELECT row_number() OVER () AS k, host, path, query,
+         CASE WHEN target LIKE '//%' THEN target[3:]
+              WHEN target LIKE '/%' THEN host || target
+              WHEN target LIKE '?%' THEN host || path || target
+              WHEN target LIKE '#%' THEN host || path || query
+              WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN target[instr(target, '://') + 3:]
+              WHEN regexp_matches(target, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN ''
+              ELSE host || regexp_replace(CASE WHEN path = '' THEN '/' ELSE path END, '[^/]*$', '') || target END AS rest
+  FROM targets
+), ends AS (
+  SELECT k, 'a' AS side, host, path, query FROM absolute
+  UNION ALL
+  SELECT k, 'b', translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), regexp_extract(rest, '^[^?#]*(\?[^#]*)?', 1) FROM absolute
+), page_ends AS (
+  SELECT k, side, host, path, query FROM ends WHERE host <> ''
+  UNION ALL SELECT DISTINCT NULL::BIGINT, 'p', host, path, query FROM parts WHERE host <> ''
+), plain AS (
+  SELECT k, side, host, path AS raw_path, query,
+         host || CASE WHEN path = '' THEN '/'
+              WHEN NOT regexp_matches(path, '/\.\.?(/|$)') THEN path
+              ELSE array_to_string(list_reduce(list_prepend([''], list_transform(string_split(path, '/')[2:], lambda p: [p])),
+                     lambda held, p: CASE p[1] WHEN '.' THEN held WHEN '..' THEN held[:greatest(len(held) - 1, 1)] ELSE list_concat(held, p) END), '/')
+                   || CASE WHEN regexp_matches(path, '/\.\.?$') THEN '/' ELSE '' END END || query AS node
+  FROM page_ends
 ), linked AS (
-  SELECT a, translate(regexp_extract(to_url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
-            || CASE WHEN regexp_extract(to_url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2) = '' THEN '/' ELSE regexp_extract(to_url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2) END
-            || coalesce(regexp_extract(to_url, '(?s)^.*?://([^/?#]*)([^?#]*)(\?[^#]*)?', 3), '') AS b
-  FROM absolute WHERE regexp_extract(to_url, '(?s)^.*?://([^/?#]*)', 1) <> ''
+  SELECT x.node AS a, y.node AS b FROM plain x JOIN plain y ON x.k = y.k AND x.side = 'a' AND y.side = 'b'
 ), edges AS (
   SELECT a, b FROM linked WHERE a <> b UNION SELECT b, a FROM linked WHERE a <> b
 ), reach(node, other) AS (
@@ -168,5 +236,6 @@ WITH RECURSIVE rules(action, rule_host, rule_path) AS (
 SELECT p.page_id, p.host, p.path, j.rule, coalesce(j.action, i.verdict, 'allow') AS verdict,
        CASE WHEN j.rule IS NOT NULL THEN 'rule' WHEN i.verdict IS NOT NULL THEN 'alias' ELSE 'default' END AS reason
 FROM parts p LEFT JOIN judged j ON p.host = j.host AND p.path = j.path
-LEFT JOIN inherited i ON p.host <> '' AND i.node = p.host || CASE WHEN p.path = '' THEN '/' ELSE p.path END || p.query
+LEFT JOIN plain n ON n.side = 'p' AND n.host = p.host AND n.raw_path = p.path AND n.query = p.query
+LEFT JOIN inherited i ON i.node = n.node
 """

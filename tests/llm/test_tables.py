@@ -5,6 +5,7 @@ from collections import defaultdict
 import pytest
 from compare import connect, differences
 from conftest import SF_DIR, make
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from indexloom.llm import mixing, queries, url_filter
@@ -93,6 +94,44 @@ def test_urls(spark, con):
     assert found[9] == found[10] == (None, "allow", "default") and found[15] == ("org/", "allow", "rule")
 
 
+# Pages whose only tie to a blocked page is a tag written in some way, and pages that nothing ties.
+ALIASES = [
+    ("http://g1.net/a", '<meta content="0; url=http://z.com/de/1" http-equiv="Refresh">'),
+    ("http://g2.net/a", "<LINK HREF=http://z.com/de/2 title='a > b' REL='alternate canonical'>"),
+    ("http://g3.net/a", '<link rel=canonical href="http://z.com/de/3?x=1&amp;y=2">'),
+    ("http://g4.net/a", '<meta http-equiv="refresh" content="9"><meta http-equiv=refresh content="1;url=/b"><meta http-equiv=refresh content="2,URL=\'http://z.com/de/4\'">'),
+    ("http://g5.net/a", '<link rel="canonical" href="/other"><link rel="canonical" href="http://z.com/de/x/../5">'),
+    ("http://z.com/m/n/6?q", '<link rel="canonical" href="../../de/./6">'),
+    ("http://z.com/de2/7", '<link data-href="http://a.org/" rel="canonical" href="//Z.com&#x2F;de/7#f">'),
+    ("http://g8.net/a?p=1", '<link rel="canonical" href="?p=2">'), ("http://g8.net/a?p=2", '<link rel="canonical" href="http://z.com/de/8">'),
+    ("http://g9.net", "<link rel='canonical' href='x'>"), ("http://g9.net/x", '<meta http-equiv="refresh" content="0;url=http://z.com/de/9">'),
+    ("http://g10.net/a/../b", '<link rel="canonical" href="http://z.com/de/10">'), ("http://g10.net/c", "<link rel=canonical href=./b/.>"), ("http://g10.net/b/", '<link rel=canonical href="/b">'),
+]
+FREE = [
+    ("http://h1.net/a", '<link rel="noncanonical" href="http://z.com/de/1">'), ("http://h2.net/a", '<meta http-equiv="refresh" content="30">'),
+    ("http://h3.net/a", '<a rel="canonical" href="http://z.com/de/3">'), ("http://h4.net/a", "<link rel=canonical href=#top>"), ("http://h5.net/a", '<link rel="canonical" href="mailto:x">'),
+    ("http://h6.net/a", "canonical"), ("http://h7.net/a", '<link rel="canonical" href="">'), ("http://h8.net/a", '<link rel="canonical" data-href="http://z.com/de/1">'),
+]
+
+
+def test_aliases_however_the_tag_is_written(spark, con):
+    tied = [(i, *p) for i, p in enumerate(ALIASES + FREE)]
+    pages = spark.createDataFrame(tied, "page_id long, url string, html string")
+
+    def query(s, d):
+        return url_filter.filter_urls(pages, url_filter.rules_frame(spark), url_filter.page_links(pages))
+
+    con.register("tied_pages", pages.toPandas())
+    found = {r.page_id: (r.verdict, r.reason) for r in query(spark, "").collect()}
+    assert {i: f for i, f in found.items() if f != ("block", "alias")} == {i: ("allow", "default") for i in range(len(ALIASES), len(tied))}
+    assert differences(spark, con, query, url_filter.SQL.replace("FROM pages", "FROM tied_pages"), SF_DIR) == []
+
+
+@pytest.mark.parametrize("path, plain", [("/a/./b", "/a/b"), ("/a/../../b", "/b"), ("/a/b/..", "/a/"), ("/..", "/"), ("/a/.", "/a/"), ("/a..b/...", "/a..b/..."), ("/", "/"), ("/a//../b", "/a/b")])
+def test_dot_steps(spark, path, plain):
+    assert spark.createDataFrame([(path,)], "p string").select(url_filter.without_dots(F.col("p"))).first()[0] == plain
+
+
 def test_urls_of_no_pages(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert url_filter.filter_urls(pages, url_filter.rules_frame(spark), url_filter.page_links(pages)).count() == 0
