@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from indexloom.session import stage
 
-ROW_KEY = "__row_key"
 # Rows of an Arrow batch. Whole texts can be long, and a batch is held by the JVM and by Python at once.
 BATCH_ROWS = 1000
 SPACE = np.zeros(256, bool)
@@ -31,18 +30,26 @@ def for_tasks(docs: DataFrame) -> DataFrame:
     return docs
 
 
+def row_key(docs: DataFrame) -> str:
+    """A name for the key of `keyed` that no column of `docs` has."""
+    name = "__row_key"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    """The rows of `docs`, written, with a number of their own in the column ROW_KEY.
+    """The rows of `docs`, written, with a number of their own in the column `row_key(docs)`.
 
     The number is made while the rows are written, so all that read them see the same one. It tells
     rows apart whose ids are missing or repeated, and exact copies.
     """
-    return stage(docs.withColumn(ROW_KEY, F.monotonically_increasing_id()))
+    return stage(docs.withColumn(row_key(docs), F.monotonically_increasing_id()))
 
 
-def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+def without(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     """The rows of a `keyed` frame whose key is not in `gone`, with the columns they came with."""
-    return rows.join(gone.select(ROW_KEY), ROW_KEY, "left_anti").drop(ROW_KEY)
+    return rows.join(gone.select(key), key, "left_anti").drop(key)
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -226,12 +233,13 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def in_shards(docs: DataFrame, shard_bytes: int) -> DataFrame:
     """doc_id, text and shard: a number that deals documents into shards of about `shard_bytes` of text.
 
-    The shuffle by shard is the same wherever the frame is grouped within one query, so it is made once.
+    They are dealt by id and text, so rows without an id spread as well. The shuffle by shard is the same wherever the frame is
+    grouped within one query, so it is made once.
     """
     rows = for_tasks(docs).select("doc_id", "text")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(max(least, -(-total // shard_bytes)))))
+    return rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(least, -(-total // shard_bytes)))))
 
 
 def bucket_bits(docs: DataFrame) -> int:
@@ -249,6 +257,41 @@ def stretches(buckets: np.ndarray) -> tuple[list[int], list[int]]:
     return held.tolist(), [*opens.tolist(), len(buckets)]
 
 
+def merged(keys: np.ndarray, values: np.ndarray, others: np.ndarray, other_values: np.ndarray, combine) -> tuple[np.ndarray, np.ndarray]:
+    """Two runs of different keys in order as one; a key of both has its values combined. Places come from binary search."""
+    if not len(keys) or not len(others):
+        return (keys, values) if len(keys) else (others, other_values)
+    at = np.searchsorted(keys, others)
+    inside = np.minimum(at, len(keys) - 1)
+    same = keys[inside] == others
+    values = values.copy()
+    values[inside[same]] = combine(values[inside[same]], other_values[same])
+    place = at[~same] + np.arange(int((~same).sum()))
+    old = np.ones(len(keys) + len(place), bool)
+    old[place] = False
+    all_keys, all_values = np.empty(len(old), keys.dtype), np.empty(len(old), values.dtype)
+    all_keys[place], all_values[place] = others[~same], other_values[~same]
+    all_keys[old], all_values[old] = keys, values
+    return all_keys, all_values
+
+
+def merged_runs(runs: Iterable[tuple[np.ndarray, np.ndarray]], combine) -> tuple[np.ndarray, np.ndarray] | None:
+    """All runs as one, merged in pairs of about equal age, so that each key moves once per doubling."""
+    held: list[tuple[int, np.ndarray, np.ndarray]] = []
+    for keys, values in runs:
+        times = 0
+        while held and held[-1][0] == times:
+            _, earlier, earlier_values = held.pop()
+            keys, values = merged(earlier, earlier_values, keys, values, combine)
+            times += 1
+        held.append((times, keys, values))
+    while len(held) > 1:
+        _, keys, values = held.pop()
+        times, earlier, earlier_values = held.pop()
+        held.append((times, *merged(earlier, earlier_values, keys, values, combine)))
+    return held[0][1:] if held else None
+
+
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """The least of each `width` neighbouring values."""
     done = 1

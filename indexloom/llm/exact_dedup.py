@@ -74,13 +74,9 @@ class CountingQuotientFilter:
 
 
 def merge_filters(filters: list[CountingQuotientFilter], of_range: int, range_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Different fingerprints and their summed counts, by merging the filters' ordered remainders."""
-    prints = np.concatenate([f.fingerprints(of_range, range_bits) for f in filters])
-    counts = np.concatenate([f.counts for f in filters])
-    order = np.argsort(prints, kind="stable")
-    prints, counts = prints[order], counts[order]
-    firsts = np.flatnonzero(np.concatenate([[True], prints[1:] != prints[:-1]]))
-    return prints[firsts], np.add.reduceat(counts, firsts)
+    """Different fingerprints and their summed counts. The remainders of each filter are in order already and are merged, not sorted."""
+    found = blocks.merged_runs(((f.fingerprints(of_range, range_bits), f.counts) for f in filters), np.add)
+    return found if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
 
 
 def normalised(text: str | None) -> bytes:
@@ -186,10 +182,10 @@ def without_duplicates(docs: DataFrame) -> DataFrame:
 
     It is the row that `exact_duplicates` keeps; of rows that repeat both doc_id and text, one.
     """
-    rows = blocks.keyed(docs)
+    rows, key = blocks.keyed(docs), blocks.row_key(docs)
     # The key tells the rows apart and comes last, so it only decides between rows of one doc_id.
-    named = rows.select(F.struct("doc_id", blocks.ROW_KEY).alias("doc_id"), "text")
-    return blocks.without(rows, exact_duplicates(named).where(~F.col("kept")).select(f"doc_id.{blocks.ROW_KEY}"))
+    named = rows.select(F.struct("doc_id", key).alias("doc_id"), "text")
+    return blocks.without(rows, exact_duplicates(named).where(~F.col("kept")).select(f"doc_id.{key}"), key)
 
 
 SQL = """

@@ -339,11 +339,11 @@ def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -
     Rows are told apart by a key of their own: a null doc_id is the smallest, and of a group's rows with
     the same doc_id one stays. Texts without words are in no group, so all their rows stay.
     """
-    rows = blocks.keyed(docs)
-    key = F.col(blocks.ROW_KEY)
+    rows, name = blocks.keyed(docs), blocks.row_key(docs)
+    key = F.col(name)
     linked = linked_documents(rows.select(key.alias("doc_id"), "text"), size, percent)
-    linked = stage(linked.select(F.col("doc_id").alias(blocks.ROW_KEY), "component_id"))
-    first = F.min(F.struct("doc_id", blocks.ROW_KEY)).alias("first")
-    several = linked.join(rows.select(blocks.ROW_KEY, "doc_id"), blocks.ROW_KEY).groupBy("component_id").agg(F.count(F.lit(1)).alias("n"), first).where("n > 1")
-    gone = linked.join(several.select("component_id", F.col("first").getField(blocks.ROW_KEY).alias("stays")), "component_id").where(key != F.col("stays"))
-    return blocks.without(rows, gone)
+    linked = stage(linked.select(F.col("doc_id").alias(name), "component_id"))
+    first = F.min(F.struct("doc_id", name)).alias("first")
+    several = linked.join(rows.select(name, "doc_id"), name).groupBy("component_id").agg(F.count(F.lit(1)).alias("n"), first).where("n > 1")
+    gone = linked.join(several.select("component_id", F.col("first").getField(name).alias("stays")), "component_id").where(key != F.col("stays"))
+    return blocks.without(rows, gone, name)

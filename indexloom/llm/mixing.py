@@ -100,9 +100,11 @@ def _thresholds(sized: DataFrame, weights: Sequence[int], max_repeats: int, key_
     )
 
 
-def _repeats(key: Column) -> Column:
-    once_more = (key < F.col("bound")) | ((key == F.col("bound")) & F.col("with_bound"))
-    return F.col("whole") + F.coalesce(once_more, F.lit(False)).cast("long")
+def _repeats(key: Column, of: str = "") -> Column:
+    """How often a document enters; `of` names the side of a join that the threshold is on."""
+    bound, with_bound, whole = (F.col(of + c) for c in ("bound", "with_bound", "whole"))
+    once_more = (key < bound) | ((key == bound) & with_bound)
+    return whole + F.coalesce(once_more, F.lit(False)).cast("long")
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
@@ -142,7 +144,7 @@ def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repea
     by_source = _thresholds(sized, weights, max_repeats, 2 * KEY_DIGITS).alias("t")
     row = F.struct(*[F.col(f"d.`{c}`") for c in docs.columns])
     key = F.concat(_hash(F.col("d.doc_id")), _hash(F.col("d.text")))
-    copies = F.when(F.col("t.source_size") == 0, F.lit(1)).otherwise(_repeats(key)).cast("int")
+    copies = F.when(F.col("t.source_size") == 0, F.lit(1)).otherwise(_repeats(key, "t.")).cast("int")
     entered = docs.alias("d").join(by_source, F.col("d.source").eqNullSafe(F.col("t.s")))
     return entered.select(F.explode(F.array_repeat(row, copies)).alias("row")).select("row.*")
 

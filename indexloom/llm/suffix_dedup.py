@@ -192,14 +192,7 @@ def least_owners(
         return np.zeros(0, np.int64)
     if len(arrays) == 1:
         return arrays[0].owners[arrays[0].group]
-    keys, least = arrays[0].keys(), arrays[0].owners
-    for other in arrays[1:]:
-        others = other.keys()
-        at = np.searchsorted(keys, others)
-        inside = np.minimum(at, len(keys) - 1)
-        same = keys[inside] == others
-        least[inside[same]] = np.minimum(least[inside[same]], other.owners[same])
-        keys, least = np.insert(keys, at[~same], others[~same]), np.insert(least, at[~same], other.owners[~same])
+    keys, least = blocks.merged_runs(((a.keys(), a.owners) for a in arrays), np.minimum)
     return np.concatenate([least[np.searchsorted(keys, a.keys())][a.group] for a in arrays])
 
 

@@ -13,12 +13,12 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
     T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()),
-    *[T.StructField(c, T.StringType()) for c in ("shard", "bucket", "print", "size", "__id", "copies", "ids", "row")],
+    *[T.StructField(c, T.StringType()) for c in ("shard", "bucket", "print", "size", "__id", "copies", "ids", "row", "bound", "whole", "with_bound", "__row_key", "blob", "words", "runs")],
 ])
 
 
 def make(spark, rows):
-    return spark.createDataFrame([(*r, None if r[1] is None else len(r[1]), *["x"] * 8) for r in rows], SCHEMA)
+    return spark.createDataFrame([(*r, None if r[1] is None else len(r[1]), *["x"] * 15) for r in rows], SCHEMA)
 
 
 def odd_rows():
