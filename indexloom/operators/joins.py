@@ -37,6 +37,8 @@ def hot_keys(df: DataFrame, on: Sequence[str]) -> list[Row]:
     counts = df.select(*on).observe(seen, F.count(F.lit(1)).alias("total")).groupBy(*on).agg(F.count(F.lit(1)).alias("__rows"))
     # The total is counted on the way, so the keys are counted once; the largest are as many as could qualify.
     largest = counts.orderBy(F.desc("__rows")).limit(partitions).collect()
+    if not largest:
+        return []
     total = seen.get["total"]
     return [Row(**{k: r[k] for k in on}, __pieces=-(-r["__rows"] * partitions // total)) for r in largest if r["__rows"] * partitions > total]
 
@@ -114,3 +116,57 @@ def full_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame
     for one, other in ((left, right), (right, left)):
         found = found.unionByName(key_join(one, other, on, "left_anti"), allowMissingColumns=True)
     return found
+
+
+# Bits that keys are hashed to: 8 MB as bitmaps, whatever the tables hold.
+KEY_BITS = 1 << 26
+_BITMAP = 1 << 15
+
+
+def key_bitmaps(df: DataFrame, on: Sequence[str], bits: int = KEY_BITS) -> DataFrame:
+    """Which hashes the keys of a table have: bitmaps of 4 KB, at most bits / 32768 rows. Full keys only."""
+    place = _hashed_place(on, bits)
+    full = df.where(F.concat(*[F.col(k).cast("string") for k in on]).isNotNull())
+    return full.groupBy(F.bitmap_bucket_number(place).alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("__bitmap"))
+
+
+def _hashed_place(on: Sequence[str], bits: int) -> Column:
+    """From 1 on, as buckets are numbered."""
+    return F.pmod(F.xxhash64(*on), F.lit(bits)) + 1
+
+
+def with_possible_match(df: DataFrame, bitmaps: DataFrame, on: Sequence[str], bits: int = KEY_BITS) -> DataFrame:
+    """Adds `__may`: false for rows whose key is not among those of `key_bitmaps`, or not whole; true for all others and a few more."""
+    place = _hashed_place(on, bits)
+    within = F.bitmap_bit_position(place)
+    # The bitmaps are bounded by `bits`, whatever the table they were made of.
+    placed = df.withColumn("__bucket", F.bitmap_bucket_number(place)).join(F.broadcast(bitmaps), "__bucket", "left")
+    byte = F.conv(F.hex(F.substring("__bitmap", (F.floor(within / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    whole = F.concat(*[F.col(k).cast("string") for k in on]).isNotNull()
+    may = whole & (F.bit_get(byte, (within % 8).cast("int")) == 1)
+    return placed.withColumn("__may", F.coalesce(may, F.lit(False))).drop("__bucket", "__bitmap")
+
+
+def sparse_join(left: DataFrame, right: DataFrame, on: Sequence[str], salt: Column | str | None = None) -> DataFrame:
+    """Left join of a large table to one that lists few of its keys; the same rows as `key_join`.
+
+    Where the right side is too large to broadcast, its keys are still small as a bitmap of their hashes. Left rows that
+    the bitmap rules out get nulls and are not shuffled; only the others meet the right side. The left side is read
+    twice for that, so a frame that is not a table is written first. Where the bitmap rules out less than half of the rows, which
+    one look at the keys tells, reading twice costs more than it saves, and all rows are joined.
+    """
+    on = list(on)
+    if not fits_broadcast(right) and not is_scan(right):
+        right = stage(right)
+    if fits_broadcast(right):
+        return left.join(right, on, "left")
+    left = left if is_scan(left) else stage(left)
+    bitmaps = stage(key_bitmaps(right, on))
+    possible = with_possible_match(left.select(*on), bitmaps, on).agg(F.avg(F.col("__may").cast("int"))).first()[0]
+    if possible is None or possible > 0.5:
+        return key_join(left, right, on, "left", salt)
+    told = with_possible_match(left, bitmaps, on)
+    found = key_join(told.where("__may").drop("__may"), right, on, "left", salt)
+    types = {f.name: f.dataType for f in found.schema}
+    nothing = told.where(~F.col("__may")).select(*[F.col(c) if c in left.columns else F.lit(None).cast(types[c]).alias(c) for c in found.columns])
+    return found.unionByName(nothing)

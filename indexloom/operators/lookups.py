@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from indexloom.operators.joins import key_join
+from indexloom.operators.joins import key_join, sparse_join
 
 MISSING = "Missing"
 
@@ -77,8 +77,11 @@ def audit_columns(rules: Sequence[StatusRule], target: str = "status") -> list[s
 
 
 def regulated_lookup(df: DataFrame, lookup: DataFrame, on: Sequence[str], take: Sequence[str], salt: Column | str | None = None) -> DataFrame:
-    """Left lookup on several keys. A key listed twice in the lookup doubles its rows; see `duplicate_keys`."""
-    return key_join(df, lookup.select(*on, *take), on, "left", salt)
+    """Left lookup on several keys. A key listed twice in the lookup doubles its rows; see `duplicate_keys`.
+
+    Most sales are in no such lookup, so those that cannot match are told from a bitmap of its keys and not shuffled.
+    """
+    return sparse_join(df, lookup.select(*on, *take), on, salt)
 
 
 def duplicate_keys(lookup: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indexloom.functions import null_if_zero, pct_change
@@ -100,10 +100,9 @@ def combine_price_tables(tables: Sequence[DataFrame], keys: Sequence[str]) -> Da
     )
     entries = [F.count_if(F.col("_table") == i) for i in range(len(tables))]
     sums = tagged.groupBy(*keys).agg(*[F.max(c).alias(c) for c in names], F.greatest(*entries, F.lit(0)).alias("_entries"))
-    seen = Observation()
-    summed = stage(sums.observe(seen, F.max("_entries").alias("most")))
+    summed = stage(sums)
     once = summed.where("_entries = 1").select(*keys, *names)
-    if (seen.get["most"] or 0) <= 1:
+    if summed.where("_entries > 1").isEmpty():
         return once
     several = stage(summed.where("_entries > 1").select(*keys))
     listed = [key_join(t, several, keys, "left_semi") for t in tables]

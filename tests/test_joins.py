@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from indexloom.operators.joins import full_join, hot_keys, key_join
+from indexloom.operators.joins import full_join, hot_keys, key_bitmaps, key_join, sparse_join, with_possible_match
 
 
 def brute_force(left, right, how):
@@ -98,3 +98,26 @@ def test_full_join_of_hot_keys(without_broadcast):
     a, b = spark.createDataFrame(left, "k int, x int"), spark.createDataFrame(right, "k int, y int")
     expected = Counter(map(tuple, a.join(b, ["k"], "full").collect()))
     assert Counter(map(tuple, full_join(a, b, ["k"]).collect())) == expected
+
+
+def test_sparse_join_equals_a_left_join(without_broadcast):
+    """Keys of two columns, null in either, hot, listed twice, and in few rows only."""
+    spark = without_broadcast
+    left = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 11 <> 1 THEN id END AS a", "CASE WHEN id % 13 <> 5 THEN cast(id % 5 AS string) END AS b", "id AS row")
+    right = spark.createDataFrame([(7, "1", "x"), (7, "1", "y"), (10, "0", "z"), (None, "1", "n"), (9999, "4", "far"), (20, None, "n")], "a long, b string, c string")
+    expected = left.join(right, ["a", "b"], "left")
+    found = sparse_join(left, right, ["a", "b"], "row")
+    assert found.schema.simpleString() == expected.schema.simpleString()
+    assert Counter(map(tuple, found.collect())) == Counter(map(tuple, expected.collect()))
+    nothing = sparse_join(left, right.limit(0), ["a", "b"], "row")
+    assert Counter(map(tuple, nothing.collect())) == Counter((*r, None) for r in left.select("a", "b", "row").collect())
+
+
+@pytest.mark.parametrize("bits", [1 << 26, 1 << 15])
+def test_bitmaps_rule_out_no_match(spark, bits):
+    keys = spark.range(0, 4000, 5).withColumnRenamed("id", "k")
+    bitmaps = key_bitmaps(keys, ["k"], bits)
+    told = with_possible_match(spark.range(4000).withColumnRenamed("id", "k"), bitmaps, ["k"], bits).collect()
+    assert all(r["__may"] for r in told if r.k % 5 == 0)
+    assert sum(r["__may"] for r in told) <= 800 * (1.01 if bits > 1 << 15 else 1.2)
+    assert bitmaps.count() <= bits >> 15
