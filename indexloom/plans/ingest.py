@@ -61,7 +61,8 @@ def build_fact(
 
 
 def list_prices(lines: DataFrame, tickets: DataFrame) -> dict[str, DataFrame]:
-    """Prices of one feed: the table that is joined, and the duplicates to be looked at."""
+    """Prices of one feed: the table that is joined, and what is to be looked at: all flows and fares with their
+    products, duplicates with different fares, and lines that are none."""
     # Both are read more than once below; the text is read once for each, and written before lines are numbered.
     flows = positions.line_numbers(stage(feed.parse_flows(lines)), "flow_line")
     fares = positions.line_numbers(stage(feed.parse_fares(lines)), "fare_line")
@@ -73,6 +74,7 @@ def list_prices(lines: DataFrame, tickets: DataFrame) -> dict[str, DataFrame]:
     kept = stage(prices.keep_first(placed, [*FLOW_KEY, "ticket_code", "fare"], ["place"]).drop("place"))
     return {
         "prices": kept.select(*PRODUCT_KEY, F.col("fare").cast("double").alias("fare")),
+        "combined": kept.select(*FLOW_KEY, "carrier", "flow_id", "valid_from", "valid_until", "ticket_code", "fare", "product"),
         "conflicts": prices.conflicting_duplicates(kept, [*FLOW_KEY, "ticket_code"]),
         "rejects": feed.rejected_lines(lines),
     }
@@ -117,6 +119,17 @@ class Inputs:
     advance_current: str
     non_advance_base: str
     non_advance_current: str
+    # The regulated lookup of the year before, if the two are to be compared.
+    regulated_before: str | None = None
+
+
+def compare_regulated(spark: SparkSession, now: str, before: str, out: str, run_id: str) -> dict[str, DataFrame]:
+    """Entries of the regulated lookup that only its present or only its former version has."""
+    new, old = (delimited.read_regulated_lookup(spark, path) for path in (now, before))
+    return {
+        "regulated_only_new": tables.write_run(lookups.only_in(new, old, PRODUCT_KEY), out, "regulated_only_new", run_id),
+        "regulated_only_old": tables.write_run(lookups.only_in(old, new, PRODUCT_KEY), out, "regulated_only_old", run_id),
+    }
 
 
 def run(spark: SparkSession, inputs: Inputs, out: str, run_id: str, codes: Codes | None = None) -> dict[str, DataFrame]:
@@ -155,7 +168,11 @@ def run(spark: SparkSession, inputs: Inputs, out: str, run_id: str, codes: Codes
         "control_totals": save(rollups.control_totals(summed), "control_totals"),
         "revenue_by_product": save(rollups.revenue_by_product(summed), "revenue_by_product"),
         "revenue_by_segment": save(rollups.revenue_by_segment(summed), "revenue_by_segment"),
+        "season_by_sector_product": save(rollups.season_by_sector_product(summed), "season_by_sector_product"),
+        "product_check": save(rollups.product_od_sum(fact, fixed.CHECKED_PRODUCTS), "product_check"),
     }
+    if inputs.regulated_before:
+        written |= compare_regulated(spark, inputs.regulated, inputs.regulated_before, out, run_id)
 
     advance_prices = prices.combine_price_tables(
         [
@@ -171,7 +188,7 @@ def run(spark: SparkSession, inputs: Inputs, out: str, run_id: str, codes: Codes
     for name, path in ((LIST_BASE, inputs.feed_base), (LIST_CURRENT, inputs.feed_current)):
         found = list_prices(feed.read_feed(spark, path), tickets)
         listed[name] = save(found["prices"].withColumnRenamed("fare", name), name)
-        for review in ("conflicts", "rejects"):
+        for review in ("combined", "conflicts", "rejects"):
             written[f"{name}_{review}"] = save(found[review], f"{name}_{review}")
     price_table = stage(prices.combine_price_tables(
         [

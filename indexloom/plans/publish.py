@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 
 from indexloom.operators import series, usage
 from indexloom.plans import fixed_values as fixed
 from indexloom.session import tune
-from indexloom.sources import tables
+from indexloom.sources import delimited, tables
+
+# The load column of plain and of published tables.
+LOAD_COLUMNS = {False: "load_id", True: "Load_ID"}
 
 
 def next_series(last: DataFrame, report: DataFrame, keys: DataFrame, kind: series.SeriesKind, deflator: float, year: int | None = None) -> DataFrame:
@@ -49,7 +55,9 @@ def run(
     for kind in (series.BY_SECTOR, series.BY_TICKET_TYPE):
         table = tables.read_warehouse(spark, warehouse[kind.name], jdbc)
         plain = tables.plain_series(table, kind.name)
-        last = tables.latest_snapshot(plain) if load_id is None else tables.snapshot(plain, load_id)
+        # From Parquet, the names of the partitions say which load is the latest; no file is opened for it.
+        newest = tables.newest_load(spark, warehouse[kind.name], LOAD_COLUMNS[tables.is_published(table, kind.name)]) if load_id is None and not jdbc else load_id
+        last = tables.latest_snapshot(plain) if newest is None else tables.snapshot(plain, newest)
         if last.isEmpty():
             raise ValueError(f"{warehouse[kind.name]} has no load {load_id if load_id is not None else ''}")
         built = next_series(last, report, keys, kind, deflator, year)
@@ -57,6 +65,32 @@ def run(
             built = series.insert_revenue_per_journey(built, journey_changes(revenue, journeys))
         written[kind.name] = tables.write_run(built, out, f"series_{kind.name}", run_id)
         if load:
-            load_column = tables.published_series(plain.select("load_id"), kind.name).columns[0] if tables.is_published(table, kind.name) else "load_id"
-            tables.append_load(loadable(written[kind.name], table, kind.name), warehouse[kind.name], load_column)
+            tables.append_load(loadable(written[kind.name], table, kind.name), warehouse[kind.name], LOAD_COLUMNS[tables.is_published(table, kind.name)])
     return written
+
+
+@dataclass(frozen=True)
+class Sources:
+    """Where the inputs of stage 3 are: the folder of stage 2, the key lookup, the usage views, a warehouse table per series kind."""
+
+    stage2: str
+    series_keys: str
+    revenue: str
+    journeys: str
+    warehouse: Mapping[str, str]
+
+
+def run_from(
+    spark: SparkSession, sources: Sources, out: str, run_id: str, deflator: float, year: int | None = None, load: bool = True,
+    stage2_run: str | None = None, load_id: int | None = None, jdbc: dict[str, str] | None = None,
+) -> dict[str, DataFrame]:
+    """Stage 3 on files: the report of a completed run of stage 2 (by default the latest), lookup and usage views.
+
+    With `jdbc` options, the usage views and the warehouse tables are read from the database.
+    """
+    tune(spark)
+    stage2_run = tables.completed_run(spark, sources.stage2, stage2_run)
+    report = tables.read_run(spark, sources.stage2, "split_report", stage2_run)
+    revenue, journeys = (tables.read_usage(spark, view, jdbc) for view in (sources.revenue, sources.journeys))
+    keys = delimited.read_series_keys(spark, sources.series_keys)
+    return run(spark, dict(sources.warehouse), report, keys, revenue, journeys, out, run_id, deflator, year, load, load_id, jdbc)

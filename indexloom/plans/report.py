@@ -32,9 +32,11 @@ def run(
     fact = fact.select(*ingest.FACT_COLUMNS)
     reviewed = index.without_products(index.numeric_places(index.union_detail(advance, non_advance)), excluded_products)
     grid = tables.write_run(build_grid(advance, non_advance, fact, excluded_products), out, "cell_grid", run_id)
-    return {
+    written = {
         "season_rollup": tables.write_run(rollups.season_rollup(reviewed), out, "season_rollup", run_id),
         "season_unregulated": tables.write_run(rollups.season_unregulated(reviewed), out, "season_unregulated", run_id),
         "cell_grid": grid,
         "split_report": tables.write_run(index.split_report(grid), out, "split_report", run_id),
     }
+    tables.complete_run(spark, out, run_id)
+    return written

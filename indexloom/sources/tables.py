@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from datetime import datetime
 
@@ -26,6 +27,13 @@ SERIES_COLUMNS = {
 }
 
 
+# Columns of the usage views.
+USAGE_VIEW = {
+    "financial_year_key": "int", "year_and_quarter": "string", "Long-distance": "double", "London and South East": "double",
+    "Regional": "double", "Non-franchised": "double", "source_item_id": "int", "publication_status": "string",
+}
+
+
 def plain_series(df: DataFrame, kind: str) -> DataFrame:
     """A series table with plain column names; a table that has them already is left as it is."""
     return df.withColumnsRenamed(SERIES_COLUMNS[kind])
@@ -116,32 +124,96 @@ def latest_snapshot(table: DataFrame) -> DataFrame:
     return table.where(F.col("load_id") == max_load_id(table).scalar())
 
 
+def newest_load(spark: SparkSession, path: str, load_column: str = "load_id") -> int | None:
+    """Latest load id of a table partitioned by it, from the names of its files alone; None without a load."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    ids = files.select(F.regexp_extract("path", f"/{load_column}=(-?[0-9]+)/", 1).alias("id")).where("id <> ''")
+    return ids.agg(F.max(F.col("id").cast("int"))).first()[0]
+
+
+CLAIM_SECONDS = 30.0
+
+
+def _claims(spark: SparkSession, folder: str) -> tuple[set[str], set[str]]:
+    """Claims below a folder, and those that were withdrawn."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    rows = files.select(F.regexp_extract("path", "/(claim|withdrawn)=([0-9a-f]+)/", 1).alias("kind"), F.regexp_extract("path", "/(claim|withdrawn)=([0-9a-f]+)/", 2).alias("id")).distinct().collect()
+    return tuple({r["id"] for r in rows if r["kind"] == kind} for kind in ("claim", "withdrawn"))
+
+
+def claim(spark: SparkSession, folder: str, patience: float = CLAIM_SECONDS) -> bool:
+    """True for at most one of all callers that ever claim `folder`, whatever their timing.
+
+    Only written files are needed, no locks: a caller first writes its claim and then looks. One who sees no other claim wins, as
+    whoever comes later sees this one. Callers who see each other agree by their random ids: the larger ones
+    withdraw in writing, and the least wins as soon as all others have. A caller who died between
+    claim and load blocks the folder; the others give up after `patience` seconds.
+    """
+    me = uuid.uuid4().hex
+    note = spark.createDataFrame([(me,)], "id string").coalesce(1)
+    note.write.parquet(f"{folder}/claim={me}")
+    deadline = time.monotonic() + patience
+    while True:
+        claimed, withdrawn = _claims(spark, folder)
+        others = claimed - withdrawn - {me}
+        if not others:
+            return True
+        if me > min(others) or time.monotonic() > deadline:
+            note.write.parquet(f"{folder}/withdrawn={me}")
+            return False
+        time.sleep(0.2)
+
+
 def append_load(df: DataFrame, path: str, load_column: str = "load_id") -> None:
     """Append one load to the warehouse table, as the partition of its load id.
 
     A load id the table already holds is refused, and so is a load whose columns differ from the
-    table's in name or type, as both would leave nulls in the one or the other.
+    table's in name or type, as both would leave nulls in the one or the other. Of loaders that come at once
+    with one load id, one `claim` wins and the others are refused, so a partition never has two loads in it.
     """
     spark = df.sparkSession
     load_ids = [row[0] for row in df.select(load_column).distinct().limit(2).collect()]
     if len(load_ids) != 1:
         raise ValueError(f"expected one load id, found {load_ids}")
+    target = f"{path}/{load_column}={load_ids[0]}"
     try:
         existing = {f.name: f.dataType for f in spark.read.parquet(path).schema}
     except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
+        # An empty folder, or one with claims alone, has no schema to tell.
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         existing = None
     if existing is not None and existing != {f.name: f.dataType for f in df.schema}:
         raise ValueError(f"columns of the load, {df.schema.simpleString()}, differ from those of {path}: {existing}")
+    if existing is not None and has_load(spark, target):
+        raise ValueError(f"load {load_ids[0]} is already in {path}")
+    if not claim(spark, f"{path}/_claims/{load_column}={load_ids[0]}"):
+        raise ValueError(f"load {load_ids[0]} is being appended to {path} by another loader, or one that died left its claim in _claims")
     try:
-        df.drop(load_column).write.mode("errorifexists").parquet(f"{path}/{load_column}={load_ids[0]}")
+        df.drop(load_column).write.mode("errorifexists").parquet(target)
     except AnalysisException as e:
         if e.getCondition() == "PATH_ALREADY_EXISTS":
             raise ValueError(f"load {load_ids[0]} is already in {path}") from e
         raise
 
 
+def has_load(spark: SparkSession, target: str) -> bool:
+    """True if a partition folder is there."""
+    try:
+        spark.read.format("binaryFile").load(target)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
+def read_usage(spark: SparkSession, source: str, jdbc: dict[str, str] | None = None) -> DataFrame:
+    """A usage view with the columns the rollup needs, from Parquet or over JDBC; a missing one is an error."""
+    view = read_warehouse(spark, source, jdbc)
+    return view.select(*[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in USAGE_VIEW.items()])
+
+
 def read_warehouse(spark: SparkSession, source: str, jdbc: dict[str, str] | None = None) -> DataFrame:
     """The warehouse table from Parquet, or over JDBC where connection options are given."""
     if jdbc:

@@ -1,5 +1,6 @@
 import datetime as dt
 from decimal import Decimal
+from multiprocessing.pool import ThreadPool
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -251,3 +252,40 @@ def test_series_column_names(spark, kind, order):
     assert published.columns[6] == order and "Year & stats" in published.columns
     assert tables.plain_series(published, kind).schema == plain.schema
     assert tables.plain_series(plain, kind).schema == plain.schema
+
+
+def test_one_of_two_loaders_wins(spark, tmp_path):
+    """Loaders of one load id at once, from several threads; later ones are refused as well."""
+    path = str(tmp_path / "w")
+    loads = [spark.range(50).selectExpr("5 AS load_id", f"id + {1000 * i} AS value") for i in range(4)]
+
+    def append(df):
+        try:
+            tables.append_load(df, path)
+        except ValueError as e:
+            return str(e)
+
+    with ThreadPool(4) as pool:
+        told = pool.map(append, loads)
+    assert told.count(None) == 1
+    rows = [r["value"] for r in spark.read.parquet(path).collect()]
+    assert len(rows) == 50 and {v // 1000 for v in rows} == {told.index(None)}
+    with pytest.raises(ValueError, match="already"):
+        tables.append_load(loads[0], path)
+    tables.append_load(loads[0].withColumn("load_id", F.lit(12)), path)
+    assert tables.newest_load(spark, path) == 12 and spark.read.parquet(path).count() == 100
+
+
+def test_a_claim_of_a_dead_loader_is_told(spark, tmp_path):
+    path = str(tmp_path / "w")
+    assert tables.claim(spark, f"{path}/_claims/load_id=5")
+    assert not tables.claim(spark, f"{path}/_claims/load_id=5", patience=0.5)
+    with pytest.raises(ValueError, match="_claims"):
+        tables.append_load(spark.range(3).selectExpr("5 AS load_id", "id"), path)
+
+
+def test_the_newest_load_opens_no_table_file(spark, tmp_path):
+    for i in (2, 10, 9):
+        tables.append_load(spark.range(3).selectExpr(f"{i} AS load_id", "id"), str(tmp_path / "w"))
+    (tmp_path / "w" / "load_id=10" / "part-broken.parquet").write_bytes(b"no parquet at all")
+    assert tables.newest_load(spark, str(tmp_path / "w")) == 10
