@@ -1,13 +1,14 @@
 """All three stages on small files, with results worked by hand."""
 
 from collections import Counter
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from indexloom.operators import series
 from indexloom.plans import ingest, publish, report
-from indexloom.sources import tables
+from indexloom.sources import delimited, tables
 
 SALES = "carrier_toc_code,origin_code,destination_code,route_code,product_code,pro_group_1_code,adjusted_earnings,operating_journeys\n"
 PLACES = "Origin Code,Destination Code,Route Code"
@@ -195,3 +196,29 @@ def test_publish(spark, results, folders, published):
         publish.run(spark, warehouse, results["split_report"], keys, usage, usage, str(folders / f"out/stage3_{published}"), "r3", 2.5, 2019, load_id=9)
     again = publish.run(spark, warehouse, results["split_report"], keys, usage, usage, str(folders / f"out/stage3_{published}"), "r4", 2.5, 2019, load=False, load_id=4)
     assert again["ticket_type"].count() == written["ticket_type"].count()
+    # The same from files: the report of the latest completed run, the key lookup and the usage views.
+    files = folders / f"stage3_inputs_{published}"
+    names = {to: name for name, to in delimited.SERIES_KEY_HEADER.items()}
+    keys.withColumnsRenamed(names).write.option("header", True).csv(str(files / "keys"))
+    usage.withColumn("another", F.lit("x")).write.parquet(str(files / "usage"))
+    sources = publish.Sources(str(folders / "out/stage2"), str(files / "keys"), str(files / "usage"), str(files / "usage"), warehouse)
+    tables.write_run(results["split_report"].limit(0), str(folders / "out/stage2"), "split_report", f"r9_{published}")  # not completed, so not read
+    found = publish.run_from(spark, sources, str(folders / f"out/stage3_{published}"), "r5", 2.5, 2019, load=False, load_id=4)
+    for name, df in found.items():
+        assert Counter(map(tuple, df.collect())) == Counter(map(tuple, again[name].collect()))
+
+
+def test_reviews(results):
+    assert [tuple(r) for r in results["product_check"].collect()] == [("2BAF", "0001", "0002", Decimal(600000))]
+    assert {tuple(r) for r in results["season_by_sector_product"].collect()} == {("Lon SE", "2MTA", Decimal(1000)), ("Long D", "2MTC", Decimal(25))}
+    combined = results["list_base_combined"].orderBy("ticket_code").collect()
+    assert [(r.origin, r.flow_id, r.carrier, r.ticket_code, r.fare, r["product"]) for r in combined] == [
+        ("0001", "0000001", "ATO", "7DC", 2000, "2MTC"), ("0001", "0000001", "ATO", "7DS", 2000, "2MTA"),
+    ]
+
+
+def test_lookup_versions(spark, folders, tmp_path):
+    (tmp_path / "old.csv").write_text("orig,dest,route,ticketa,flaga,ticket,flag2\n1,2,0,x,x,2BAF,OLD\n9,9,0,x,x,2MTA,OLD\n")
+    found = ingest.compare_regulated(spark, str(folders / "regulated.csv"), str(tmp_path / "old.csv"), str(tmp_path / "out"), "r1")
+    assert found["regulated_only_new"].count() == 0
+    assert [(r.origin, r["product"]) for r in found["regulated_only_old"].collect()] == [("0009", "2MTA")]
