@@ -152,6 +152,18 @@ grid AS (
     ON p.sector = w.sector AND p.class = w.class AND p.category = w.category AND p.status = w.status
   WHERE total_weight IS NULL OR total_weight <> 0
 )"""
+
+
+def _cut_sum(value: str) -> str:
+    """A sum of doubles by whole numbers of four sizes, 24 bits apart, each summed exactly."""
+    rest, parts = f"(({value}) / 16777216.0::DOUBLE)", []
+    for unit in ("16777216.0::DOUBLE", "1.0::DOUBLE", "(1 / 16777216.0::DOUBLE)", "(1 / 281474976710656.0::DOUBLE)"):
+        parts.append(f"CAST(sum(CAST(trunc({rest}) AS BIGINT)) AS DOUBLE) * {unit}")
+        rest = f"(({rest} - trunc({rest})) * 16777216.0::DOUBLE)"
+    return f"((({parts[0]} + {parts[1]}) + {parts[2]}) + {parts[3]})"
+
+
+_EXACT_GRID = _GRID.replace("sum(CAST(weight AS DOUBLE) * change)", _cut_sum("CAST(weight AS DOUBLE) * change"))
 _FLOWS = """
 flows AS (
   SELECT o_orderkey, lpad(CAST(o_orderkey AS VARCHAR), 7, '0') AS flow_id, lpad(CAST(o_custkey AS VARCHAR), 4, '0') AS origin,
@@ -517,6 +529,7 @@ FROM filled WHERE weight > 50000"""),
 SELECT {_CELL}, CAST(priced_weight AS DOUBLE) AS priced_weight, CAST(total_weight AS DOUBLE) AS total_weight,
        round(weighted_change, 4) AS weighted_change, round(contribution, 0) AS contribution FROM grid"""),
         "split_report": _with(_TO_GRID, "\nUNION ALL\n".join(_split(name, keys, _CELL_LIST) for name, keys in _SPLITS)),
+        "cell_grid_exact": _with([*_TO_GRID[:-1], _EXACT_GRID], f"SELECT {_CELL}, weighted_change, contribution FROM grid"),
         "cell_grid_rows": _with(_TO_GRID, f"""
 SELECT {_CELL}, CAST(priced_weight AS DOUBLE) AS priced_weight, CAST(total_weight AS DOUBLE) AS total_weight,
        round(weighted_change, 4) AS weighted_change, round(contribution, 0) AS contribution FROM grid"""),

@@ -453,6 +453,12 @@ def cell_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _grid_columns(_grid(spark, sf_dir))
 
 
+@query
+def cell_grid_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes and contributions to the last bit: sums do not depend on the order of rows."""
+    return _grid(spark, sf_dir).select(*index.CELL, "weighted_change", "contribution")
+
+
 @query
 def cell_grid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cell grid without the cube: every sale is classified and priced as a row."""

@@ -10,6 +10,7 @@ from indexloom.functions.columns import (
     rolled_forward,
     zero_pad,
 )
+from indexloom.functions.sums import stable_sum
 
 __all__ = [
     "MONEY",
@@ -21,5 +22,6 @@ __all__ = [
     "pct_change",
     "real_change",
     "rolled_forward",
+    "stable_sum",
     "zero_pad",
 ]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from indexloom.functions import has_code
+from indexloom.functions import has_code, stable_sum
 from indexloom.operators.rollups import sum_by, with_keys
 
 CELL = ["sector", "class", "category", "status"]
@@ -65,7 +65,8 @@ def cell_grid(priced: DataFrame, fact_weights: DataFrame) -> DataFrame:
     """Weighted change per cell next to the full weight of the cell.
 
     Cells known to one side only are kept, with null for what the other side would give. Both sides
-    go through one grouped sum, which replaces a full outer join of two grouped results.
+    go through one grouped sum, which replaces a full outer join of two grouped results. The sum of the
+    double factors is a `stable_sum`, so the grid is the same however the rows are partitioned.
     """
     price_rows = with_keys(priced, CELL).select(
         *CELL,
@@ -77,7 +78,7 @@ def cell_grid(priced: DataFrame, fact_weights: DataFrame) -> DataFrame:
         price_rows.unionByName(weight_rows, allowMissingColumns=True)
         .groupBy(*CELL)
         .agg(
-            F.sum("factor").alias("factor"),
+            stable_sum("factor").alias("factor"),
             F.sum("priced_weight").alias("priced_weight"),
             F.sum("total_weight").alias("total_weight"),
         )
@@ -111,7 +112,7 @@ def split_report(grid: DataFrame, splits: Sequence[tuple[str, list[str]]] = SPLI
 
     sums = grid.groupingSets([list(k) for k in names_by_keys], *CELL).agg(
         F.grouping_id(*CELL).alias("_gid"),
-        F.coalesce(F.sum("contribution"), F.lit(0.0)).alias("_contribution"),
+        F.coalesce(stable_sum("contribution"), F.lit(0.0)).alias("_contribution"),
         F.sum("total_weight").alias("total_weight"),
     )
     names = F.lit(None).cast("array<string>")

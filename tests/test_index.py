@@ -1,7 +1,11 @@
+import math
+import random
 from decimal import Decimal
 
 import pytest
 
+
+from indexloom.functions import stable_sum
 from indexloom.operators import index, rollups
 
 CELL = "sector string, class string, category string, status string"
@@ -92,3 +96,29 @@ def test_price_side(spark):
 def test_rows_without_a_product_stay(spark):
     df = spark.createDataFrame([("1ADV",), (None,), ("2MTA",)], "product string")
     assert [r[0] for r in index.without_products(df, ["1ADV"]).collect()] == [None, "2MTA"]
+
+
+def test_sums_do_not_depend_on_partitions(spark):
+    """Weights and changes of very different sizes: the grid and its report are the same to the last bit."""
+    rng = random.Random(8)
+    cells = [(s, c, "anytime", "Regulated") for s in ("Long D", "Regional") for c in "12"]
+    rows = [(*rng.choice(cells), Decimal(rng.randrange(10**12)).scaleb(-2), rng.choice([1e-9, 1e-3, 1.0, 19.0]) * rng.uniform(-1, 1)) for _ in range(3000)]
+    schema = "sector string, class string, category string, status string, weight decimal(18,2), change double"
+    seen = set()
+    for n in (1, 7, 200):
+        priced = spark.createDataFrame(rows, schema).repartition(n)
+        grid = index.cell_grid(priced, priced.select(*index.CELL, "weight"))
+        told = sorted(map(tuple, grid.select(*index.CELL, "weighted_change", "contribution").collect()))
+        report = sorted((r.split, r.part, r.average_change) for r in index.split_report(grid).collect())
+        seen.add((tuple(told), tuple(report)))
+        rng.shuffle(rows)
+    assert len(seen) == 1
+    exact = {c: math.fsum(float(r[4]) * r[5] for r in rows if r[:4] == c) / float(sum(r[4] for r in rows if r[:4] == c)) for c in cells}
+    assert {t[:4]: pytest.approx(t[4], rel=1e-12) for t in told} == exact
+
+
+def test_stable_sum(spark):
+    df = spark.createDataFrame([(1, 0.1), (1, -0.3), (1, 1e17), (1, -1e17), (1, None), (2, None), (3, float("nan")), (4, 1e300), (4, 1.0), (5, -2.5), (5, 2.0**-47)], "k int, v double")
+    found = {r.k: r.s for r in df.groupBy("k").agg(stable_sum("v").alias("s")).collect()}
+    assert found[1] == pytest.approx(-0.2, abs=1e-14) and found[2] is None and math.isnan(found[3])
+    assert found[4] == 1e300 and found[5] == -2.5 + 2.0**-47
