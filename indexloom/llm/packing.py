@@ -18,7 +18,7 @@ from indexloom.session import stage
 SEQUENCE = 4096
 END_ID = 2
 # Text whose different words are encoded together, in bytes, and the words whose ids a process keeps.
-BLOCK_BYTES, KNOWN_WORDS = 1 << 20, 1 << 18
+BLOCK_BYTES, KNOWN_WORDS = 2 << 20, 1 << 20
 HASHED_DIMENSIONS, CURVE_DIMENSIONS, CURVE_BITS = 64, 3, 16
 
 
