@@ -583,6 +583,10 @@ SELECT l_linestatus AS carrier, CASE WHEN length(CAST(l_suppkey AS VARCHAR)) < 4
 FROM lines GROUP BY ALL"""),
         "feed_file_prices": _with([*_TO_FEED, _KEPT], "SELECT origin, destination, route, product, CAST(fare AS DOUBLE) AS fare FROM kept"),
         "regulated_lookup_file": _with([*_TO_SALES, _REGULATED], "SELECT origin, destination, route, product, flag2 FROM regulated"),
+        "corrected_extract": """
+SELECT l_linestatus AS carrier, '2AB' || l_returnflag AS product, l_returnflag AS product_group,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS weight, sum(l_quantity) AS journeys, count(*) AS n
+FROM lineitem WHERE l_orderkey % 5 <> 2 OR l_linenumber > 1 GROUP BY ALL""",
         "ticket_lookup_files": """
 SELECT CAST(l_partkey AS VARCHAR) AS ticket_code, l_orderkey || '-' || l_linenumber AS product
 FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey % 10 <> 0, l_orderkey, l_linenumber) = 1""",

@@ -77,7 +77,7 @@ def _first_filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 return
 
 
-def first_lines(spark: SparkSession, path: str) -> list[Row]:
+def first_lines(spark: SparkSession, path: str | list[str]) -> list[Row]:
     """The first line that is not blank of each file of a directory, or of one file: file, line (bytes), one row each.
 
     Files of some megabytes are scanned, many to a task, and the line with the least position kept. A larger
@@ -94,7 +94,7 @@ def first_lines(spark: SparkSession, path: str) -> list[Row]:
         return found + large.collect()
 
 
-def header_index(spark: SparkSession, path: str, encoding: str = "UTF-8") -> dict[tuple[str, ...], list[str]]:
+def header_index(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> dict[tuple[str, ...], list[str]]:
     """Files by header: the column names in order, and the paths of the files that have them so."""
     groups: dict[tuple[str, ...], list[str]] = {}
     for row in first_lines(spark, path):
@@ -103,16 +103,20 @@ def header_index(spark: SparkSession, path: str, encoding: str = "UTF-8") -> dic
     return {names: sorted(files) for names, files in sorted(groups.items())}
 
 
+def as_pattern(path: str) -> str:
+    """A path that means itself where patterns are allowed."""
+    return "".join(f"\\{c}" if c in "\\{},*?[]^" else c for c in path)
+
+
 def _glob(files: list[str]) -> str | None:
     """A pattern of the names of these files; None if they lie in several directories."""
     if len({f.rpartition("/")[0] for f in files}) > 1:
         return None
-    names = (f.rpartition("/")[2] for f in files)
-    return "{" + ",".join("".join(f"\\{c}" if c in "\\{},*?[]^" else c for c in name) for name in names) + "}"
+    return "{" + ",".join(as_pattern(f.rpartition("/")[2]) for f in files) + "}"
 
 
-def read_named_csv(spark: SparkSession, path: str, header: Mapping[str, str], encoding: str = "UTF-8", placed: bool = False) -> DataFrame:
-    """Read the named columns of one file, or of all files of a directory, as text; `placed` adds where a row stands.
+def read_named_csv(spark: SparkSession, path: str | list[str], header: Mapping[str, str], encoding: str = "UTF-8", placed: bool = False) -> DataFrame:
+    """Read the named columns of one file, of several, or of all files of a directory, as text; `placed` adds where a row stands.
 
     Files may carry other columns as well, and each may have its columns in an order of its own: files
     with the same header are read together, under the schema that the header gives (`header_index`). A file
@@ -133,7 +137,7 @@ def read_named_csv(spark: SparkSession, path: str, header: Mapping[str, str], en
             # The folder is listed as a whole; a list of many paths would cost a job.
             rows = reader.option("pathGlobFilter", glob).csv(path)
         else:
-            rows = reader.csv(files)
+            rows = reader.csv([as_pattern(f) for f in files])
         read.append(rows.select(*[F.col(f"`{name}`").alias(to) for name, to in header.items()], *(place_in_files() if placed else [])))
     return reduce(DataFrame.unionByName, read)
 
@@ -142,9 +146,9 @@ def padded_places(df: DataFrame) -> DataFrame:
     return df.withColumns({c: zero_pad(c, width) for c, width in PLACE_WIDTHS.items()})
 
 
-def read_sales(spark: SparkSession, path: str) -> DataFrame:
+def read_sales(spark: SparkSession, path: str | list[str], placed: bool = False) -> DataFrame:
     """All sales extracts of a directory as one frame; bad currency text fails the job."""
-    raw = read_named_csv(spark, path, SALES_HEADER, "windows-1252")
+    raw = read_named_csv(spark, path, SALES_HEADER, "windows-1252", placed)
     return padded_places(raw.withColumns({"weight": clean_money("weight"), "journeys": clean_count("journeys")}))
 
 

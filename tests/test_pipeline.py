@@ -1,13 +1,15 @@
 """All three stages on small files, with results worked by hand."""
 
+import os
 from collections import Counter
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from indexloom.operators import series
-from indexloom.plans import ingest, publish, report
+from indexloom.plans import increments, ingest, publish, report
 from indexloom.sources import delimited, tables
 
 SALES = "carrier_toc_code,origin_code,destination_code,route_code,product_code,pro_group_1_code,adjusted_earnings,operating_journeys\n"
@@ -222,3 +224,38 @@ def test_lookup_versions(spark, folders, tmp_path):
     found = ingest.compare_regulated(spark, str(folders / "regulated.csv"), str(tmp_path / "old.csv"), str(tmp_path / "out"), "r1")
     assert found["regulated_only_new"].count() == 0
     assert [(r.origin, r["product"]) for r in found["regulated_only_old"].collect()] == [("0009", "2MTA")]
+
+
+def test_a_corrected_extract_is_the_only_one_read(spark, folders, results, tmp_path):
+    """The reports of stage 1 from sums per extract; unchanged extracts are not opened again."""
+    sales = tmp_path / "sales"
+    sales.mkdir()
+    texts = {"one.csv": (folders / "sales/one.csv").read_bytes(), "odd {6} [a,b] é+%.csv": (folders / "sales/two.csv").read_bytes()}
+    for name, text in texts.items():
+        (sales / name).write_bytes(text)
+    lookups = str(folders / "regulated.csv"), str(folders / "categories.csv")
+
+    def reports(run_id):
+        return increments.run(spark, str(sales), *lookups, str(tmp_path / "store"), str(tmp_path / "out"), run_id)
+
+    first = reports("r1")
+    for name in ("control_totals", "revenue_by_product", "revenue_by_segment", "season_by_sector_product"):
+        assert Counter(map(tuple, first[name].collect())) == Counter(map(tuple, results[name].collect())), name
+    # One extract is corrected; of the other only its size and time are as they were, so reading it would fail.
+    kept = sales / "odd {6} [a,b] é+%.csv"
+    at = kept.stat()
+    kept.write_bytes(b"?" * at.st_size)
+    os.utime(kept, ns=(at.st_atime_ns, at.st_mtime_ns))
+    (sales / "one.csv").write_bytes(texts["one.csv"].replace(b"1,000.00", b"1,500.00"))
+    (sales / "three.csv").write_bytes((SALES + "ES,1,2,0,2BAF,PG01,7,1\n").encode())
+    totals = {r.carrier: r.weight for r in reports("r2")["control_totals"].collect()}
+    before = {r.carrier: r.weight for r in first["control_totals"].collect()}
+    assert totals == before | {"EK": before["EK"] + 500, "ES": 7}
+    # One that is gone drops out; the former version of another comes back without being read, as its sums are still there.
+    (sales / "three.csv").unlink()
+    assert {r.carrier: r.weight for r in reports("r3")["control_totals"].collect()} == before | {"EK": before["EK"] + 500}
+    # A lookup that changed makes all of them new.
+    changed = tmp_path / "regulated.csv"
+    changed.write_text((folders / "regulated.csv").read_text().replace("SWT", "XXX"))
+    with pytest.raises(AnalysisException, match="carrier_toc_code"):
+        increments.run(spark, str(sales), str(changed), lookups[1], str(tmp_path / "store"), str(tmp_path / "out"), "r4")
