@@ -464,6 +464,11 @@ SELECT l_orderkey, l_linenumber, carrier, region, CAST(weight AS DOUBLE) AS weig
         "left_lookup_4key": _tally(
             [*_TO_SALES, _REGULATED], f"(SELECT s.*, r.flag2 FROM sales s LEFT JOIN regulated r USING ({_KEY}))", f"{_KEY}, flag2"
         ),
+        "colocated_lookups": _with([*_TO_SALES, _REGULATED, _PRICES], f"""
+SELECT {_KEY}, flag2, count(*) AS n, CAST(sum(weight) AS DOUBLE) AS weight,
+       round(max(list_base), 4) AS list_base, round(max(list_current), 4) AS list_current,
+       round(max(derived_base), 4) AS derived_base, round(max(derived_current), 4) AS derived_current
+FROM sales LEFT JOIN regulated USING ({_KEY}) LEFT JOIN prices USING ({_KEY}) GROUP BY {_KEY}, flag2"""),
         "lookup_duplicate_keys": _with(_TO_SALES, f"""
 SELECT {_KEY}, count(*) AS entries FROM (SELECT DISTINCT {_KEY}, l_linestatus FROM sales WHERE l_discount = 0)
 GROUP BY {_KEY} HAVING count(*) > 1"""),

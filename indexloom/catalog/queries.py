@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from indexloom import functions as fn
 from indexloom.catalog import tables as t
-from indexloom.operators import index, lookups, prices, rollups, series, usage
+from indexloom.operators import colocated, index, lookups, prices, rollups, series, usage
 from indexloom.plans import fixed_values as fixed
 from indexloom.plans import increments, ingest, publish, report
 from indexloom.session import shared_folder, stage, tune
@@ -172,12 +172,29 @@ def status_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.fact(spark, sf_dir).select("product", "product_group", "status").distinct()
 
 
+PRICE_NAMES = [ingest.LIST_BASE, ingest.LIST_CURRENT, ingest.DERIVED_BASE, ingest.DERIVED_CURRENT]
+
+
 @query
 def left_lookup_4key(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = t.sales(spark, sf_dir)
     return tally(lookups.regulated_lookup(rows, t.regulated(rows), t.PRODUCT_KEY, ["flag2"], "row"), [*t.PRODUCT_KEY, "flag2"])
 
 
+@query
+def colocated_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The regulated lookup and all four prices attached to sales in buckets of their key; the sales move once, when they are written."""
+    rows = stage(t.sales(spark, sf_dir))
+    to = colocated.layout(rows, t.PRODUCT_KEY)
+    sold = colocated.write_large(rows.select("row", *t.PRODUCT_KEY, "weight"), to, "row")
+    for entries in (t.regulated(rows), t.price_table(rows, t.PRODUCT_KEY)):
+        sold = colocated.attach(sold, colocated.write_entries(entries, to), to)
+    found = sold.groupBy(*t.PRODUCT_KEY, "flag2").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("weight").cast("double").alias("weight"), *[F.max(c).alias(c) for c in PRICE_NAMES]
+    )
+    return found.select(*t.PRODUCT_KEY, "flag2", "n", "weight", *[rounded(c) for c in PRICE_NAMES])
+
+
 @query
 def lookup_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = t.sales(spark, sf_dir).select(*t.PRODUCT_KEY, "l_linestatus").where(F.col("l_discount") == 0)

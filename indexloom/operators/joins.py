@@ -80,28 +80,40 @@ def key_join(
     if not found:
         return left.join(right, on, how)
 
+    spread = in_pieces(left, on, found, salt, "__piece")
+    return spread.join(copied(right, on, found, "__piece"), [*on, "__piece"], how).drop("__piece")
+
+
+def _pieces_of(like: DataFrame, on: Sequence[str], found: Sequence[Row]) -> DataFrame:
+    """Hot keys and their pieces. As few rows as shuffle partitions, so safe to broadcast."""
+    schema = T.StructType([*like.select(*on).schema, T.StructField("__pieces", T.IntegerType())])
+    return F.broadcast(like.sparkSession.createDataFrame([r for r in found if all(r[k] is not None for k in on)], schema))
+
+
+def in_pieces(left: DataFrame, on: Sequence[str], found: Sequence[Row], salt: Column | str | None, piece: str) -> DataFrame:
+    """Adds the piece of its key that each row belongs to: 0 unless the key is among the hot ones `found`, null keys included."""
     row = F.xxhash64(*left.columns) if salt is None else F.col(salt) if isinstance(salt, str) else salt
     no_key = [r["__pieces"] for r in found if any(r[k] is None for k in on)]
     any_null = F.lit(False)
     for key in on:
         any_null = any_null | F.col(key).isNull()
-    # As few rows as shuffle partitions, so safe to broadcast.
-    schema = T.StructType([*left.select(*on).schema, T.StructField("__pieces", T.IntegerType())])
-    hot = F.broadcast(left.sparkSession.createDataFrame([r for r in found if all(r[k] is not None for k in on)], schema))
-
-    spread = (
+    return (
         left.withColumns({"__salt": row, "__null": any_null})
-        .join(hot, on, "left")
+        .join(_pieces_of(left, on, found), list(on), "left")
         .withColumn("__cut", F.when(F.col("__null"), F.lit(max(no_key, default=1))).otherwise(F.coalesce("__pieces", F.lit(1))))
-        .withColumn("__piece", F.pmod("__salt", "__cut").cast("int"))
+        # Hashed, as the places of a hot key's rows may be regular.
+        .withColumn(piece, F.pmod(F.xxhash64("__salt"), "__cut").cast("int"))
         .drop("__salt", "__null", "__cut", "__pieces")
     )
-    copies = (
-        right.join(hot, on, "left")
-        .withColumn("__piece", F.explode(F.sequence(F.lit(0), F.coalesce("__pieces", F.lit(1)) - 1)))
+
+
+def copied(right: DataFrame, on: Sequence[str], found: Sequence[Row], piece: str) -> DataFrame:
+    """Entries of hot keys once for each piece, all others once for piece 0."""
+    return (
+        right.join(_pieces_of(right, on, found), list(on), "left")
+        .withColumn(piece, F.explode(F.sequence(F.lit(0), F.coalesce("__pieces", F.lit(1)) - 1)))
         .drop("__pieces")
     )
-    return spread.join(copies, [*on, "__piece"], how).drop("__piece")
 
 
 def full_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from indexloom.operators import colocated
 from indexloom.operators.joins import full_join, hot_keys, key_bitmaps, key_join, sparse_join, with_possible_match
 
 
@@ -121,3 +122,22 @@ def test_bitmaps_rule_out_no_match(spark, bits):
     assert all(r["__may"] for r in told if r.k % 5 == 0)
     assert sum(r["__may"] for r in told) <= 800 * (1.01 if bits > 1 << 15 else 1.2)
     assert bitmaps.count() <= bits >> 15
+
+
+def test_colocated_joins_shuffle_nothing(without_broadcast):
+    """Two lookups attached to a bucketed table with a hot key, null keys and repeated entries: no exchange, and the same rows."""
+    spark = without_broadcast
+    large = spark.range(4000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 17 <> 5 THEN id % 90 END AS k", "CASE WHEN id % 3 = 0 THEN '3' ELSE cast(id % 4 AS string) END AS p", "id AS row")
+    one = spark.range(100).selectExpr("id AS k", "cast(id % 4 AS string) AS p", "id * 2 AS x").unionByName(spark.createDataFrame([(7, "3", -1), (None, "1", 0)], "k long, p string, x long"))
+    two = spark.range(0, 100, 2).selectExpr("id AS k", "cast(id % 4 AS string) AS p", "id * 3 AS y")
+    to = colocated.layout(large, ["k", "p"], 4)
+    assert any(r["k"] == 7 for r in to.hot) and len(to.hot) <= 8
+    found = colocated.attach(colocated.attach(colocated.write_large(large, to, "row"), colocated.write_entries(one, to), to), colocated.write_entries(two, to), to)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan and "Bucketed: true" in plan
+    expected = large.join(one, ["k", "p"], "left").join(two, ["k", "p"], "left")
+    assert Counter(map(tuple, found.select(expected.columns).collect())) == Counter(map(tuple, expected.collect()))
+    largest = max(r["count"] for r in colocated.write_large(large, to, "row").groupBy("k", "p", colocated.PIECE).count().collect())
+    assert largest < 4000 / 5
+    with pytest.raises(ValueError):
+        colocated.attach(large, one, to, "full")
