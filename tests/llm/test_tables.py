@@ -1,6 +1,6 @@
 """Queries against their SQL, mixing and URL rules on odd rows, and the whole pipeline."""
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from compare import connect, differences
@@ -8,7 +8,7 @@ from conftest import SF_DIR, make
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from indexloom.llm import mixing, queries, url_filter
+from indexloom.llm import mixing, queries, toxicity, url_filter
 
 QUERIES, SQL = queries.registered(), queries.oracle_sql()
 
@@ -137,15 +137,40 @@ def test_urls_of_no_pages(spark):
     assert url_filter.filter_urls(pages, url_filter.rules_frame(spark), url_filter.page_links(pages)).count() == 0
 
 
-def test_pipeline(spark):
+def test_pipeline(spark, con):
+    """Every stage against a plain version, on what the stage before it kept."""
+    import brute
+    from tokenizers import Tokenizer
+
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
-    before = {r.doc_id for r in docs.collect()}
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    model = Tokenizer.from_file(queries._tokenizer("word_bpe_49k.json"))
+
+    toxic = {r.doc_id for r in toxicity.toxicity(docs, labels).collect() if r.predicted}
+
+    def repeats(docs):
+        con.register("kept_documents", docs.toPandas())
+        rows = con.execute(f"SELECT doc_id, repeats FROM ({mixing.SQL.replace('FROM documents', 'FROM kept_documents')}) AS q").fetchall()
+        return {doc_id: n for doc_id, n in rows if n}
+
+    expected = {
+        "toxicity": lambda rows: Counter({r.doc_id for r in rows} - toxic),
+        "exact_dedup": lambda rows: Counter({k for k, _ in brute.exact_groups([(r.doc_id, r.text) for r in rows]).values()}),
+        "ngram_jaccard_join": lambda rows: Counter({c for _, c in brute.near_groups([(r.doc_id, r.text) for r in rows]).values()}),
+        "source_mixing": lambda rows: Counter(repeats(docs)),
+    }
     for name, function in corpus_pipeline.STAGES[:-1]:
+        before = docs.collect()
         after = function(spark, docs, SF_DIR)
         assert after.columns == docs.columns, name
-        kept = {r.doc_id for r in after.select("doc_id").collect()}
-        assert kept <= before and len(kept) > 0.6 * len(before), name
-        docs, before = after, kept
+        assert Counter(r.doc_id for r in after.select("doc_id").collect()) == expected[name](before), name
+        docs = after
+    clean = {r.doc_id for r in labels.where("toxic = 0").collect()}
+    assert len(clean & toxic) <= 0.02 * len(clean)
+    entered = Counter((r.doc_id, r.text) for r in docs.collect())
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).collect()
-    assert {r.doc_id for r in pieces} == before
+    assert Counter(r.doc_id for r in pieces if r.start == 0) == Counter({d: n for (d, _), n in entered.items()})
+    tokens = {d: len(model.encode(t or "", add_special_tokens=False).ids) + 1 for d, t in entered}
+    assert all(r.doc_tokens == tokens[r.doc_id] for r in pieces)
+    assert sum(r.length for r in pieces) == sum(n * tokens[d] for (d, _), n in entered.items())
     assert QUERIES["pipeline"](spark, SF_DIR).count() == len(pieces)
