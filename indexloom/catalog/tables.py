@@ -119,11 +119,12 @@ def with_product(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One sale per line item."""
+    """One sale per line item. The large tables are joined first, on keys, and what is shuffled for that holds no names yet."""
     rows = lines(spark, sf_dir)
-    located = with_region(rows, spark, sf_dir)
-    found = key_join(located, parts(spark, sf_dir).drop("p_type"), ["l_partkey"], "left", "row", keys_from=rows)
-    return known(found, "product", "product_group")
+    joined = key_join(
+        with_nation_key(rows, spark, sf_dir), parts(spark, sf_dir).drop("p_type"), ["l_partkey"], "left", "row", keys_from=rows
+    )
+    return with_nation(known(joined, "product", "product_group"), spark, sf_dir, "row")
 
 
 def wide_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,10 +223,22 @@ def index_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return advance, non_advance.select(*advance.columns, "status", "category"), facts
 
 
+# What classifying and pricing a sale looks at.
+ROW_COLUMNS = [*SALES_KEY, "l_linestatus", "l_discount", "year", "weight", "journeys"]
+
+
 def row_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The same three frames as `index_inputs`, from the sales row by row, as stage 1 makes them of files."""
-    rows = sales(spark, sf_dir)
+    """The same three frames as `index_inputs`, from the sales row by row, as stage 1 makes them of files.
+
+    The joined sales are written once, and so are the classified ones, as stage 1 does: all that reads them again
+    shuffles nothing but sums.
+    """
+    def placed(written: DataFrame) -> DataFrame:
+        return written.withColumn("row", F.col("_metadata.row_index"))
+
+    rows = placed(stage(sales(spark, sf_dir).select(*ROW_COLUMNS)))
     facts = classified(rows, regulated(rows), categories(spark, sf_dir), "row")
+    facts = placed(stage(facts.drop("flag2", "l_linestatus", "l_discount", "year", "row")))
     advance = ingest.advance_detail(facts, price_table(ingest.classify(rows, CODES), CLASS_KEY, "derived"))
     non_advance = ingest.non_advance_detail(ingest.fill_prices(facts, price_table(rows, PRODUCT_KEY), "row"))
     return advance, non_advance.select(*advance.columns, "status", "category"), facts

@@ -48,6 +48,12 @@ def test_all_splits_come_from_one_pass(spark):
     assert "lineitem" not in plan  # the sales were read once, into the cube
 
 
+@pytest.mark.parametrize("name", ["cell_grid_rows", "split_report_rows"])
+def test_sales_are_joined_once_for_the_grid(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    assert "lineitem" not in plan and "part.parquet" not in plan
+
+
 def broadcast_leaves(plan: str) -> list[str]:
     """Leaf operators below the broadcasts of a plan."""
     found, depth = [], None
