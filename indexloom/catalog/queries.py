@@ -370,7 +370,8 @@ def derived_price_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _joined_wide(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
     """Prices of about as many keys as there are sales, of each period in a table of its own."""
-    rows = t.wide_sales(spark, sf_dir)
+    # Four steps below read the sales, so they are joined to their orders once and written.
+    rows = stage(t.wide_sales(spark, sf_dir).select("row", *t.PRODUCT_KEY, "l_linestatus", "l_discount", "year", "weight", "journeys"))
     names = [f"{which}_base", f"{which}_current"]
     tables = [t.price_table(rows.where(period), t.PRODUCT_KEY, which).select(*t.PRODUCT_KEY, name) for name, period in zip(names, (t.is_base(), ~t.is_base()), strict=True)]
     found = prices.attach_prices(rows, prices.combine_price_tables(tables, t.PRODUCT_KEY), t.PRODUCT_KEY, "row")

@@ -26,20 +26,33 @@ def is_scan(df: DataFrame) -> bool:
     return plan.nodeName().startswith("Relation") or plan.nodeName() == "LogicalRelation"
 
 
+# Keys are counted by so many hashes before they are counted one by one.
+HASHES = 1 << 16
+
+
 def hot_keys(df: DataFrame, on: Sequence[str]) -> list[Row]:
     """Keys that alone outgrow an average shuffle partition, with the number of pieces to cut them into.
 
     Whatever the size of the input, at most one key per shuffle partition qualifies, and the pieces
     add up to at most twice the number of partitions.
+
+    Rows are first counted by a hash of their key, which moves a bounded number of sums. Only keys whose hash has enough rows
+    are counted themselves; mostly there are none, and a table of as many keys as rows is not shuffled to find that out.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.pmod(F.xxhash64(*on), F.lit(HASHES))
     seen = Observation()
-    counts = df.select(*on).observe(seen, F.count(F.lit(1)).alias("total")).groupBy(*on).agg(F.count(F.lit(1)).alias("__rows"))
-    # The total is counted on the way, so the keys are counted once; the largest are as many as could qualify.
-    largest = counts.orderBy(F.desc("__rows")).limit(partitions).collect()
-    if not largest:
+    placed = df.select(place.alias("__place")).observe(seen, F.count(F.lit(1)).alias("total"))
+    # The total is counted on the way; the largest are as many as could qualify.
+    fullest = placed.groupBy("__place").agg(F.count(F.lit(1)).alias("__rows")).orderBy(F.desc("__rows")).limit(partitions).collect()
+    if not fullest:
         return []
     total = seen.get["total"]
+    full = [r["__place"] for r in fullest if r["__rows"] * partitions > total]
+    if not full:
+        return []
+    counts = df.select(*on).where(place.isin(full)).groupBy(*on).agg(F.count(F.lit(1)).alias("__rows"))
+    largest = counts.orderBy(F.desc("__rows")).limit(partitions).collect()
     return [Row(**{k: r[k] for k in on}, __pieces=-(-r["__rows"] * partitions // total)) for r in largest if r["__rows"] * partitions > total]
 
 

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from indexloom.operators import colocated
+from indexloom.operators import colocated, joins
 from indexloom.operators.joins import full_join, hot_keys, key_bitmaps, key_join, sparse_join, with_possible_match
 
 
@@ -141,3 +141,14 @@ def test_colocated_joins_shuffle_nothing(without_broadcast):
     assert largest < 4000 / 5
     with pytest.raises(ValueError):
         colocated.attach(large, one, to, "full")
+
+
+def test_hot_keys_whatever_their_hashes(spark, monkeypatch):
+    """Keys that share a hash are told apart, and without a full hash the keys themselves are not counted."""
+    rows = [("a", 1)] * 500 + [(None, 1)] * 400 + [(f"k{i}", 1) for i in range(100)]
+    df = spark.createDataFrame(rows, "k string, n int")
+    expected = {("a", 4), (None, 4)}
+    for hashes in (1, 3, 1 << 16):
+        monkeypatch.setattr(joins, "HASHES", hashes)
+        assert {tuple(r) for r in joins.hot_keys(df, ["k"])} == expected
+    assert joins.hot_keys(df.where("k like 'k%'"), ["k"]) == []

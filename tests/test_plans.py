@@ -54,6 +54,11 @@ def test_sales_are_joined_once_for_the_grid(spark, name):
     assert "lineitem" not in plan and "part.parquet" not in plan
 
 
+def test_wide_sales_are_joined_to_their_orders_once(without_broadcast):
+    plan = plan_of(QUERIES["list_price_join_wide"](without_broadcast, SF_DIR))
+    assert "lineitem" not in plan and "orders" not in plan
+
+
 def broadcast_leaves(plan: str) -> list[str]:
     """Leaf operators below the broadcasts of a plan."""
     found, depth = [], None
