@@ -17,7 +17,7 @@ from indexloom.catalog import tables as t
 from indexloom.operators import colocated, index, lookups, prices, rollups, series, usage
 from indexloom.plans import fixed_values as fixed
 from indexloom.plans import increments, ingest, publish, report
-from indexloom.session import shared_folder, stage, tune
+from indexloom.session import shared_folder, stage, tasks_for, tune
 from indexloom.sources import delimited, feed
 from indexloom.sources import tables as stored
 
@@ -754,7 +754,9 @@ def ticket_lookup_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     folder = _new_folder(spark)
     for name, rows in (("a", entries.where("l_orderkey % 10 = 0")), ("b", entries.where("l_orderkey % 10 <> 0"))):
-        ordered = rows.orderBy("l_orderkey", "l_linenumber").select("ticket", "sold")
+        # Sorted as a whole, a file for each million rows.
+        ordered = rows.repartitionByRange(tasks_for(rows, 1 << 20), "l_orderkey", "l_linenumber").sortWithinPartitions("l_orderkey", "l_linenumber")
+        ordered = ordered.select("ticket", "sold")
         _as_csv(ordered, f"{folder}/{name}")
     found = delimited.read_ticket_lookup(spark, f"{folder}/*", "ticket", "sold")
     return prices.keep_first(stage(found), ["ticket_code"], ["lookup_seq"]).select("ticket_code", "product")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from indexloom.functions import null_if_zero, pct_change
 from indexloom.operators.joins import full_join, key_join
 from indexloom.operators.rollups import with_keys
-from indexloom.session import stage
+from indexloom.session import stage, tasks_for
 
 
 def latest_validity(flows: DataFrame, keys: Sequence[str], until: str, salt: Column | str | None = None) -> DataFrame:
@@ -42,15 +42,17 @@ def key_summary(df: DataFrame, keys: Sequence[str], position: str) -> DataFrame:
 def keep_first(df: DataFrame, keys: Sequence[str], position: Sequence[str]) -> DataFrame:
     """One row per key, the first by `position`: a number that no two rows of a key share, such as a line number.
 
-    The frame is read twice, once for its keys and positions alone; a written table is best. Rows are fetched
-    by key and position together, which do not repeat, so no key of that join is hot.
+    The frame is counted and read twice, once for its keys and positions alone; a written table is best. Rows are fetched
+    by key and position together, which do not repeat, so no key of that join is hot. The join sorts whole rows, in as many
+    tasks as there are rows for: left to Spark they would be as many as it has cores, and each would hold more of a larger table.
     """
     (place,) = position
-    first = key_summary(df, keys, place).select(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col("first").alias("_first"))
-    same = F.col(place) == F.col("_first")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
-    return df.join(first, same, "left_semi")
+    # As a struct, null keys are equal.
+    first = key_summary(df, keys, place).select(F.col("first").alias("_first"), F.struct(*keys).alias("_of_key"))
+    n = max(df.sparkSession.sparkContext.defaultParallelism, tasks_for(df))
+    rows = df.withColumn("_key", F.struct(*keys)).repartition(n, place, "_key")
+    same = (F.col(place) == F.col("_first")) & (F.col("_key") == F.col("_of_key"))
+    return rows.join(first.repartition(n, "_first", "_of_key"), same, "left_semi").drop("_key")
 
 
 def conflicting_duplicates(df: DataFrame, keys: Sequence[str], salt: Column | str | None = None) -> DataFrame:

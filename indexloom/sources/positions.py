@@ -28,7 +28,7 @@ def line_numbers(written: DataFrame, target: str = "line") -> DataFrame:
     A task numbers what it reads as it likes, and large files come first. The numbers of a split are next to each other, though, so a prefix
     sum over the splits puts them in order: every split has the span of its own numbers, files add
     up the spans of their splits, and the totals of the files before are added on top. What is summed and
-    sent to all rows is one row per split. Rows that were filtered away leave gaps.
+    sent to all rows is one row per split, and no row of `written` moves. Rows that were filtered away leave gaps.
 
     `written` is a table, not a scan of the files: read again with other settings, the files could
     be split in another way. The same table always gives the same numbers.
@@ -42,7 +42,7 @@ def line_numbers(written: DataFrame, target: str = "line") -> DataFrame:
     files = files.select(FILE, F.coalesce(F.sum("__lines").over(before.orderBy(FILE)), F.lit(0)).alias("__before"))
     base = splits.join(files, FILE).select(FILE, BLOCK, (F.col("__before") + F.col("__within") - F.col("__first")).alias("__base"))
     rest = [c for c in written.columns if c not in (FILE, BLOCK, SEQ)]
-    return written.join(base, [FILE, BLOCK]).select(*rest, (F.col("__base") + F.col(SEQ)).alias(target))
+    return written.join(F.broadcast(base), [FILE, BLOCK]).select(*rest, (F.col("__base") + F.col(SEQ)).alias(target))
 
 
 def first_then(first: str, second: str) -> Column:

@@ -3,6 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from indexloom import session
 from indexloom.operators import prices
 
 FLOW = ["origin", "destination", "route"]
@@ -90,3 +91,11 @@ def test_prices_by_period(spark):
     }
     found = {r.k: (r.y1, r.y2) for r in prices.prices_by_period(df, ["k"], sources).collect()}
     assert found == {"a": (500.0, 300.0), "b": (None, None)}
+
+
+def test_first_rows_are_fetched_in_more_tasks_for_more_rows(spark, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
+    df = session.stage(spark.range(5000).selectExpr("CAST(id % 1000 AS STRING) AS key", "id AS seq"))
+    found = prices.keep_first(df, ["key"], ["seq"])
+    assert found.rdd.getNumPartitions() == 50
+    assert sorted((r.key, r.seq) for r in found.collect()) == sorted((str(i), i) for i in range(1000))
