@@ -93,23 +93,60 @@ def parts(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 class _KnownIds:
-    """Ids of words that this process has met, by the words themselves; it takes up no more when it is full."""
+    """Ids of words that this process has met, by the words themselves; it takes up no more when it is full.
+
+    Words and ids lie one after the other in arrays, as a process keeps them for as long as it lives, and an object for each would
+    take several times their bytes. `hashes` are in order, `entry` has the word of each; where two words share one, the first is kept.
+    """
 
     def __init__(self, path: str):
         self.encode = tokenizer(path).encode_batch_fast
-        self.ids: dict[bytes, bytes] = {}
-
-    def look_up(self, words: list[bytes]) -> list[bytes]:
-        """The ids of each word, two bytes each."""
-        found = list(map(self.ids.get, words))
-        new = [i for i, ids in enumerate(found) if ids is None]
+        self.hashes, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.words, self.word_bounds = np.zeros(0, np.uint8), np.zeros(1, np.int64)
+        self.ids, self.id_bounds = np.zeros(0, np.uint16), np.zeros(1, np.int64)
+
+    def look_up(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of different words, given in order of their hashes, one after the other, and how many each has."""
+        at = np.searchsorted(self.hashes, hashes)
+        met = np.flatnonzero(np.append(self.hashes, np.uint64(0))[at] == hashes)
+        met = met[at[met] < len(self.hashes)]
+        entry = self.entry[at[met]]
+        both, offset = np.concatenate([data, self.words]), len(data)
+        same = blocks.same_bytes(both, starts[met], ends[met], self.word_bounds[entry] + offset, self.word_bounds[entry + 1] + offset)
+        # A hash that another word has cannot be kept a second time.
+        taken = met[~same]
+        met, entry = met[same], entry[same]
+        is_new = np.ones(len(hashes), bool)
+        is_new[met] = False
+        new = np.flatnonzero(is_new)
+        whole, told, sizes = data.tobytes(), [np.zeros(0, np.uint16)], []
         for first in range(0, len(new), ENCODE_BATCH):
-            some = new[first : first + ENCODE_BATCH]
-            for i, e in zip(some, self.encode([words[i].decode("utf-8", "replace") for i in some], add_special_tokens=False), strict=True):
-                found[i] = np.array(e.ids, np.uint16).tobytes()
-                if len(self.ids) < KNOWN_WORDS:
-                    self.ids[words[i]] = found[i]
-        return found
+            some = new[first : first + ENCODE_BATCH].tolist()
+            for e in self.encode([whole[starts[i] : ends[i]].decode("utf-8", "replace") for i in some], add_special_tokens=False):
+                told.append(np.array(e.ids, np.uint16))
+                sizes.append(len(e.ids))
+        new_ids, new_sizes = np.concatenate(told), np.array(sizes, np.int64)
+        lengths, begins = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int64)
+        lengths[met], begins[met] = self.id_bounds[entry + 1] - self.id_bounds[entry], self.id_bounds[entry]
+        lengths[new], begins[new] = new_sizes, len(self.ids) + np.cumsum(new_sizes) - new_sizes
+        found = np.concatenate([self.ids, new_ids])[blocks.ragged(begins, lengths)]
+        keep = np.ones(len(new), bool)
+        keep[np.isin(new, taken)] = False
+        keep[1:] &= hashes[new][1:] != hashes[new][:-1]
+        self._keep(np.flatnonzero(keep)[: KNOWN_WORDS - len(self.hashes)], hashes[new], data, starts[new], ends[new], new_ids, new_sizes)
+        return found, lengths
+
+    def _keep(self, some: np.ndarray, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        if not len(some):
+            return
+        entries = np.arange(len(self.hashes), len(self.hashes) + len(some), dtype=np.int32)
+        place = np.searchsorted(self.hashes, hashes[some])
+        self.hashes, self.entry = np.insert(self.hashes, place, hashes[some]), np.insert(self.entry, place, entries)
+        long = (ends - starts)[some]
+        self.words = np.concatenate([self.words, data[blocks.ragged(starts[some], long)]])
+        self.word_bounds = np.concatenate([self.word_bounds, self.word_bounds[-1] + np.cumsum(long)])
+        self.ids = np.concatenate([self.ids, ids[blocks.ragged((np.cumsum(sizes) - sizes)[some], sizes[some])]])
+        self.id_bounds = np.concatenate([self.id_bounds, self.id_bounds[-1] + np.cumsum(sizes[some])])
 
 
 @functools.lru_cache(maxsize=1)
@@ -120,11 +157,8 @@ def _known_ids(path: str) -> _KnownIds:
 def encoded(data: np.ndarray, bounds: np.ndarray, known: _KnownIds, table: np.ndarray) -> tuple[list[bytes], np.ndarray]:
     """Ids and summed vector of each text."""
     starts, ends, before, folded = parts(data, bounds)
-    _, first, kind = blocks.distinct_spans(folded, starts, ends)
-    whole = folded.tobytes()
-    found = known.look_up([whole[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
-    flat = np.frombuffer(b"".join(found), np.uint16)
-    lengths = np.fromiter(map(len, found), np.int64, len(found)) // 2
+    hashes, first, kind = blocks.distinct_spans(folded, starts, ends)
+    flat, lengths = known.look_up(hashes, folded, starts[first], ends[first])
     begins = np.cumsum(lengths) - lengths
     # Sums of token shares, per word and then per document.
     shares = np.vstack([np.zeros(CURVE_DIMENSIONS), np.cumsum(table[flat], axis=0)])

@@ -126,3 +126,20 @@ def test_repeated_rows_and_no_rows(repeated, nothing):
     packed = packing.pack(repeated, WORDS).collect()
     assert sum(r.start == 0 for r in packed) == n
     assert token_counts.token_counts(nothing, BYTES).count() == 0 and packing.pack(nothing, WORDS).count() == 0
+
+
+def test_known_words_are_kept_in_few_bytes():
+    """Also words that share a hash, of which one is kept."""
+    known = packing._KnownIds(WORDS)
+    words = [f"word{i}" for i in range(20000)] + ["one", "two"]
+    data = np.frombuffer("".join(words).encode(), np.uint8)
+    ends = np.cumsum([len(w) for w in words])
+    hashes = np.append(np.arange(20001, dtype=np.uint64), np.uint64(20000))
+    expected = [e.ids for e in known.encode(words, add_special_tokens=False)]
+    for _ in range(2):
+        ids, lengths = known.look_up(hashes, data, ends - [len(w) for w in words], ends)
+        assert lengths.tolist() == [len(e) for e in expected]
+        assert ids.tolist() == [i for e in expected for i in e]
+    assert known.hashes.tolist() == list(range(20001))
+    held = sum(x.nbytes for x in vars(known).values() if isinstance(x, np.ndarray))
+    assert held < 60 * len(words)
