@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, GroupedData
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,8 +55,10 @@ def size_bands(percent: int, largest: int) -> list[tuple[int, int]]:
     return bands
 
 
-def signatures(elements: np.ndarray, rarity: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """PartEnum signatures of one set: hash, tokens that follow it, tokens a partner must share, place.
+def signatures(elements: np.ndarray, rarity: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """PartEnum signatures of one set: hash, tokens that follow it, tokens a partner must share, place, list.
+
+    `list` names the set and the band, or that single elements are meant, and `place` counts within it.
 
     For its size band and the next one, the feature domain is partitioned by hash; a token is a
     partition that the set has elements in, with what it holds of it. Sets that are similar enough
@@ -68,7 +70,7 @@ def signatures(elements: np.ndarray, rarity: np.ndarray, percent: int) -> tuple[
     size = len(elements)
     bands = size_bands(percent, size * 100 // percent)
     band = next(i for i, (low, high) in enumerate(bands) if low <= size <= high)
-    hashes, after, needed, places = [np.zeros(0, np.uint64)], *([np.zeros(0, np.int64)] for _ in range(3))
+    hashes, after, needed, places, lists = [np.zeros(0, np.uint64)], *([np.zeros(0, np.int64)] for _ in range(4))
     for i in (band, band + 1):
         if i >= len(bands) or size * 100 // percent < bands[i][0]:
             continue
@@ -88,30 +90,38 @@ def signatures(elements: np.ndarray, rarity: np.ndarray, percent: int) -> tuple[
         found = tokens[alone : k + 1]
         hashes.append(found)
         places.append(np.arange(len(found)))
+        lists.append(np.full(len(found), mixed.sum(dtype=np.uint64)).view(np.int64))
         after.append(n - 1 - alone - np.arange(len(found)))
         needed.append(np.full(len(found), n - k))
         if n <= k:
             single = blocks.mix64(mixed ^ np.uint64(0xD6E8FEB86659FD93))
+            own = single.sum(dtype=np.uint64)
             single = single[np.lexsort((single, rarity))][int((rarity == 0).sum()) : size - -(-size * percent // 100) + 1]
             hashes.append(single)
             places.append(np.arange(len(single)))
+            lists.append(np.full(len(single), own).view(np.int64))
             after.append(np.full(len(single), size))
             needed.append(np.zeros(len(single), np.int64))
-    return np.concatenate(hashes).view(np.int64), np.concatenate(after), np.concatenate(needed), np.concatenate(places)
+    return np.concatenate(hashes).view(np.int64), np.concatenate(after), np.concatenate(needed), np.concatenate(places), np.concatenate(lists)
 
 
 _KEEP = np.uint64(16)
 SKETCH_WORDS = 16
+# In 1024 cells the differences of sets of more elements drown, so these get a wider sketch as well. Where
+# the larger of two linked sets has more, the smaller has at least `percent` of that, and one too.
+WIDE_WORDS, WIDE_FROM = 64, 1024
+# Signatures of a set before one of its own that tell whether two sets met at an earlier one.
+EARLIER = 8
 
 
-def parity_sketch(elements: np.ndarray) -> np.ndarray:
+def parity_sketch(elements: np.ndarray, n_words: int = SKETCH_WORDS) -> np.ndarray:
     """Per hashed cell whether the set has an odd number of elements there, as 64-bit words.
 
     An element that only one of two sets has changes one cell, so the cells in which two sketches
     differ are never more than the elements in which the sets do.
     """
-    cells = (blocks.mix64(elements ^ np.uint64(0x632BE59BD9B4E019)) % np.uint64(64 * SKETCH_WORDS)).astype(np.int64)
-    return np.packbits(np.bincount(cells, minlength=64 * SKETCH_WORDS).astype(np.uint8) & 1).view(np.int64)
+    cells = (blocks.mix64(elements ^ np.uint64(0x632BE59BD9B4E019)) % np.uint64(64 * n_words)).astype(np.int64)
+    return np.packbits(np.bincount(cells, minlength=64 * n_words).astype(np.uint8) & 1).view(np.int64)
 
 
 def _pack_set(elements: np.ndarray) -> bytes:
@@ -199,7 +209,8 @@ def linked_documents(docs: DataFrame, size: int = 5, percent: int = 75) -> DataF
        enough give PartEnum signatures, rare ones first.
     3. Each set is compared with the smallest and the largest id that share a signature, and what links
        becomes one component. Then all pairs that share a signature, are still in different components
-       and that short parity sketches do not rule out are compared. So a group of copies costs
+       and that parity sketches do not rule out are compared, each taken at the first signature that
+       they share (at few more where many others lie between). So a group of copies costs
        comparisons in proportion to its size, and no link between components is missed.
     """
     shards = blocks.in_shards(docs, SHARD_BYTES)
@@ -256,13 +267,15 @@ def linked_documents(docs: DataFrame, size: int = 5, percent: int = 75) -> DataF
         shared = np.bincount(pairs.document, weights=classes[pairs.at] > 0, minlength=table.num_rows).astype(np.int64)
         ends = np.cumsum(pairs.sizes).tolist()
         packed = pa.array([blocks.packed(classes[b - n : b]) for n, b in zip(pairs.sizes.tolist(), ends, strict=True)], pa.binary())
-        sketches = pa.array([parity_sketch(_unpack_set(e)) for e in table.column("elements").to_pylist()], pa.list_(pa.int64()))
+        found = [_unpack_set(e) for e in table.column("elements").to_pylist()]
+        sketches = pa.array([parity_sketch(s) for s in found], pa.list_(pa.int64()))
+        wide = pa.array([parity_sketch(s, WIDE_WORDS) if 100 * len(s) >= percent * WIDE_FROM else None for s in found], pa.list_(pa.int64()))
         told = table.select(["doc_id", "n_shingles", "elements"])
-        for name, column in (("n_shared", pa.array(shared)), ("classes", packed), ("sketch", sketches)):
+        for name, column in (("classes", packed), ("sketch", sketches), ("wide", wide)):
             told = told.append_column(name, column)
         return told.filter(pa.array(100 * shared >= percent * pairs.sizes))
 
-    rep_rows = T.StructType([id_field, T.StructField("n_shingles", longs), T.StructField("elements", blob), T.StructField("n_shared", longs), T.StructField("classes", blob), T.StructField("sketch", T.ArrayType(longs))])
+    rep_rows = T.StructType([id_field, T.StructField("n_shingles", longs), T.StructField("elements", blob), T.StructField("classes", blob), T.StructField("sketch", T.ArrayType(longs)), T.StructField("wide", T.ArrayType(longs))])
     first = stage(_with_counts(one_of_each.groupBy("shard"), of_sets, pick_sets, rep_rows))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,11 +285,11 @@ def linked_documents(docs: DataFrame, size: int = 5, percent: int = 75) -> DataF
                 continue
             rows = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(np.concatenate([f[j] for f in found]).astype(np.int64)) for j in range(4)), *(batch.column(c).take(rows) for c in ("doc_id", "n_shingles", "n_shared"))],
-                names=["signature", "after", "needed", "place", "id", "n", "s"],
+                [*(pa.array(np.concatenate([f[j] for f in found]).astype(np.int64)) for j in range(5)), *(batch.column(c).take(rows) for c in ("doc_id", "n_shingles"))],
+                names=["signature", "after", "needed", "place", "list", "id", "n"],
             )
 
-    signed = first.mapInArrow(sign, T.StructType([*[T.StructField(c, longs) for c in ("signature", "after", "needed", "place")], T.StructField("id", id_field.dataType), T.StructField("n", longs), T.StructField("s", longs)]))
+    signed = first.mapInArrow(sign, T.StructType([*[T.StructField(c, longs) for c in ("signature", "after", "needed", "place", "list")], T.StructField("id", id_field.dataType), T.StructField("n", longs)]))
     ends = signed.groupBy("signature").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     shared = stage(signed.join(ends, "signature"))
     links = _compare(first, _candidates(shared, shared, F.col("b.id") == F.col("b.low"), percent), percent)
@@ -285,12 +298,11 @@ def linked_documents(docs: DataFrame, size: int = 5, percent: int = 75) -> DataF
     placed = stage(shared.join(known, shared["id"] == known["node"], "left").select(shared["*"], F.coalesce("component", "id").alias("component")))
     # Only signatures whose sets are still in more than one component.
     apart = placed.groupBy("signature").agg(F.min("component").alias("c"), F.max("component").alias("d")).where("c < d").select("signature")
-    sketches = first.select(F.col("doc_id").alias("id"), "sketch")
-    apart = stage(placed.join(apart, "signature", "left_semi").join(sketches, "id"))
-    differ = sum((F.bit_count(F.col("a.sketch")[i].bitwiseXOR(F.col("b.sketch")[i])) for i in range(SKETCH_WORDS)), F.lit(0))
-    may_link = (F.col("a.id") > F.col("b.id")) & (F.col("a.component") != F.col("b.component")) & (
-        (100 + percent) * differ <= (100 - percent) * (F.col("a.n") + F.col("b.n"))
-    )
+    before = Window.partitionBy("id", "list").orderBy("place").rowsBetween(-EARLIER, -1)
+    sketches = first.select(F.col("doc_id").alias("id"), "sketch", "wide")
+    apart = placed.join(apart, "signature", "left_semi").withColumn("earlier", F.collect_list("signature").over(before))
+    apart = stage(apart.join(sketches, "id"))
+    may_link = (F.col("a.id") > F.col("b.id")) & (F.col("a.component") != F.col("b.component")) & _first_met_and_near(percent)
     more = _compare(first, _candidates(apart, apart, may_link, percent), percent)
     links = stage(links.unionByName(more))
     final = components(links).select(F.col("node").alias("set_id"), "component")
@@ -298,6 +310,20 @@ def linked_documents(docs: DataFrame, size: int = 5, percent: int = 75) -> DataF
     return sets.select("doc_id", *key).join(found, key, "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def _first_met_and_near(percent: int) -> Column:
+    """Whether a and b share none of the signatures shortly before this one, and sketches allow a link.
+
+    Both have their signatures in one order. A pair that is left out here also shares an earlier one,
+    where nothing else that is asked of the pair comes out differently, so it is taken at the first.
+    Sketches that are too narrow for the sets rule nothing out.
+    """
+    short = sum((F.bit_count(F.col("a.sketch")[i].bitwiseXOR(F.col("b.sketch")[i])) for i in range(SKETCH_WORDS)), F.lit(0))
+    each = F.zip_with("a.wide", "b.wide", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    wide = F.coalesce(F.aggregate(each, F.lit(0), lambda total, n: total + n), F.lit(0))
+    allowed = (100 - percent) * (F.col("a.n") + F.col("b.n"))
+    return ~F.arrays_overlap("a.earlier", "b.earlier") & ((100 + percent) * short <= allowed) & ((100 + percent) * wide <= allowed)
+
+
 def _candidates(left: DataFrame, right: DataFrame, which: Column, percent: int) -> DataFrame:
     """Different pairs a, b of ids that share a signature, as chosen, and could be similar enough.
 

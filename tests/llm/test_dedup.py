@@ -96,6 +96,46 @@ def test_near_groups_of_many_edits(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.linked_documents(docs).collect()} == brute.near_groups([r[:2] for r in rows])
 
 
+def test_pairs_that_share_many_signatures_are_taken_once(spark, monkeypatch):
+    """Long texts that are a little too far from each other, and two that link."""
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(2400)]
+    rows = []
+    for i in range(30):
+        w = list(words)
+        for part in range(12):
+            at = 200 * part + int(rng.integers(0, 170))
+            w[at : at + 30] = [f"n{i}x{part}x{j}" for j in range(30)]
+        rows.append((i, w))
+    rows[12] = (12, rows[11][1][:2300] + ["end"])
+    docs = make(spark, [(i, " ".join(w), "en", "s") for i, w in rows])
+    asked, real = [], jaccard._candidates
+
+    def candidates(left, right, which, percent):
+        asked.append((left, right, which))
+        return real(left, right, which, percent)
+
+    monkeypatch.setattr(jaccard, "_candidates", candidates)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.linked_documents(docs).collect()}
+    assert found == brute.near_groups([(i, " ".join(w)) for i, w in rows]) and found[12][1] == 11
+    left, right, which = asked[-1]
+    assert left.count() > 100 * len(rows)
+    assert left.alias("a").join(right.alias("b"), F.col("a.signature") == F.col("b.signature")).where(which).count() <= len(rows)
+
+
+def test_pairs_are_taken_at_the_first_signature_that_they_share(spark):
+    rng = np.random.default_rng(6)
+    lists = [np.sort(rng.choice(400, int(rng.integers(1, 120)), replace=False)).tolist() for _ in range(40)]
+    rows = [(t, i, 0, 0, 9, i, own[max(0, at - jaccard.EARLIER) : at], [0] * jaccard.SKETCH_WORDS, None) for i, own in enumerate(lists) for at, t in enumerate(own)]
+    made = spark.createDataFrame(rows, "signature long, id long, after long, needed long, n long, component long, earlier array<long>, sketch array<long>, wide array<long>")
+    which = (F.col("a.id") > F.col("b.id")) & jaccard._first_met_and_near(75)
+    found = [tuple(r) for r in jaccard._candidates(made, made, which, 75).collect()]
+    meet = {(i, j) for i in range(40) for j in range(i) if set(lists[i]) & set(lists[j])}
+    assert sorted(found) == sorted(meet)
+    met = made.alias("a").join(made.alias("b"), F.col("a.signature") == F.col("b.signature"))
+    assert met.where(which).count() < met.where("a.id > b.id").count() / 2
+
+
 @pytest.mark.parametrize("percent", [75, 60, 90])
 def test_signatures_miss_no_link(percent):
     rng = np.random.default_rng(percent)
