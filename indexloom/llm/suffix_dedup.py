@@ -11,10 +11,12 @@ from pyspark.sql import types as T
 from indexloom.llm import blocks
 
 WIDTH = 50
-# Bytes of the part of a window that names its shard, and windows that one segment covers at most.
-ANCHOR, SEGMENT_WINDOWS = 16, 64
-SHARD_BYTES = 4 << 20
-# Bytes that one suffix array covers; a bucket with more has several, merged by binary search.
+# Bytes of the part of a window that names its shard, in whole eights, and windows that one segment covers at most. Texts
+# share shorter strings by chance, the more of them the larger the corpus is.
+ANCHOR, SEGMENT_WINDOWS = 24, 64
+# Shards and buckets send each other a message per pair, so their number grows with the square of the corpus.
+SHARD_BYTES = 8 << 20
+# Bytes that one suffix array covers; an anchor with more has several, merged by binary search.
 ARRAY_BYTES = 1 << 20
 # An anchor that occurs in more documents than this sends each window to a bucket of the window's own.
 HOT_ANCHOR = 4096
@@ -29,6 +31,7 @@ def window_runs(data: np.ndarray, bounds: np.ndarray, width: int = WIDTH) -> tup
     have equal anchors wherever they stand. Returns the first window's start, the number of windows,
     the anchor and the document of each run.
     """
+    anchor = min(ANCHOR, width) // 8 * 8
     empty = np.zeros(0, np.int64)
     longest = len(data) - width + 1
     if longest <= 0:
@@ -40,13 +43,16 @@ def window_runs(data: np.ndarray, bounds: np.ndarray, width: int = WIDTH) -> tup
     found, values, last = [], [], np.uint64(0)
     for a in range(0, longest, _BLOCK):
         b = min(longest, a + _BLOCK)
-        n = b - a + width - ANCHOR
+        n = b - a + width - anchor
         grams = eights[a : a + n] * np.uint64(0x9E3779B97F4A7C15)
-        grams ^= eights[a + 8 : a + 8 + n] * np.uint64(0xC2B2AE3D27D4EB4F)
+        for j in range(8, anchor, 8):
+            grams ^= grams >> np.uint64(29)
+            grams += eights[a + j : a + j + n]
+            grams *= np.uint64(0xC2B2AE3D27D4EB4F)
         grams ^= grams >> np.uint64(29)
         grams *= np.uint64(0xBF58476D1CE4E5B9)
         grams ^= grams >> np.uint64(32)
-        least = blocks.sliding_min(grams, width - ANCHOR + 1)
+        least = blocks.sliding_min(grams, width - anchor + 1)
         begins = opens[a:b].copy()
         begins[1:] |= least[1:] != least[:-1]
         begins[0] |= least[0] != last
@@ -196,19 +202,45 @@ def least_owners(
     return np.concatenate([least[np.searchsorted(keys, a.keys())][a.group] for a in arrays])
 
 
+def _repeated(hashes: np.ndarray) -> np.ndarray:
+    """Which of the values occur more than once."""
+    order = np.argsort(hashes)
+    same = hashes[order[1:]] == hashes[order[:-1]]
+    found = np.zeros(len(hashes), bool)
+    found[order[1:][same]] = True
+    found[order[:-1][same]] = True
+    return found
+
+
 def _owners_by_anchor(data: np.ndarray, sizes: np.ndarray, counts: np.ndarray, owners: np.ndarray, width: int, array_bytes: int) -> np.ndarray:
     """`least_owners` of different segments that stand one after the other.
 
-    Only segments with the same anchor can share a window, so one that is alone with its anchor is its
-    own answer and is not sorted.
+    Only segments with the same anchor can share a window, and only windows with the same hash are equal. So a segment
+    that is alone with its anchor, and what lies before the first and after the last window that is not alone with its hash,
+    is its own answer and is not sorted. Anchors are taken together up to `array_bytes`; arrays of different ones need no merge.
     """
     bounds = np.concatenate([[0], np.cumsum(sizes)])
     _, _, anchors, _ = window_runs(data, bounds, width)
     _, anchor, times = np.unique(anchors, return_inverse=True, return_counts=True)
     crowded = np.flatnonzero(times[anchor] > 1)
+    crowded = crowded[np.argsort(anchor[crowded], kind="stable")]
     found = np.repeat(owners, counts)
     begins = np.cumsum(counts) - counts
-    found[blocks.ragged(begins[crowded], counts[crowded])] = least_owners(data, bounds[crowded], counts[crowded], owners[crowded], width, array_bytes)
+    closes = np.flatnonzero(np.diff(anchor[crowded], append=-1)) + 1
+    ends = np.cumsum(sizes[crowded])[closes - 1]
+    taken = done = 0
+    while taken < len(closes):
+        last = max(taken + 1, int(np.searchsorted(ends, (ends[taken - 1] if taken else 0) + array_bytes, "right")))
+        some, taken, done = crowded[done : closes[last - 1]], last, closes[last - 1]
+        places = blocks.ragged(np.zeros(len(some), np.int64), counts[some])
+        at = np.repeat(bounds[some], counts[some]) + places
+        met = np.flatnonzero(_repeated(blocks.span_hashes(data, at, at + width)))
+        if not len(met):
+            continue
+        segment = np.repeat(some, counts[some])[met]
+        opens = np.flatnonzero(np.diff(segment, prepend=-1))
+        some, first, final = segment[opens], places[met[opens]], places[met[np.append(opens[1:], len(met)) - 1]]
+        found[blocks.ragged(begins[some] + first, final - first + 1)] = least_owners(data, bounds[some] + first, final - first + 1, owners[some], width, array_bytes)
     return found
 
 
@@ -221,8 +253,8 @@ class _Shard:
         self.ids = table.column("doc_id").combine_chunks().cast(pa.int64()).fill_null(_NO_ID.item()).to_numpy(zero_copy_only=False)
         self.starts, self.counts, self.anchors, self.document = window_runs(self.data, self.bounds, width)
 
-    def anchors_by_bucket(self) -> tuple[np.ndarray, np.ndarray, list[int], list[int]]:
-        """Different anchors in order, documents each occurs in, and the buckets' stretches."""
+    def anchors_by_bucket(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int], list[int]]:
+        """Different anchors in order, documents each occurs in, the number of each run's, and the buckets' stretches."""
         order = np.lexsort((self.document, self.anchors)) if len(self.anchors) else np.zeros(0, np.int64)
         values, owner = self.anchors[order], self.document[order]
         new_value = np.concatenate([[True], values[1:] != values[:-1]]) if len(values) else np.zeros(0, bool)
@@ -231,8 +263,10 @@ class _Shard:
             new_pair[1:] |= owner[1:] != owner[:-1]
         kinds = values[new_value]
         documents = np.add.reduceat(new_pair.astype(np.int64), np.flatnonzero(new_value)) if len(kinds) else np.zeros(0, np.int64)
+        kind = np.empty(len(values), np.int64)
+        kind[order] = np.cumsum(new_value) - 1
         held, cuts = blocks.stretches(blocks.bucket_of(kinds, self.bits))
-        return kinds, documents, held, cuts
+        return kinds, documents, kind, held, cuts
 
     def segments(self, flags: dict[int, np.ndarray]):
         """Cuts the runs whose anchors other documents share into segments.
@@ -240,12 +274,12 @@ class _Shard:
         Returns of every occurrence its start and document and the number of its segment, and of the
         different segments an occurrence, their windows and buckets, in an order given by content.
         """
-        kinds, _, held, cuts = self.anchors_by_bucket()
+        kinds, _, anchor, held, cuts = self.anchors_by_bucket()
         flag = np.zeros(len(kinds), np.uint8)
         for bucket, a, b in zip(held, cuts, cuts[1:], strict=False):
             if bucket in flags:
                 flag[a:b] = flags[bucket]
-        of_run = flag[np.searchsorted(kinds, self.anchors)] if len(kinds) else np.zeros(0, np.uint8)
+        of_run = flag[anchor]
         single, hot = np.flatnonzero(of_run == 1), np.flatnonzero(of_run == 2)
         # Runs with a hot anchor fall apart into windows.
         starts = np.concatenate([self.starts[single], blocks.ragged(self.starts[hot], self.counts[hot])])
@@ -285,17 +319,16 @@ def removed_spans(docs: DataFrame, width: int = WIDTH, hot_anchor: int = HOT_ANC
     The windows of a document are cut into runs with a common anchor, the least hash within each window.
     Anchors that only one document of the corpus has are set aside first: shards send their different
     anchors to buckets, which answer which are shared. Only shared runs are sent as text, each different
-    one once per shard, to the bucket of their anchor, where equal windows meet. The buckets sort them by
-    suffix arrays and answer the least owner of each window. An anchor in more than `hot_anchor` documents gives
+    one once per shard, to the bucket of their anchor, where equal windows meet. The buckets sort what may
+    repeat by suffix arrays and answer the least owner of each window. An anchor in more than `hot_anchor` documents gives
     up its place: its windows go to buckets by their own content, so no bucket gathers them all.
     """
     shards = blocks.in_shards(docs, SHARD_BYTES)
-    # Buckets are smaller than shuffle partitions, as a suffix array takes many times its text.
-    bits = blocks.bucket_bits(docs) + 1
+    bits = blocks.bucket_bits(docs)
 
     def send_anchors(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
-        kinds, documents, held, cuts = _Shard(table, bits, width).anchors_by_bucket()
+        kinds, documents, _, held, cuts = _Shard(table, bits, width).anchors_by_bucket()
         parts = list(zip(cuts, cuts[1:], strict=False))
         # Within a bucket 32 further bits tell anchors apart; should two look alike, both count as shared.
         short = ((kinds << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)

@@ -40,6 +40,57 @@ def test_spans_say_what_is_kept(odd):
         assert kept + data[at:] == bytes(r.kept)
 
 
+def different_segments(texts, width):
+    """The runs of some texts one after the other, each different one once: bytes, sizes, windows, least owners."""
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    starts, counts, _, document = suffix_dedup.window_runs(data, np.concatenate([[0], np.cumsum([len(t) for t in texts])]), width)
+    owners = {}
+    for s, n, d in zip(starts.tolist(), counts.tolist(), document.tolist(), strict=True):
+        piece = data[s : s + n + width - 1].tobytes()
+        owners[piece] = min(d, owners.get(piece, d))
+    sizes = np.array([len(p) for p in owners])
+    return np.frombuffer(b"".join(owners), np.uint8), sizes, sizes - width + 1, np.array(list(owners.values()))
+
+
+def windows(data, sizes, width):
+    ends = np.cumsum(sizes)
+    return [data[i : i + width].tobytes() for a, b in zip(ends - sizes, ends, strict=True) for i in range(a, b - width + 1)]
+
+
+def test_only_windows_that_may_repeat_are_sorted(monkeypatch):
+    """Texts that share strings shorter than a window give the suffix arrays nothing to do."""
+    rng = np.random.default_rng(3)
+    noise = lambda n: rng.integers(97, 123, n).astype(np.uint8).tobytes()
+    phrase, passage = noise(40), noise(70)
+    texts = [noise(60) + phrase + noise(60) for _ in range(50)]
+    texts[7] += passage + noise(60)
+    texts[31] += noise(30) + passage + noise(60)
+    data, sizes, counts, owners = different_segments(texts, 50)
+    asked = []
+    sort = suffix_dedup.least_owners
+    monkeypatch.setattr(suffix_dedup, "least_owners", lambda d, starts, counts, *more: asked.append(int(counts.sum())) or sort(d, starts, counts, *more))
+    found = suffix_dedup._owners_by_anchor(data, sizes, counts, owners, 50, 1 << 20)
+    least = {}
+    for w, o in zip(windows(data, sizes, 50), np.repeat(owners, counts).tolist(), strict=True):
+        least[w] = min(o, least.get(w, o))
+    assert found.tolist() == [least[w] for w in windows(data, sizes, 50)]
+    assert sum(asked) <= 2 * (70 - 49)
+
+
+@pytest.mark.parametrize("width", [16, 23, 24, 50, 70])
+@pytest.mark.parametrize("array_bytes", [1, 400, 1 << 20])
+def test_least_owners_by_anchor(width, array_bytes):
+    rng = np.random.default_rng(width)
+    parts = [rng.integers(97, 100, n).astype(np.uint8).tobytes() for n in (3, 30, 60, 90, 200)] + [b"ab" * 60, b"x" * 150]
+    texts = [b"".join(parts[i] for i in rng.integers(0, len(parts), rng.integers(1, 6))) for _ in range(30)]
+    data, sizes, counts, owners = different_segments(texts, width)
+    found = suffix_dedup._owners_by_anchor(data, sizes, counts, owners, width, array_bytes)
+    least = {}
+    for w, o in zip(windows(data, sizes, width), np.repeat(owners, counts).tolist(), strict=True):
+        least[w] = min(o, least.get(w, o))
+    assert found.tolist() == [least[w] for w in windows(data, sizes, width)]
+
+
 @given(st.lists(st.integers(0, 3), min_size=1, max_size=200))
 @settings(max_examples=60, deadline=None)
 def test_suffix_array_and_common_prefixes(symbols):
